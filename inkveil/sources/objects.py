@@ -6,34 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PDF_GLOB = "*.[pP][dD][fF]"
+PDF_MAGIC = b"%PDF-"
 MISSING = "object not found"
 NOT_A_PDF = "content is not a PDF"
 
 
+def read_files(spark: SparkSession, root: str, glob: str = PDF_GLOB) -> DataFrame:
+    """Files below a folder (path, modificationTime, length, content, partition columns).
+
+    The glob prunes the listing; content is only read where a query uses it.
+    """
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
+
+
 def read_objects(spark: SparkSession, root: str, glob: str = PDF_GLOB) -> DataFrame:
-    """Files below <root>/<bucket>/<key...>: (bucket, key, length, content). The glob prunes the listing."""
-    base = root.rstrip("/")
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(base)
-    )
-    # The URI scheme and authority differ between file systems, so match from the root's own path.
-    tail = base.split("://", 1)[-1].lstrip("/") if "://" in base else base.removeprefix("file:").lstrip("/")
-    below = F.substring_index("path", tail + "/", -1)
+    """Objects laid out as <root>/<bucket>/<key...>: (bucket, key, length, content)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob) \
+        .option("recursiveFileLookup", "true").load(root)
+    # File systems spell the scheme differently (file:/x, file:///x), so cut behind the root's own path.
+    own_path = root.rstrip("/").split(":", 1)[-1].lstrip("/")
+    below = F.substring_index("path", own_path + "/", -1)
     return files.select(
         F.substring_index(below, "/", 1).alias("bucket"),
-        F.regexp_extract(below, "^[^/]*/(.*)$", 1).alias("key"),
-        "length", "content",
-    )
+        F.regexp_extract(below, "^[^/]*/(.*)$", 1).alias("key"), "length", "content")
 
 
 def with_content(items: DataFrame, objects: DataFrame) -> DataFrame:
-    """Left join of items to contents. A missing or unreadable object becomes an error row."""
-    joined = items.join(objects, ["bucket", "key"], "left")
+    """Left join of work items to contents. A missing or unreadable object becomes an error row."""
+    magic = F.substring("content", 1, len(PDF_MAGIC))
     error = (
         F.when(F.col("content").isNull(), F.lit(MISSING))
-        .when(F.substring("content", 1, 5) != F.lit(b"%PDF-"), F.lit(NOT_A_PDF))
+        .when(magic != F.lit(PDF_MAGIC), F.lit(NOT_A_PDF))
     )
-    return joined.withColumn("error", error)
+    return items.join(objects, ["bucket", "key"], "left").withColumn("error", error)
