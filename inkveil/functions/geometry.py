@@ -16,10 +16,9 @@ def tenths(v: Column) -> Column:
     s = a + b
     back = s - a
     err = (a - (s - back)) + (b - back)
-    tie = (s - F.floor(s).cast("double")) == 0.5
-    return F.when(tie & (err > 0), F.ceil(s).cast("double")) \
-        .when(tie & (err < 0), F.floor(s).cast("double")) \
-        .otherwise(F.rint(s))
+    nearest_even = F.rint(s)
+    tie = F.abs(s - nearest_even) == 0.5
+    return F.when(tie & (err != 0), F.rint(s + F.signum(err) * 0.25)).otherwise(nearest_even)
 
 
 def clamp01(v: Column) -> Column:

@@ -2,16 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkveil.functions.geometry import overlaps
 from inkveil.operators.detect import BOX
 from inkveil.operators.lines import PAGE
+from inkveil.session import union_all
+
+
+@dataclass(frozen=True)
+class Grid:
+    """Cells, in points, on which words up to a size meet boxes."""
 
-# Cell sizes in points of the grids on which words and boxes meet. A word is listed once, on the
-# first grid whose cells are larger than the word, or on a last grid with one cell per page.
-GRIDS = ((128.0, 32.0), (1024.0, 256.0))
+    cell_w: float
+    cell_h: float
+    word_w: float
+    word_h: float
+
+
+# A word is listed once: on the first grid made for its size, or on a last one with a single cell
+# per page. A box is listed on every grid, in all cells from which a word can reach it.
+GRIDS = (Grid(512.0, 64.0, 128.0, 16.0), Grid(4096.0, 1024.0, 1024.0, 256.0))
+LAST_CELL = -1
 
 
 def with_area(boxes: DataFrame) -> DataFrame:
@@ -20,8 +35,9 @@ def with_area(boxes: DataFrame) -> DataFrame:
 
 def redaction_plan(text_boxes: DataFrame, region_boxes: DataFrame) -> DataFrame:
     """All boxes of all rules, found on the unredacted text, without those that cover nothing."""
-    fixed = region_boxes.select(*PAGE, F.lit("region").alias("rule"), *BOX)
-    return with_area(text_boxes.select(*PAGE, "rule", *BOX).unionByName(fixed)).distinct()
+    text = text_boxes.select(*PAGE, "rule", *BOX).distinct()
+    fixed = region_boxes.select(*PAGE, F.lit("region").alias("rule"), *BOX).distinct()
+    return union_all(with_area(text), with_area(fixed))
 
 
 def kept_words(words: DataFrame, boxes: DataFrame) -> DataFrame:
@@ -35,37 +51,33 @@ def removed_words(words: DataFrame, boxes: DataFrame) -> DataFrame:
 
 
 def _meet(words: DataFrame, boxes: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join on box overlap, as an equi join on grid cells plus the exact test."""
-    c = F.col
-    last = len(GRIDS)
-    level, cell_x, cell_y = F.lit(last), F.lit(0), F.lit(0)
-    for n, (w, h) in reversed(list(enumerate(GRIDS))):
-        fits = (c("x1") - c("x0") < w - 1) & (c("y1") - c("y0") < h - 1)
-        level = F.when(fits, n).otherwise(level)
-        cell_x = F.when(fits, F.floor(c("x0") / w).cast("int")).otherwise(cell_x)
-        cell_y = F.when(fits, F.floor(c("y0") / h).cast("int")).otherwise(cell_y)
-    left = words.withColumns({"_level": level, "_cx": cell_x, "_cy": cell_y})
-
-    lists = [F.array(F.struct(F.lit(last).alias("l"), F.lit(0).alias("cx"), F.lit(0).alias("cy")))]
-    lists += [_cells(n, w, h) for n, (w, h) in enumerate(GRIDS)]
+    """Semi or anti join on box overlap, as an equi join on page and cell plus the exact test."""
+    cell = str(LAST_CELL)
+    for level, g in reversed(list(enumerate(GRIDS))):
+        here = _cell(level, f"floor((x0 + {g.word_w + 1}D) / {g.cell_w}D)",
+                     f"floor((y0 + {g.word_h + 1}D) / {g.cell_h}D)")
+        cell = f"IF(x1 - x0 <= {g.word_w}D AND y1 - y0 <= {g.word_h}D, {here}, {cell})"
+    cells = ", ".join(_cells(level, g) for level, g in enumerate(GRIDS))
     right = with_area(boxes).select(
-        *[c(k).alias(f"_{k}") for k in PAGE], *BOX, F.explode(F.concat(*lists)).alias("_c"))
-    right = right.select(*[f"_{k}" for k in PAGE], *BOX, c("_c.l").alias("_bl"),
-                         c("_c.cx").alias("_bx"), c("_c.cy").alias("_by"))
-    on = (
-        (c("doc_id") == c("_doc_id")) & (c("page_no") == c("_page_no"))
-        & (c("_level") == c("_bl")) & (c("_cx") == c("_bx")) & (c("_cy") == c("_by"))
-        & overlaps(c("x0"), c("y0"), c("x1"), c("y1"), *[c(b) for b in BOX])
-    )
-    return left.join(right, on, how).drop("_level", "_cx", "_cy")
-
-
-def _cells(level: int, width: float, height: float) -> Column:
-    """Cells whose words may reach a box. A word is smaller than a cell, so it starts in a cell the
-    box covers or in the one before it."""
-    def span(lo: str, hi: str, size: float) -> Column:
-        return F.sequence(F.floor(F.col(lo) / size).cast("int") - 1, F.floor(F.col(hi) / size).cast("int"))
-
-    rows = span("ry0", "ry1", height)
-    return F.flatten(F.transform(span("rx0", "rx1", width), lambda cx: F.transform(
-        rows, lambda cy: F.struct(F.lit(level).alias("l"), cx.alias("cx"), cy.alias("cy")))))
+        F.col("doc_id").alias("_doc_id"), F.col("page_no").alias("_page_no"), *BOX,
+        F.explode(F.expr(f"concat(array({LAST_CELL}L), {cells})")).alias("_box_cell"))
+    c = F.col
+    on = ((c("doc_id") == c("_doc_id")) & (c("page_no") == c("_page_no")) & (c("_cell") == c("_box_cell"))
+          & overlaps(c("x0"), c("y0"), c("x1"), c("y1"), *[c(b) for b in BOX]))
+    return words.withColumn("_cell", F.expr(f"CAST({cell} AS BIGINT)")).join(right, on, how).drop("_cell")
+
+
+def _cell(level: int, x: str, y: str) -> str:
+    """One number per cell. Two cells may share one, as the exact test follows anyway."""
+    return f"({level} + {len(GRIDS)} * ({x} + 1000003 * {y}))"
+
+
+def _cells(level: int, g: Grid) -> str:
+    """SQL for the cells in which a word that reaches a box may be listed.
+
+    Such a word starts less than its own size before the box, and one point is to spare for float
+    error; words are listed that much further on, so most boxes need a single cell.
+    """
+    xs = f"sequence(floor(rx0 / {g.cell_w}D), floor((rx1 + {g.word_w + 1}D) / {g.cell_w}D))"
+    ys = f"sequence(floor(ry0 / {g.cell_h}D), floor((ry1 + {g.word_h + 1}D) / {g.cell_h}D))"
+    return f"flatten(transform({xs}, x -> transform({ys}, y -> {_cell(level, 'x', 'y')})))"

@@ -15,26 +15,27 @@ COMPLETED = "PDF processing completed"
 MEASURES = ["input_size", "output_size", "n_pages", "n_words_in", "n_words_removed", "n_boxes"]
 
 
-def document_measures(documents: DataFrame, pages: DataFrame, words: DataFrame, kept: DataFrame,
-                      boxes: DataFrame, lines: DataFrame) -> DataFrame:
-    """Sizes and counts per document: (doc_id, MEASURES).
+def document_measures(documents: DataFrame, pages: DataFrame, words: DataFrame, boxes: DataFrame,
+                      published: DataFrame) -> DataFrame:
+    """Sizes and counts per document: (doc_id, MEASURES). Words are those of the text page.
 
     Each table is reduced to one row per document before the join.
     """
-    parts = [
-        pages.groupBy("doc_id").agg(F.max("page_no").cast("bigint").alias("n_pages")),
-        words.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_words_in")),
-        kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_kept")),
-        boxes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_boxes")),
-        lines.groupBy("doc_id").agg(F.sum(F.octet_length("line_text")).alias("output_size")),
-    ]
     joined = documents.select("doc_id", F.octet_length("text").cast("bigint").alias("input_size"))
-    for part in parts:
+    one = F.count(F.lit(1))
+    for part in (
+        pages.groupBy("doc_id").agg(F.max("page_no").cast("bigint").alias("n_pages")),
+        words.groupBy("doc_id").agg(one.alias("n_words_in")),
+        boxes.groupBy("doc_id").agg(one.alias("n_boxes")),
+        published.groupBy("doc_id").agg(F.sum("n_words").alias("n_words_out"),
+                                        F.sum(F.octet_length("text")).alias("output_size")),
+    ):
         joined = joined.join(part, "doc_id", "left")
     zero = F.lit(0).cast("bigint")
     counted = joined.withColumns({
-        c: F.coalesce(c, zero) for c in ("n_pages", "n_words_in", "n_kept", "n_boxes", "output_size")})
-    return counted.withColumn("n_words_removed", F.col("n_words_in") - F.col("n_kept")).select("doc_id", *MEASURES)
+        c: F.coalesce(c, zero) for c in ("n_pages", "n_words_in", "n_words_out", "n_boxes", "output_size")})
+    return counted.withColumn("n_words_removed", F.col("n_words_in") - F.col("n_words_out")) \
+        .select("doc_id", *MEASURES)
 
 
 def audit(items: DataFrame, measures: DataFrame, params: RuleParams) -> DataFrame:

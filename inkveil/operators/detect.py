@@ -153,19 +153,18 @@ def _nearest_above(groups: DataFrame, params: RuleParams) -> DataFrame:
     lines in the range frame before the hit. The frame is a little wider than the tolerance and the
     exact test follows, as the frame bound is computed by another subtraction.
     """
-    line, hit = F.col("kind") == LINE_BOX, F.col("kind") == HIT
     reach = params.prevline_tolerance + 0.01
-    placed = groups \
-        .withColumn("edge", F.when(line, F.col("ry1")).when(hit, F.col("y0"))) \
-        .withColumn("line", F.when(line, F.struct("line_no", *BOX, "has_colon")))
+    box = ", ".join(BOX)
+    placed = groups.withColumns({
+        "edge": F.expr(f"CASE kind WHEN '{LINE_BOX}' THEN ry1 WHEN '{HIT}' THEN y0 END"),
+        "line": F.expr(f"IF(kind = '{LINE_BOX}', struct(line_no, {box}, has_colon), NULL)")})
     above = placed.withColumn("above", F.expr(
         f"collect_list(line) OVER (PARTITION BY doc_id, page_no ORDER BY edge "
-        f"RANGE BETWEEN {reach!r}D PRECEDING AND CURRENT ROW)"))
-    slack = params.signature_x_slack
-    gap = lambda l: F.col("y0") - l["ry1"]
-    fits = F.filter("above", lambda l: (gap(l) >= 0) & (gap(l) <= params.prevline_tolerance)
-                    & (l["rx1"] > F.col("x0") - slack) & (l["rx0"] < F.col("x1") + slack))
-    ranked = F.transform(fits, lambda l: F.struct(
-        gap(l).alias("gap"), l["line_no"].alias("line_no"), *[l[c].alias(c) for c in BOX],
-        l["has_colon"].alias("has_colon")))
-    return above.withColumn("nearest", F.when(hit, F.array_min(ranked))).drop("above", "line", "edge")
+        f"RANGE BETWEEN {reach}D PRECEDING AND CURRENT ROW)"))
+    nearest = F.expr(f"""
+        IF(kind = '{HIT}', array_min(transform(
+          filter(above, l -> l.ry1 <= y0 AND y0 - l.ry1 <= {params.prevline_tolerance}D
+                             AND l.rx1 > x0 - {params.signature_x_slack}D
+                             AND l.rx0 < x1 + {params.signature_x_slack}D),
+          l -> struct(y0 - l.ry1 AS gap, l.line_no, l.rx0, l.ry0, l.rx1, l.ry1, l.has_colon))), NULL)""")
+    return above.withColumn("nearest", nearest).drop("above", "line", "edge")

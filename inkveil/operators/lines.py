@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 from inkveil.functions.geometry import tenths
 from inkveil.functions.text import is_blank
 from inkveil.params import RuleParams
+from inkveil.session import union_all
 
 PAGE = ["doc_id", "page_no"]
 LINE = [*PAGE, "line_no"]
@@ -48,8 +49,8 @@ def line_tokens(words: DataFrame, params: RuleParams, page_rows: int | None = No
     if page_rows is not None and page_rows <= params.page_split_rows:
         return _tokens_by_page(words, params)
     large = words.groupBy(*PAGE).count().filter(F.col("count") > params.page_split_rows).select(*PAGE)
-    return _tokens_by_page(words.join(large, PAGE, "left_anti"), params).unionByName(
-        _tokens_by_band(words.join(large, PAGE, "left_semi"), params))
+    return union_all(_tokens_by_page(words.join(large, PAGE, "left_anti"), params),
+                     _tokens_by_band(words.join(large, PAGE, "left_semi"), params))
 
 
 def with_line_length(tokens: DataFrame) -> DataFrame:
@@ -60,11 +61,11 @@ def line_boxes(tokens: DataFrame, params: RuleParams) -> DataFrame:
     return tokens.groupBy(*LINE).agg(*padded_box(params))
 
 
-def line_text(tokens: DataFrame) -> DataFrame:
-    """The words of each line joined by one blank."""
+def line_text(tokens: DataFrame, *more: Column) -> DataFrame:
+    """The words of each line joined by one blank, and further aggregates per line."""
     ordered = F.array_sort(F.collect_list(F.struct("pos", "text")))
     return tokens.groupBy(*LINE).agg(
-        F.array_join(F.transform(ordered, lambda w: w["text"]), " ").alias("line_text"))
+        F.array_join(F.transform(ordered, lambda w: w["text"]), " ").alias("line_text"), *more)
 
 
 def padded_box(params: RuleParams) -> list[Column]:
@@ -101,7 +102,7 @@ def _tokens_by_page(words: DataFrame, params: RuleParams) -> DataFrame:
     else:
         df = df.withColumn("fold", F.lit(True))
     df = df.withColumn("ys", F.collect_list(F.when(F.col("fold"), F.col("y0"))).over(whole)) \
-        .withColumn("starts", F.when(F.col("fold") & (F.col("ord") == 1), _fold_starts(F.col("ys"), tol))) \
+        .withColumn("starts", F.when(F.col("fold") & (F.col("ord") == 1), _fold_starts("ys", tol))) \
         .withColumn("starts", F.first("starts", True).over(so_far)) \
         .withColumn("start", F.when(F.col("fold"), F.array_contains("starts", F.col("ord")))
                     .otherwise(F.col("island")))
@@ -111,19 +112,15 @@ def _tokens_by_page(words: DataFrame, params: RuleParams) -> DataFrame:
     return numbered.select(*columns, "line_no", "pos")
 
 
-def _fold_starts(ys: Column, tol: float) -> Column:
-    """1-based positions in ys (reading order) at which a line starts."""
-    def step(acc: Column, y: Column) -> Column:
-        starts = acc["mean"].isNull() | (F.abs(y - acc["mean"]) > tol)
-        here = acc["ord"] + 1
-        return F.struct(
-            F.when(starts, y).otherwise((acc["mean"] + y) / 2.0).alias("mean"),
-            here.alias("ord"),
-            F.when(starts, F.concat(acc["starts"], F.array(here))).otherwise(acc["starts"]).alias("starts"),
-        )
-    empty = F.struct(F.lit(None).cast("double").alias("mean"), F.lit(0).alias("ord"),
-                     F.array().cast("array<int>").alias("starts"))
-    return F.aggregate(ys, empty, step, lambda acc: acc["starts"])
+def _fold_starts(ys: str, tol: float) -> Column:
+    """1-based positions in the array ys (reading order) at which a line starts."""
+    return F.expr(f"""
+        aggregate({ys},
+          named_struct('mean', CAST(NULL AS DOUBLE), 'ord', 0, 'starts', CAST(array() AS ARRAY<INT>)),
+          (acc, y) -> IF(acc.mean IS NULL OR abs(y - acc.mean) > {tol}D,
+            named_struct('mean', y, 'ord', acc.ord + 1, 'starts', concat(acc.starts, array(acc.ord + 1))),
+            named_struct('mean', (acc.mean + y) / 2, 'ord', acc.ord + 1, 'starts', acc.starts)),
+          acc -> acc.starts)""")
 
 
 def _tokens_by_band(words: DataFrame, params: RuleParams) -> DataFrame:
@@ -141,36 +138,28 @@ def _tokens_by_band(words: DataFrame, params: RuleParams) -> DataFrame:
         .drop("new", "i")
     runs = runs_of.groupBy(*run_key).agg(F.first("y0").alias("y"), F.count(F.lit(1)).alias("n"))
     ordered = F.array_sort(F.collect_list(F.struct("band", "run", "y", "n")))
-    placed = runs.groupBy(*PAGE).agg(_fold_runs(ordered, params.line_tolerance).alias("placed")) \
-        .select(*PAGE, F.inline("placed"))
+    placed = runs.groupBy(*PAGE).agg(ordered.alias("runs")) \
+        .select(*PAGE, F.inline(_fold_runs("runs", params.line_tolerance)))
     return runs_of.join(placed, run_key) \
         .select(*columns, "line_no", (F.col("before") + F.col("at")).cast("int").alias("pos"))
 
 
-def _fold_runs(runs: Column, tol: float) -> Column:
+def _fold_runs(runs: str, tol: float) -> Column:
     """Places each run: its line and the number of words before it in that line.
 
     After the first word of a run has joined or started a line, the others are nearer still, so a
     run is never broken; the baseline halves its distance once per word.
     """
-    def halve(mean: Column, y: Column, times: Column) -> Column:
-        steps = F.sequence(F.lit(1), F.least(times, F.lit(SETTLED)).cast("int"))
-        return F.aggregate(steps, mean, lambda m, _: (m + y) / 2.0)
-
-    def step(acc: Column, r: Column) -> Column:
-        starts = acc["mean"].isNull() | (F.abs(r["y"] - acc["mean"]) > tol)
-        line_no = F.when(starts, acc["line_no"] + 1).otherwise(acc["line_no"])
-        before = F.when(starts, F.lit(0).cast("bigint")).otherwise(acc["words"])
-        place = F.struct(r["band"].alias("band"), r["run"].alias("run"),
-                         line_no.alias("line_no"), before.alias("before"))
-        return F.struct(
-            F.when(starts, r["y"]).otherwise(halve(acc["mean"], r["y"], r["n"])).alias("mean"),
-            line_no.alias("line_no"),
-            (before + r["n"]).alias("words"),
-            F.concat(acc["placed"], F.array(place)).alias("placed"),
-        )
-    empty = F.struct(
-        F.lit(None).cast("double").alias("mean"), F.lit(-1).alias("line_no"),
-        F.lit(0).cast("bigint").alias("words"),
-        F.array().cast("array<struct<band:double,run:bigint,line_no:int,before:bigint>>").alias("placed"))
-    return F.aggregate(runs, empty, step, lambda acc: acc["placed"])
+    place = "named_struct('band', r.band, 'run', r.run, 'line_no', {line}, 'before', {before})"
+    return F.expr(f"""
+        aggregate({runs},
+          named_struct('mean', CAST(NULL AS DOUBLE), 'line_no', -1, 'words', 0L, 'placed', CAST(array() AS
+            ARRAY<STRUCT<band: DOUBLE, run: BIGINT, line_no: INT, before: BIGINT>>)),
+          (acc, r) -> IF(acc.mean IS NULL OR abs(r.y - acc.mean) > {tol}D,
+            named_struct('mean', r.y, 'line_no', acc.line_no + 1, 'words', r.n, 'placed',
+              concat(acc.placed, array({place.format(line='acc.line_no + 1', before='0L')}))),
+            named_struct(
+              'mean', aggregate(sequence(1L, least(r.n, {SETTLED}L)), acc.mean, (m, k) -> (m + r.y) / 2),
+              'line_no', acc.line_no, 'words', acc.words + r.n, 'placed',
+              concat(acc.placed, array({place.format(line='acc.line_no', before='acc.words')})))),
+          acc -> acc.placed)""")

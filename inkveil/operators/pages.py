@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkveil.operators.lines import LINE, line_text
+from inkveil.operators.lines import LINE, PAGE, line_text
 from inkveil.operators.regions import raster_pages
 from inkveil.params import RuleParams
+from inkveil.session import union_all
 
 NO_PAGES = "PDF must have at least 1 page"
 TEXT_PAGE, RASTER_PAGE = 1, 2
@@ -47,11 +48,17 @@ def redacted_text(kept_tokens: DataFrame) -> DataFrame:
 
 
 def published_pages(kept_tokens: DataFrame, pages: DataFrame, params: RuleParams) -> DataFrame:
-    """The output document: the redacted lines of page 1, and page 2 as an image without text."""
-    text = redacted_text(text_page(kept_tokens)).select(
-        *LINE, F.lit("text").alias("kind"), F.col("line_text").alias("text"),
-        F.lit(None).cast("int").alias("img_w"), F.lit(None).cast("int").alias("img_h"))
+    """The output document: the redacted lines of page 1, and page 2 as an image without text.
+
+    img_w and img_h are the image in pixels, which is the size of its page in points.
+    """
+    def empty(kind: str, *names: str) -> list[Column]:
+        return [F.lit(None).cast(kind).alias(n) for n in names]
+
+    lines = line_text(text_page(kept_tokens), F.count(F.lit(1)).alias("n_words"))
+    text = lines.select(*LINE, F.lit("text").alias("kind"), F.col("line_text").alias("text"), "n_words",
+                        *empty("int", "img_w", "img_h"))
     raster = raster_pages(raster_page(pages), params).select(
-        "doc_id", "page_no", F.lit(None).cast("int").alias("line_no"), F.lit("raster").alias("kind"),
-        F.lit(None).cast("string").alias("text"), "img_w", "img_h")
-    return text.unionByName(raster)
+        *PAGE, *empty("int", "line_no"), F.lit("raster").alias("kind"), *empty("string", "text"),
+        F.lit(0).cast("bigint").alias("n_words"), "img_w", "img_h")
+    return union_all(text, raster)

@@ -138,7 +138,8 @@ def _steps(tol: float, all_pages: bool, source: str = "") -> dict[str, str]:
      AND t.x0 < b.rx1 AND t.x1 > b.rx0 AND t.y0 < b.ry1 AND t.y1 > b.ry0)
 )""",
         "kept_lines": """kept_lines AS (
-  SELECT doc_id, page_no, line_no, string_agg(text, ' ' ORDER BY pos) AS line_text FROM kept GROUP BY ALL
+  SELECT doc_id, page_no, line_no, string_agg(text, ' ' ORDER BY pos) AS line_text, count(*) AS n_words
+  FROM kept GROUP BY ALL
 )""",
     }
 
@@ -314,9 +315,9 @@ FROM (SELECT d.doc_id, count(p.page_no) AS n_pages
         "page_policy": of(f"""SELECT {cols}, CASE page_no WHEN 1 THEN 'text' WHEN 2 THEN 'raster' ELSE 'dropped' END
   AS outcome FROM doc_pages"""),
         "published_pages": of(f"""SELECT {cols}, line_no, 'text' AS kind, line_text AS text,
-       CAST(NULL AS INTEGER) AS img_w, CAST(NULL AS INTEGER) AS img_h FROM kept_lines
+       n_words, CAST(NULL AS INTEGER) AS img_w, CAST(NULL AS INTEGER) AS img_h FROM kept_lines
 UNION ALL
-SELECT {cols}, NULL, 'raster', NULL, CAST(ceil(width * 220 / 72 - 0.001) AS INTEGER),
+SELECT {cols}, NULL, 'raster', NULL, 0, CAST(ceil(width * 220 / 72 - 0.001) AS INTEGER),
        CAST(ceil(height * 220 / 72 - 0.001) AS INTEGER) FROM doc_pages WHERE page_no = 2""", text_page),
         "redacted_text": of(text, text_page),
         "redacted_text_fold": of(text, folded_text),

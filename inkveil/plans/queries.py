@@ -15,6 +15,7 @@ from inkveil.functions.geometry import pixel
 from inkveil.functions.keys import output_key, provenance
 from inkveil.operators import apply, audit, detect, lines, metadata, pages, raster, regions
 from inkveil.params import RuleParams, RuleSet
+from inkveil.plans.job import run_batch
 from inkveil.plans.pipeline import Redactor
 from inkveil.session import scratch_dir, tune
 from inkveil.sources import events, objects, rules, words
@@ -114,17 +115,15 @@ class Scenario:
         return events.pdf_work_items(events.event_records(self.events()))
 
     def results(self) -> DataFrame:
-        """The audit table: each work item names the document whose id ends its key."""
+        """The audit table of a job run; each work item names the document whose id ends its key."""
         items = self.items().withColumn("doc_id", F.regexp_extract("key", "_([0-9]+)[.][^.]*$", 1).cast("bigint"))
         stored = self.table("documents").filter(F.col("lang") != MISSING_LANG)
         wanted = by_document(stored.join(items.select("doc_id").distinct(), "doc_id", "left_semi")
                              .select("doc_id", "text", "source"))
         readable = wanted.filter(F.col("source") != PAGELESS_SOURCE)
-        w, p = words.text_words(readable, LAYOUT), words.text_pages(readable, LAYOUT)
-        kept = self.redactor.kept(w, p)
-        measures = audit.document_measures(
-            wanted, p, pages.text_page(w), kept, self.redactor.plan(w, p), pages.redacted_text(kept))
-        return audit.audit(items, measures, self.params)
+        job = run_batch(self.redactor, items, wanted, words.text_words(readable, LAYOUT),
+                        words.text_pages(readable, LAYOUT), scratch_dir(self.spark, "job"), 0)
+        return job.audit
 
 
 def _counts(df: DataFrame, *cols: str) -> DataFrame:

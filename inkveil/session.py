@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Words are shuffled once on (doc_id, page_no). With this setting off, joins and aggregates on
 # (doc_id, page_no, ...) reuse that partitioning instead of shuffling the words a second time.
@@ -22,6 +23,16 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """Union by name, planned without assumptions about where its rows are.
+
+    Spark 4.1 lets a union claim the partitioning its inputs share, but adaptive execution may then
+    change one input alone, and a join or aggregate above would meet the wrong partitions.
+    """
+    first.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+    return reduce(DataFrame.unionByName, others, first)
+
+
 def local_session(cpus: str = "*", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
     """A local session for tests and the benchmark."""
     spark = (

@@ -84,11 +84,9 @@ def text_words(documents: DataFrame, layout: TextLayout = TextLayout()) -> DataF
 
 def text_pages(documents: DataFrame, layout: TextLayout = TextLayout()) -> DataFrame:
     """The pages text_words() fills, with their bounds; a text without words has none."""
-    n_pages = F.ceil(F.size(_tokens(F.col("text"))) / layout.words_per_page).cast("int")
-    return (
-        documents.select("doc_id", n_pages.alias("n"))
-        .filter("n > 0")
-        .select("doc_id", F.explode(F.sequence(F.lit(1), "n")).alias("page_no"))
-        .select("doc_id", "page_no", F.lit(0.0).alias("bx0"), F.lit(0.0).alias("by0"),
-                F.lit(layout.page_width).alias("width"), F.lit(layout.page_height).alias("height"))
-    )
+    last = F.ceil(F.size(_tokens(F.col("text"))) / layout.words_per_page).cast("int")
+    # As above: the outer form, and a test of its result, count the words of a text only once.
+    numbered = documents.select("doc_id", F.explode_outer(F.sequence(F.lit(1), last)).alias("page_no"))
+    return numbered.filter(F.col("page_no").isNotNull()).select(
+        "doc_id", "page_no", F.lit(0.0).alias("bx0"), F.lit(0.0).alias("by0"),
+        F.lit(layout.page_width).alias("width"), F.lit(layout.page_height).alias("height"))
