@@ -5,7 +5,8 @@ y0 is within the tolerance of the line's running baseline, and the baseline then
 
 Two exact plans compute it:
 
-* pages of bounded size: one shuffle on (doc_id, page_no), one sort, and windows over that sort;
+* pages of bounded size: one shuffle on (doc_id, page_no), one sort, and windows over that sort, with
+  the fold over an array of the page's y0;
 * pages above RuleParams.page_split_rows: words are grouped by baseline band, equal neighbours are
   counted into runs before the page-wide shuffle, and only the runs are folded.
 """
@@ -24,8 +25,6 @@ from inkveil.session import union_all
 PAGE = ["doc_id", "page_no"]
 LINE = [*PAGE, "line_no"]
 
-# Words whose y0 round to the same tenth differ by at most this much (with room for float error).
-BAND_SPREAD = 0.11
 # Repeating p -> (p + y) / 2 reaches its final double within this many steps.
 SETTLED = 1100
 
@@ -83,30 +82,16 @@ def _with_band(words: DataFrame) -> DataFrame:
 def _tokens_by_page(words: DataFrame, params: RuleParams) -> DataFrame:
     columns = words.columns
     page = Window.partitionBy(*PAGE).orderBy("band", "x0", "word_idx")
-    before = page.rowsBetween(Window.unboundedPreceding, -1)
     so_far = page.rowsBetween(Window.unboundedPreceding, 0)
     whole = page.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    tol = params.line_tolerance
-
-    # The baseline is a mean of earlier y0, so a word above all of them by more than the tolerance
-    # certainly starts a line.
-    df = _with_band(words) \
-        .withColumns({"ord": F.row_number().over(page), "top": F.max("y0").over(before)}) \
-        .withColumn("island", F.col("top").isNull() | (F.col("y0") - F.col("top") > tol))
-
-    # Between two such breaks there is no other one while all words lie within the tolerance of each
-    # other. Only pages where that may fail are folded word by word.
-    if tol > 2 * BAND_SPREAD:
-        df = df.withColumn("first_y", F.last(F.when(F.col("island"), F.col("y0")), True).over(so_far)) \
-            .withColumn("fold", F.max(F.col("y0") - F.col("first_y") > tol - BAND_SPREAD).over(whole))
-    else:
-        df = df.withColumn("fold", F.lit(True))
-    df = df.withColumn("ys", F.collect_list(F.when(F.col("fold"), F.col("y0"))).over(whole)) \
-        .withColumn("starts", F.when(F.col("fold") & (F.col("ord") == 1), _fold_starts("ys", tol))) \
-        .withColumn("starts", F.first("starts", True).over(so_far)) \
-        .withColumn("start", F.when(F.col("fold"), F.array_contains("starts", F.col("ord")))
-                    .otherwise(F.col("island")))
-    numbered = df.withColumns({
+
+    # The first word of a page folds the y0 of the whole page; the others look up the result.
+    folded = _with_band(words) \
+        .withColumns({"ord": F.row_number().over(page), "ys": F.collect_list("y0").over(whole)}) \
+        .withColumn("starts", F.when(F.col("ord") == 1, _fold_starts("ys", params.line_tolerance))).drop("ys")
+    marked = folded.withColumn("starts", F.first("starts", True).over(so_far)) \
+        .withColumn("start", F.array_contains("starts", F.col("ord"))).drop("starts")
+    numbered = marked.withColumns({
         "line_no": F.count_if("start").over(so_far).cast("int") - 1,
         "pos": F.col("ord") - F.max(F.when(F.col("start"), F.col("ord"))).over(so_far)})
     return numbered.select(*columns, "line_no", "pos")

@@ -54,7 +54,7 @@ class RuleParams:
     input_bucket: str = "test-input-bucket"
     output_bucket: str = "test-output-bucket"
     # Pages with more words than this are segmented band by band instead of in one window.
-    page_split_rows: int = 100_000
+    page_split_rows: int = 20_000
 
     @classmethod
     def profile(cls, name: str) -> RuleParams:
