@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PDF_GLOB = "*.[pP][dD][fF]"
+FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 PDF_MAGIC = b"%PDF-"
 MISSING = "object not found"
 NOT_A_PDF = "content is not a PDF"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from inkveil.sources.events import event_records, pdf_work_items
-from inkveil.sources.objects import PDF_GLOB
+from inkveil.sources.objects import FILE_SCHEMA, PDF_GLOB
 
 
 def redaction_stream(spark: SparkSession, folder: str, glob: str, schema: str,
@@ -39,7 +39,7 @@ def redaction_stream(spark: SparkSession, folder: str, glob: str, schema: str,
 def object_stream(spark: SparkSession, root: str, files_per_trigger: int = 1000) -> DataFrame:
     """New PDF objects below a folder: (path, modificationTime, length, content)."""
     return (
-        spark.readStream.format("binaryFile")
+        spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
         .option("pathGlobFilter", PDF_GLOB).option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_trigger)
         .load(root)
