@@ -12,6 +12,8 @@ from inkveil.params import RuleParams
 from inkveil.sources.rules import REDACT
 
 BOX = ["rx0", "ry0", "rx1", "ry1"]
+# Height in points of the strips in which lines and register hits meet, beyond the reach of a hit.
+STRIP_HEIGHT = 128.0
 VALUE, TAIL, SIGNATURE, LINE_BOX, HIT = "value", "register_tail", "signature", "line", "hit"
 
 
@@ -154,12 +156,17 @@ def _nearest_above(groups: DataFrame, params: RuleParams) -> DataFrame:
     exact test follows, as the frame bound is computed by another subtraction.
     """
     reach = params.prevline_tolerance + 0.01
+    strip = f"floor({{}} / {STRIP_HEIGHT + reach}D)"
     box = ", ".join(BOX)
     placed = groups.withColumns({
         "edge": F.expr(f"CASE kind WHEN '{LINE_BOX}' THEN ry1 WHEN '{HIT}' THEN y0 END"),
         "line": F.expr(f"IF(kind = '{LINE_BOX}', struct(line_no, {box}, has_colon), NULL)")})
-    above = placed.withColumn("above", F.expr(
-        f"collect_list(line) OVER (PARTITION BY doc_id, page_no ORDER BY edge "
+    # A page is cut into strips, and a line near the end of one is listed in the next one as well.
+    listed = placed.withColumn("strip", F.explode(F.expr(f"""
+        IF(kind = '{LINE_BOX}', sequence({strip.format('ry1')}, {strip.format(f'(ry1 + {reach}D)')}),
+           array({strip.format('y0')}))""")))
+    above = listed.withColumn("above", F.expr(
+        f"collect_list(line) OVER (PARTITION BY doc_id, page_no, strip ORDER BY edge "
         f"RANGE BETWEEN {reach}D PRECEDING AND CURRENT ROW)"))
     nearest = F.expr(f"""
         IF(kind = '{HIT}', array_min(transform(
@@ -167,4 +174,4 @@ def _nearest_above(groups: DataFrame, params: RuleParams) -> DataFrame:
                              AND l.rx1 > x0 - {params.signature_x_slack}D
                              AND l.rx0 < x1 + {params.signature_x_slack}D),
           l -> struct(y0 - l.ry1 AS gap, l.line_no, l.rx0, l.ry0, l.rx1, l.ry1, l.has_colon))), NULL)""")
-    return above.withColumn("nearest", nearest).drop("above", "line", "edge")
+    return above.withColumn("nearest", nearest).drop("above", "line", "edge", "strip")

@@ -7,8 +7,9 @@ Two exact plans compute it:
 
 * pages of bounded size: one shuffle on (doc_id, page_no), one sort, and windows over that sort, with
   the fold over an array of the page's y0;
-* pages above RuleParams.page_split_rows: words are grouped by baseline band, equal neighbours are
-  counted into runs before the page-wide shuffle, and only the runs are folded.
+* pages above RuleParams.page_split_rows: words are placed within small cells of the page, so that a
+  page spreads over many tasks. Only one row per cell is brought together per page, which settles
+  most lines; where it does not, equal neighbours are counted into runs and the runs are folded.
 """
 
 from __future__ import annotations
@@ -24,6 +25,11 @@ from inkveil.session import union_all
 
 PAGE = ["doc_id", "page_no"]
 LINE = [*PAGE, "line_no"]
+CELL = [*PAGE, "band", "strip"]
+ISLAND = [*PAGE, "island"]
+
+# Width in points of the strips that cut a band of a large page into cells.
+STRIP = 64.0
 
 # Repeating p -> (p + y) / 2 reaches its final double within this many steps.
 SETTLED = 1100
@@ -49,7 +55,7 @@ def line_tokens(words: DataFrame, params: RuleParams, page_rows: int | None = No
         return _tokens_by_page(words, params)
     large = words.groupBy(*PAGE).count().filter(F.col("count") > params.page_split_rows).select(*PAGE)
     return union_all(_tokens_by_page(words.join(large, PAGE, "left_anti"), params),
-                     _tokens_by_band(words.join(large, PAGE, "left_semi"), params))
+                     _tokens_by_cell(words.join(large, PAGE, "left_semi"), params))
 
 
 def with_line_length(tokens: DataFrame) -> DataFrame:
@@ -108,43 +114,83 @@ def _fold_starts(ys: str, tol: float) -> Column:
           acc -> acc.starts)""")
 
 
-def _tokens_by_band(words: DataFrame, params: RuleParams) -> DataFrame:
+def _tokens_by_cell(words: DataFrame, params: RuleParams) -> DataFrame:
     columns = words.columns
-    run_key = [*PAGE, "band", "run"]
-    band = Window.partitionBy(*PAGE, "band").orderBy("x0", "word_idx")
-    so_far = band.rowsBetween(Window.unboundedPreceding, 0)
-
-    # Runs: neighbours in reading order with the same y0. A page spreads over its bands.
-    runs_of = _with_band(words) \
-        .withColumn("i", F.row_number().over(band)) \
-        .withColumn("new", F.coalesce(F.lag("y0").over(band) != F.col("y0"), F.lit(True))) \
-        .withColumn("run", F.count_if("new").over(so_far)) \
-        .withColumn("at", F.col("i") - F.max(F.when(F.col("new"), F.col("i"))).over(so_far)) \
-        .drop("new", "i")
-    runs = runs_of.groupBy(*run_key).agg(F.first("y0").alias("y"), F.count(F.lit(1)).alias("n"))
-    ordered = F.array_sort(F.collect_list(F.struct("band", "run", "y", "n")))
-    placed = runs.groupBy(*PAGE).agg(ordered.alias("runs")) \
-        .select(*PAGE, F.inline(_fold_runs("runs", params.line_tolerance)))
-    return runs_of.join(placed, run_key) \
-        .select(*columns, "line_no", (F.col("before") + F.col("at")).cast("int").alias("pos"))
-
-
-def _fold_runs(runs: str, tol: float) -> Column:
-    """Places each run: its line and the number of words before it in that line.
+    by_cell = Window.partitionBy(*CELL).orderBy("x0", "word_idx")
+    placed_in_cell = _with_band(words).withColumn("strip", F.floor(F.col("x0") / STRIP)) \
+        .withColumn("i", F.row_number().over(by_cell) - 1)
+    cells = _islands(placed_in_cell, params.line_tolerance)
+    here = placed_in_cell.join(cells, CELL)
+    runs_of = _with_runs(here.filter("wide"))
+    runs = _place_runs(runs_of, params.line_tolerance)
+
+    # Lines are counted per island and numbered down the page.
+    per_island = cells.select(*ISLAND).distinct().join(
+        runs.groupBy(*ISLAND).agg((F.max("line_in_island") + 1).alias("n_lines")), ISLAND, "left")
+    above = Window.partitionBy(*PAGE).orderBy("island").rowsBetween(Window.unboundedPreceding, -1)
+    base = per_island.select(*ISLAND, F.coalesce(
+        F.sum(F.coalesce("n_lines", F.lit(1))).over(above), F.lit(0)).alias("base"))
+
+    narrow = here.filter("NOT wide").withColumns(
+        {"line_in_island": F.lit(0), "pos": F.col("offset") + F.col("i")})
+    wide = runs_of.join(runs.drop("island"), [*CELL, "run"]).withColumn("pos", F.col("before") + F.col("at"))
+    kept = [*columns, "island", "line_in_island", "pos"]
+    return union_all(narrow.select(*kept), wide.select(*kept)).join(base, ISLAND).select(
+        *columns, (F.col("base") + F.col("line_in_island")).cast("int").alias("line_no"),
+        F.col("pos").cast("int").alias("pos"))
+
+
+def _islands(words: DataFrame, tol: float) -> DataFrame:
+    """Cells of a page grouped into islands: (cell, island, offset in the island, wide).
+
+    The baseline is a mean of earlier y0, so a word above all of them by more than the tolerance
+    certainly starts a line. Words between two such breaks that all lie within the tolerance of each
+    other are one line; other islands are wide and need the fold. A page has as many cells as its
+    area allows, however many words it has.
+    """
+    page = Window.partitionBy(*PAGE).orderBy("band", "strip")
+    island = Window.partitionBy(*ISLAND)
+    before = page.rowsBetween(Window.unboundedPreceding, -1)
+    cells = words.groupBy(*CELL).agg(
+        F.min("y0").alias("lo"), F.max("y0").alias("hi"), F.count(F.lit(1)).alias("n"))
+    starts = F.col("top").isNull() | (F.col("lo") - F.col("top") > tol)
+    return cells.withColumn("top", F.max("hi").over(before)) \
+        .withColumn("island", F.count_if(starts).over(page.rowsBetween(Window.unboundedPreceding, 0))) \
+        .withColumns({
+            "wide": F.max("hi").over(island) - F.min("lo").over(island) > tol,
+            "offset": F.sum("n").over(island.orderBy("band", "strip")) - F.col("n")}) \
+        .select(*CELL, "island", "offset", "wide")
+
+
+def _with_runs(words: DataFrame) -> DataFrame:
+    """Adds run and at: neighbours in a cell with the same y0, and the place of a word among them."""
+    by_cell = Window.partitionBy(*CELL).orderBy("i")
+    so_far = by_cell.rowsBetween(Window.unboundedPreceding, 0)
+    new = F.coalesce(F.lag("y0").over(by_cell) != F.col("y0"), F.lit(True))
+    return words.withColumn("new", new).withColumns({
+        "run": F.count_if("new").over(so_far),
+        "at": F.col("i") - F.max(F.when(F.col("new"), F.col("i"))).over(so_far)}).drop("new")
+
+
+def _place_runs(words: DataFrame, tol: float) -> DataFrame:
+    """Folds the runs of each island: their line, and the number of words before them in that line.
 
     After the first word of a run has joined or started a line, the others are nearer still, so a
     run is never broken; the baseline halves its distance once per word.
     """
-    place = "named_struct('band', r.band, 'run', r.run, 'line_no', {line}, 'before', {before})"
-    return F.expr(f"""
-        aggregate({runs},
-          named_struct('mean', CAST(NULL AS DOUBLE), 'line_no', -1, 'words', 0L, 'placed', CAST(array() AS
-            ARRAY<STRUCT<band: DOUBLE, run: BIGINT, line_no: INT, before: BIGINT>>)),
+    runs = words.groupBy(*ISLAND, "band", "strip", "run").agg(F.first("y0").alias("y"), F.count(F.lit(1)).alias("n"))
+    ordered = F.array_sort(F.collect_list(F.struct("band", "strip", "run", "y", "n")))
+    place = "struct(r.band AS band, r.strip AS strip, r.run AS run, {line} AS line_in_island, {before} AS before)"
+    fold = f"""
+        aggregate(runs,
+          named_struct('mean', CAST(NULL AS DOUBLE), 'line', -1, 'words', 0L, 'placed', CAST(array() AS
+            ARRAY<STRUCT<band: DOUBLE, strip: BIGINT, run: BIGINT, line_in_island: INT, before: BIGINT>>)),
           (acc, r) -> IF(acc.mean IS NULL OR abs(r.y - acc.mean) > {tol}D,
-            named_struct('mean', r.y, 'line_no', acc.line_no + 1, 'words', r.n, 'placed',
-              concat(acc.placed, array({place.format(line='acc.line_no + 1', before='0L')}))),
+            named_struct('mean', r.y, 'line', acc.line + 1, 'words', r.n, 'placed',
+              concat(acc.placed, array({place.format(line='acc.line + 1', before='0L')}))),
             named_struct(
               'mean', aggregate(sequence(1L, least(r.n, {SETTLED}L)), acc.mean, (m, k) -> (m + r.y) / 2),
-              'line_no', acc.line_no, 'words', acc.words + r.n, 'placed',
-              concat(acc.placed, array({place.format(line='acc.line_no', before='acc.words')})))),
-          acc -> acc.placed)""")
+              'line', acc.line, 'words', acc.words + r.n, 'placed',
+              concat(acc.placed, array({place.format(line='acc.line', before='acc.words')})))),
+          acc -> acc.placed)"""
+    return runs.groupBy(*ISLAND).agg(ordered.alias("runs")).select(*ISLAND, F.expr(f"inline({fold})"))
