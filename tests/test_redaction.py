@@ -12,34 +12,40 @@ from inkveil.sources import rules
 NO_REGIONS = RuleSet(page1_regions=(), page2_regions=())
 
 
-def removed(spark, rows, rules_=NO_REGIONS, params=RuleParams(), page_rows=1000):
-    """Texts of the words that go, in word order."""
+def removed_per_page(spark, pages_, rules_=NO_REGIONS, params=RuleParams(), page_rows=1000):
+    """Texts of the words that go, one list per given page, in word order. All pages in one run."""
+    rows = [(doc, *r[1:]) for doc, page in enumerate(pages_) for r in page]
     redactor = Redactor(rules_, params, page_rows)
-    words = words_df(spark, rows)
-    keys = {r[:2] for r in rows}
-    kept = {(r.doc_id, r.page_no, r.word_idx)
-            for r in redactor.kept(words, a4_pages(spark, *keys)).collect()}
-    return [r[7] for r in rows if r[1] == 1 and r[:3] not in kept]
-
-
-@pytest.mark.parametrize("page_rows", [1000, None])
-@pytest.mark.parametrize("text, gone", [
-    ("Nome: Ana Lima CPF: 1", "Ana Lima 1"),
-    ("Nome: Ana Sexo: F", "Ana"),                                  # a keep label ends the value
-    ("Nome Ana", "Ana"),                                           # labels match without colon
-    ("x Nome:", ""),                                               # nothing behind the label
-    ("Médico Responsável: X", "X"),                                # adjacent labels
-    ("Reg. Clínico: 99", ""),                                      # labels with a blank match no word
-    ("Nome: A Intervalo PR: 160", "A Intervalo PR: 160"),          # and do not end a value
-    ("NOME: Ana", ""),                                             # case matters
-    ("x CRM 12 Data: y", "CRM 12 Data: y"),                        # the register tail passes keep labels
-    ("crm: 12", ""),                                               # not a register token
-    ("CRM: 1 x crm 2", "CRM: 1 x crm 2"),
-    ("Nome: Ana Data 1 CPF: 2 3", "Ana 2 3"),
-])
-def test_one_line(spark, text, gone, page_rows):
-    params = RuleParams(page_split_rows=1) if page_rows is None else RuleParams()
-    assert " ".join(removed(spark, page_of(text), params=params, page_rows=page_rows)) == gone
+    bounds = a4_pages(spark, *[(doc, 1) for doc in range(len(pages_))])
+    kept = {(r.doc_id, r.word_idx) for r in redactor.kept(words_df(spark, rows), bounds).collect()}
+    return [[r[7] for r in page if (doc, r[2]) not in kept] for doc, page in enumerate(pages_)]
+
+
+def removed(spark, page, rules_=NO_REGIONS, params=RuleParams()):
+    return removed_per_page(spark, [page], rules_, params)[0]
+
+
+ONE_LINE = {
+    "Nome: Ana Lima CPF: 1": "Ana Lima 1",
+    "Nome: Ana Sexo: F": "Ana",                                   # a keep label ends the value
+    "Nome Ana": "Ana",                                            # labels match without colon
+    "x Nome:": "",                                                # nothing behind the label
+    "Médico Responsável: X": "X",                                 # adjacent labels
+    "Reg. Clínico: 99": "",                                       # labels with a blank match no word
+    "Nome: A Intervalo PR: 160": "A Intervalo PR: 160",           # and do not end a value
+    "NOME: Ana": "",                                              # case matters
+    "x CRM 12 Data: y": "CRM 12 Data: y",                         # the register tail passes keep labels
+    "crm: 12": "",                                                # not a register token
+    "CRM: 1 x crm 2": "CRM: 1 x crm 2",
+    "Nome: Ana Data 1 CPF: 2 3": "Ana 2 3",
+}
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_one_line(spark, split):
+    options = {"params": RuleParams(page_split_rows=1), "page_rows": None} if split else {}
+    got = removed_per_page(spark, [page_of(text) for text in ONE_LINE], **options)
+    assert dict(zip(ONE_LINE, map(" ".join, got))) == ONE_LINE
 
 
 def test_spans(spark):
@@ -54,32 +60,26 @@ def signature_page(above, gap, register="x CRM 12"):
     return upper + line(register, 100.0 + 9.0 + 1.0 + gap, first=len(upper))
 
 
-@pytest.mark.parametrize("above, gap, gone", [
-    ("Dr Silva", 2.0, "Dr Silva CRM 12"),
-    ("Dr: Silva", 2.0, "CRM 12"),        # a colon marks a labelled line
-    ("Dr Silva", 11.0, "CRM 12"),        # too far above
-    ("Dr Silva", 10.0, "Dr Silva CRM 12"),
-])
-def test_signature(spark, above, gap, gone):
-    assert " ".join(removed(spark, signature_page(above, gap))) == gone
+def test_signature(spark):
+    cases = [
+        (signature_page("Dr Silva", 2.0), "Dr Silva CRM 12"),
+        (signature_page("Dr: Silva", 2.0), "CRM 12"),               # a colon marks a labelled line
+        (signature_page("Dr Silva", 11.0), "CRM 12"),               # too far above
+        (signature_page("Dr Silva", 10.0), "Dr Silva CRM 12"),
+        (signature_page("Dr Silva", 2.0, "x CRM/SP 12"), "Dr Silva"),  # a search hit is no register token
+        (line("Dr Silva", 100.0, x=200.0) + line("CRM 12", 112.0, first=2), "CRM 12"),  # not above the hit
+        (line("Dr Silva", 100.0, x=60.0) + line("CRM 12", 112.0, first=2), "Dr Silva CRM 12"),
+    ]
+    # The same at every height, so that lines and hits also meet across the strips of a page.
+    moved = [([(*r[:4], r[4] + dy, r[5], r[6] + dy, r[7]) for r in page], gone)
+             for page, gone in cases for dy in range(0, 300, 7)]
+    got = removed_per_page(spark, [page for page, _ in moved])
+    assert [" ".join(g) for g in got] == [gone for _, gone in moved]
 
 
 def test_signature_has_no_second_choice(spark):
-    far = line("Dr Silva", 86.0)
-    near = line("a: b", 100.0, first=2)
-    hit = line("CRM 12", 112.0, first=4)
-    assert removed(spark, far + near + hit, params=RuleParams(prevline_tolerance=30.0)) == ["CRM", "12"]
-
-
-def test_search_hit_is_wider_than_register_token(spark):
-    assert removed(spark, signature_page("Dr Silva", 2.0, "x CRM/SP 12")) == ["Dr", "Silva"]
-
-
-def test_signature_needs_to_be_over_the_hit(spark):
-    upper = line("Dr Silva", 100.0, x=200.0)
-    assert removed(spark, upper + line("CRM 12", 112.0, first=2)) == ["CRM", "12"]
-    upper = line("Dr Silva", 100.0, x=60.0)
-    assert removed(spark, upper + line("CRM 12", 112.0, first=2)) == ["Dr", "Silva", "CRM", "12"]
+    page = line("Dr Silva", 86.0) + line("a: b", 100.0, first=2) + line("CRM 12", 112.0, first=4)
+    assert removed(spark, page, params=RuleParams(prevline_tolerance=30.0)) == ["CRM", "12"]
 
 
 def test_one_pass_equals_the_single_detectors(spark):
