@@ -50,9 +50,11 @@ def by_document(documents: DataFrame) -> DataFrame:
     """Texts hashed by doc_id before they multiply into words.
 
     This is the only large shuffle: whatever is computed per document, page or line afterwards
-    finds its rows together.
+    finds its rows together. The number of partitions is given, as adaptive execution would merge
+    partitions by the size of the texts and not of the words they become.
     """
-    return documents.repartition("doc_id")
+    partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return documents.repartition(partitions, "doc_id")
 
 
 class Scenario:
