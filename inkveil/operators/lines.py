@@ -115,29 +115,23 @@ def _fold_starts(ys: str, tol: float) -> Column:
 
 
 def _tokens_by_cell(words: DataFrame, params: RuleParams) -> DataFrame:
-    columns = words.columns
-    by_cell = Window.partitionBy(*CELL).orderBy("x0", "word_idx")
-    placed_in_cell = _with_band(words).withColumn("strip", F.floor(F.col("x0") / STRIP)) \
-        .withColumn("i", F.row_number().over(by_cell) - 1)
-    cells = _islands(placed_in_cell, params.line_tolerance)
-    here = placed_in_cell.join(cells, CELL)
-    runs_of = _with_runs(here.filter("wide"))
-    runs = _place_runs(runs_of, params.line_tolerance)
+    in_cells = _with_band(words).withColumn("strip", F.floor(F.col("x0") / STRIP))
+    placed = _with_runs(in_cells)
+    cells = _islands(in_cells, params.line_tolerance)
+    runs = _place_runs(placed.join(cells.filter("wide"), CELL), params.line_tolerance)
 
     # Lines are counted per island and numbered down the page.
-    per_island = cells.select(*ISLAND).distinct().join(
+    counted = cells.select(*ISLAND).distinct().join(
         runs.groupBy(*ISLAND).agg((F.max("line_in_island") + 1).alias("n_lines")), ISLAND, "left")
     above = Window.partitionBy(*PAGE).orderBy("island").rowsBetween(Window.unboundedPreceding, -1)
-    base = per_island.select(*ISLAND, F.coalesce(
+    numbered = counted.select(*ISLAND, F.coalesce(
         F.sum(F.coalesce("n_lines", F.lit(1))).over(above), F.lit(0)).alias("base"))
 
-    narrow = here.filter("NOT wide").withColumns(
-        {"line_in_island": F.lit(0), "pos": F.col("offset") + F.col("i")})
-    wide = runs_of.join(runs.drop("island"), [*CELL, "run"]).withColumn("pos", F.col("before") + F.col("at"))
-    kept = [*columns, "island", "line_in_island", "pos"]
-    return union_all(narrow.select(*kept), wide.select(*kept)).join(base, ISLAND).select(
-        *columns, (F.col("base") + F.col("line_in_island")).cast("int").alias("line_no"),
-        F.col("pos").cast("int").alias("pos"))
+    return placed.join(cells.join(numbered, ISLAND), CELL) \
+        .join(runs.drop("island"), [*CELL, "run"], "left") \
+        .select(*words.columns,
+                (F.col("base") + F.coalesce("line_in_island", F.lit(0))).cast("int").alias("line_no"),
+                F.coalesce(F.col("before") + F.col("at"), F.col("offset") + F.col("i")).cast("int").alias("pos"))
 
 
 def _islands(words: DataFrame, tol: float) -> DataFrame:
@@ -163,11 +157,13 @@ def _islands(words: DataFrame, tol: float) -> DataFrame:
 
 
 def _with_runs(words: DataFrame) -> DataFrame:
-    """Adds run and at: neighbours in a cell with the same y0, and the place of a word among them."""
-    by_cell = Window.partitionBy(*CELL).orderBy("i")
+    """Adds i, the place of a word in its cell; run, neighbours with the same y0; and at, its place there."""
+    by_cell = Window.partitionBy(*CELL).orderBy("x0", "word_idx")
     so_far = by_cell.rowsBetween(Window.unboundedPreceding, 0)
-    new = F.coalesce(F.lag("y0").over(by_cell) != F.col("y0"), F.lit(True))
-    return words.withColumn("new", new).withColumns({
+    return words.withColumns({
+        "i": F.row_number().over(by_cell) - 1,
+        "new": F.coalesce(F.lag("y0").over(by_cell) != F.col("y0"), F.lit(True)),
+    }).withColumns({
         "run": F.count_if("new").over(so_far),
         "at": F.col("i") - F.max(F.when(F.col("new"), F.col("i"))).over(so_far)}).drop("new")
 
