@@ -6,6 +6,7 @@ overwrites its own folders, and the boxes are computed once although two later s
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from inkveil.operators.apply import kept_words
 from inkveil.operators.audit import audit, document_measures
 from inkveil.operators.pages import published_pages, text_page
 from inkveil.plans.pipeline import Redactor
-from inkveil.sources.outputs import write_batch
+from inkveil.sources.outputs import output_objects, write_batch
 
 
 @dataclass(frozen=True)
@@ -22,19 +23,26 @@ class BatchTables:
     redactions: DataFrame
     published: DataFrame
     audit: DataFrame
+    objects: DataFrame
+    seconds: float
 
 
 def run_batch(redactor: Redactor, items: DataFrame, documents: DataFrame, words: DataFrame,
-              pages: DataFrame, root: str, batch_id: int) -> BatchTables:
+              pages: DataFrame, root: str, batch_id: int, epoch_seconds: int) -> BatchTables:
     """Redacts the documents (doc_id, text) behind work items (event_id, pos, bucket, key, doc_id).
 
-    Writes redactions, published and audit below root.
+    Writes redactions, published, audit and objects below root. epoch_seconds is the time of the batch.
     """
-    def stage(df: DataFrame, name: str) -> DataFrame:
-        return df.sparkSession.read.schema(df.schema).parquet(write_batch(df, f"{root}/{name}", batch_id))
+    started = time.monotonic()
+
+    def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        path = write_batch(df, f"{root}/{name}", batch_id, partition_by)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     boxes = stage(redactor.plan(words, pages), "redactions")
     kept = kept_words(redactor.tokens(text_page(words)), boxes)
     published = stage(published_pages(kept, pages, redactor.params), "published")
     measures = document_measures(documents, pages, text_page(words), boxes, published)
-    return BatchTables(boxes, published, stage(audit(items, measures, redactor.params), "audit"))
+    results = stage(audit(items, measures, redactor.params), "audit")
+    objects = stage(output_objects(results, epoch_seconds), "objects", ("output_bucket",))
+    return BatchTables(boxes, published, results, objects, round(time.monotonic() - started, 3))

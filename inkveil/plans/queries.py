@@ -124,7 +124,7 @@ class Scenario:
                              .select("doc_id", "text", "source"))
         readable = wanted.filter(F.col("source") != PAGELESS_SOURCE)
         job = run_batch(self.redactor, items, wanted, words.text_words(readable, LAYOUT),
-                        words.text_pages(readable, LAYOUT), scratch_dir(self.spark, "job"), 0)
+                        words.text_pages(readable, LAYOUT), scratch_dir(self.spark, "job"), 0, BATCH_TIME)
         return job.audit
 
 

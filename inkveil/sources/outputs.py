@@ -3,10 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from inkveil.functions.keys import provenance
 
 CONTENT_TYPE = "application/pdf"
 
 
+def output_objects(results: DataFrame, epoch_seconds: int) -> DataFrame:
+    """What is stored for each successful work item: where, its content type, and its provenance."""
+    c = F.col
+    return results.filter(c("status") == "success").select(
+        "event_id", "pos", "output_bucket", "output_key", F.lit(CONTENT_TYPE).alias("content_type"),
+        provenance(c("input_bucket"), c("input_key"), epoch_seconds).alias("metadata"))
+
+
 def write_batch(df: DataFrame, root: str, batch_id: int | str, partition_by: tuple[str, ...] = ()) -> str:
     """Write one batch as Parquet to its own folder; rerunning the batch overwrites only that folder."""
     path = f"{root.rstrip('/')}/batch_id={batch_id}"

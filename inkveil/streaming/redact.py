@@ -28,7 +28,7 @@ def redaction_stream(spark: SparkSession, folder: str, glob: str, schema: str,
     )
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write(transform(batch), batch_id)
+        write(transform(batch).observe("redacted", F.count(F.lit(1)).alias("rows")), batch_id)
 
     writer = source.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if not keep_running:

@@ -142,7 +142,7 @@ def test_batch_job(spark, tmp_path):
     docs = spark.createDataFrame([(1, "Nome: Ana\nCRM 1"), (2, "a b"), (3, "")], "doc_id BIGINT, text STRING")
     items = spark.createDataFrame([(0, n, "b", f"d/{n}.pdf", n) for n in (1, 2, 3, 4)],
                                   "event_id BIGINT, pos INT, bucket STRING, key STRING, doc_id BIGINT")
-    job = run_batch(Redactor(BLANK, RuleParams(), 100), items, docs, words_df(spark, rows), bounds, str(tmp_path), 1)
+    job = run_batch(Redactor(BLANK, RuleParams(), 100), items, docs, words_df(spark, rows), bounds, str(tmp_path), 1, 1700)
     got = {r.pos: r for r in job.audit.collect()}
     assert {n: (r.status, r.error) for n, r in got.items()} == {
         1: ("success", None), 2: ("success", None), 3: ("error", "PDF must have at least 1 page"),
@@ -150,6 +150,11 @@ def test_batch_job(spark, tmp_path):
     assert (got[1].n_words_in, got[1].n_words_removed, got[1].n_boxes, got[1].output_size) == (4, 3, 3, 5)
     assert (got[2].n_pages, got[2].n_pages_dropped, got[2].n_words_removed) == (4, 2, 0)
     assert got[3].output_key is None and got[1].output_key.startswith("d/anonymized_")
+    stored = {r.pos: r for r in job.objects.collect()}
+    assert set(stored) == {1, 2} and stored[1].output_key == got[1].output_key
+    assert stored[1].metadata == {"original-bucket": "b", "original-key": "d/1.pdf",
+                                  "processing-timestamp": "1700", "anonymized": "true"}
+    assert job.seconds == round(job.seconds, 3) > 0
 
 
 def test_grid_burn(spark):
