@@ -49,9 +49,21 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, memory: str = "1
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's shared spark.checkpoint.dir; local only where that is unset."""
+    """A new folder below the cluster's shared spark.checkpoint.dir.
+
+    Only a local master may do without that setting: executors of a cluster share no other folder.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = tempfile.mkdtemp(prefix="inkveil-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written once below the shared folder and read back: lineage ends, lost executors lose nothing."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
