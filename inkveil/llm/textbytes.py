@@ -109,7 +109,7 @@ class Words:
         raw, self.offsets = buffers(column)
         self.data = raw if fold is AS_IS else fold[raw]
         self.n_texts = len(column)
-        inside = letters[raw]
+        inside = letters[self.data]
         opens, closes = inside.copy(), inside.copy()
         if len(raw):
             opens[1:] &= ~inside[:-1]
