@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import suffix_dedup
+from inkveil.llm import dart_minhash, decontaminate, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,17 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.class_ids(_table(spark, sf_dir, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("item_ids")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_suffix_dedup,)}
+    return {f.__name__: f for f in (op2_suffix_dedup, op4_dart_minhash, op8_decontamination)}
 
 
 def statements() -> dict[str, str]:
