@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import dart_minhash, decontaminate, suffix_dedup
+from inkveil.llm import dart_minhash, decontaminate, packing, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +26,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("item_ids")
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_suffix_dedup, op4_dart_minhash, op8_decontamination)}
+    return {f.__name__: f for f in (op2_suffix_dedup, op4_dart_minhash, op8_decontamination, op9_best_fit_packing)}
 
 
 def statements() -> dict[str, str]:
