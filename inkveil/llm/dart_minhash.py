@@ -200,7 +200,8 @@ def tied(signed_: DataFrame, docs: DataFrame, params: NearParams = NearParams())
     distinct = signed_.where("n > 0").dropDuplicates(["g"])
     buckets = distinct.select("g", F.explode("bands").alias("b"))
     leaders = buckets.groupBy("b").agg(F.min("g").alias("leader"), F.count("*").alias("m")).where("m > 1")
-    rows = staged(buckets.join(leaders.select("b", "leader"), "b"), "bucket-rows")
+    leaders = staged(leaders.select("b", "leader"), "leaders")  # a table, so that the join of a large bucket can be split
+    rows = staged(buckets.join(leaders, "b"), "bucket-rows")
     one_text = signed_.groupBy("g").agg(F.min(F.struct("_id", "_th")).alias("at"))
     one_text = one_text.join(rows.select("g").distinct(), "g").select("g", "at.*")
     texts = keyed(docs).join(one_text, ["_id", "_th"]).dropDuplicates(["g"]).select("g", "_text")
@@ -223,7 +224,7 @@ def tied(signed_: DataFrame, docs: DataFrame, params: NearParams = NearParams())
         parts = rows.groupBy("b", "c").agg(F.count("*").alias("n"))
         groups = parts.groupBy("b").agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("m"))
         groups = groups.where("most.n < m").select("b", F.col("most.c").alias("main"), F.ceil((F.col("m") - F.col("most.n")) / params.leaders).alias("turns"))
-        rows = staged(rows.join(groups, "b").withColumn(
+        rows = staged(rows.join(staged(groups, "mixed"), "b").withColumn(
             "leads", F.expr(f"c <> main and pmod(xxhash64(g, {len(compared)}L), turns) = 0")), "groups")
         if rows.isEmpty():
             return found
@@ -245,7 +246,8 @@ def classes(docs: DataFrame, params: NearParams = NearParams()) -> tuple[DataFra
     roots = tied(signed_, docs, params)
     rooted = signed_.where("n > 0").groupBy("g").agg(F.min(F.struct("_id", "_th")).alias("least"))
     rooted = rooted.join(roots, rooted.g == roots.node, "left").select("g", F.coalesce("root", "g").alias("root"), "least")
-    least = rooted.groupBy("root").agg(F.min("least").alias("least"))
+    rooted = staged(rooted, "rooted")
+    least = staged(rooted.groupBy("root").agg(F.min("least").alias("least")), "least")
     of_text = rooted.select("g", "root").join(least, "root").select("g", "least")
     placed = signed_.select("_id", "_th", "g").join(of_text, "g", "left")
     own = F.coalesce("least", F.struct("_id", "_th"))
