@@ -4,16 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import suffix_dedup
+from inkveil.llm import dart_minhash, decontaminate, packing, suffix_dedup, toxicity
 from inkveil.session import staged
 
 
+def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier finds toxic go; it learns from `labels`."""
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document of least id stays."""
+    return dart_minhash.one_of_each(docs)
+
+
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of repeated passages are cut out of the texts."""
     return suffix_dedup.remove_later(docs)
 
 
-STAGES = [("suffix_array_dedup", passages)]
+def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a window of a benchmark item go."""
+    return decontaminate.uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of what is left, packed into sequences."""
+    return packing.packed(docs)
+
+
+STAGES = [
+    ("toxicity", civil),
+    ("minhash_near_dedup", distinct),
+    ("suffix_array_dedup", passages),
+    ("benchmark_decontamination", unseen),
+    ("best_fit_packing", sequences),
+]
 
 #: The stages learn models and compare texts pair by pair, which SQL cannot express; the tests hold them against brute force.
 ORACLE_SQL = None

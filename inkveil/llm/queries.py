@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import dart_minhash, decontaminate, packing, suffix_dedup
+from inkveil.llm import dart_minhash, decontaminate, packing, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.class_ids(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.drop("item_ids")
@@ -31,7 +35,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_suffix_dedup, op4_dart_minhash, op8_decontamination, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op2_suffix_dedup, op4_dart_minhash, op6_toxicity, op8_decontamination, op9_best_fit_packing)}
 
 
 def statements() -> dict[str, str]:
