@@ -126,6 +126,20 @@ class Words:
         self.hashes = Spans(self.data).of(self.starts, self.ends)
 
 
+def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, stop and text of each line, and each text's first line; a text has a line more than line feeds."""
+    ends = np.flatnonzero(data == 10)
+    n = len(offsets) - 1
+    stop = np.r_[ends, offsets[1:]]
+    owner = np.r_[np.searchsorted(offsets, ends, "right") - 1, np.arange(n)]
+    order = np.lexsort((np.r_[np.zeros(len(ends)), np.ones(n)], stop, owner))
+    stop, owner = stop[order], owner[order]
+    firsts = np.searchsorted(owner, np.arange(n + 1))
+    start = np.r_[0, stop[:-1] + 1][:len(stop)]
+    start[firsts[:-1]] = offsets[:-1]
+    return start, stop, owner, firsts
+
+
 def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     """A hash of each run of `width` consecutive hashes; the caller drops runs that cross texts."""
     n = len(hashes) - width + 1
