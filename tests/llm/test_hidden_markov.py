@@ -1,0 +1,117 @@
+"""Scores against plain counting and against sums over all state paths."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+from itertools import product
+
+import numpy as np
+import pyarrow as pa
+
+from inkveil.llm.hidden_markov import (
+    MarkovParams, Model, _classes, expected, improved, log10_likelihood, scores, token_counts, token_words, vocabulary)
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SMALL = MarkovParams(states=3, own_classes=6, endings=4, near_tokens=12, segment=16, rounds=2, sample_documents=20, sample_rounds=4,
+                     held_tokens=8)
+
+
+def lowered(text):
+    return "".join(c.lower() if c.isascii() else c for c in text or "")
+
+
+def corpus(n=60):
+    rng = random.Random(3)
+    words = [["the", "of", "stone", "river", "x1", "The"], ["der", "über", "fluß", "STEIN", "ÜBER", "und"]]
+    rows = [(i, " ".join(rng.choices(words[i % 2], k=rng.randint(0, 50)) + [f"rare{rng.randrange(40)}"])) for i in range(n)]
+    return rows + [(1000, None), (1001, ""), (None, "the stone"), (1002, "the " * 40000), (7, "once more"), (1003, "\x0b new\tword")]
+
+
+def base_scores(rows):
+    fold = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5
+    tokens = [[*WORD.findall(lowered(t)), None] for _, t in rows]
+    count = Counter(w for (i, _), own in zip(rows, tokens) if fold(i) != 1 for w in own)
+    total, distinct = sum(count.values()), len(count)
+    found = []
+    for (i, _), own in zip(rows, tokens):
+        score = sum(math.log10((count[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in own)
+        found.append((i, fold(i) == 1, len(own), sum(count[w] > 0 for w in own), total, score))
+    return found
+
+
+def test_base_scores_are_those_of_plain_counting(spark):
+    rows = corpus()
+    docs = spark.createDataFrame([(*r, 2) for r in rows], "doc_id long, text string, r int")
+    for params in (SMALL, MarkovParams(states=2, sample_rounds=2, rounds=1)):
+        got = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in scores(docs, params).collect()]
+        key = lambda r: (r[0] is not None, r[0] or 0, r[2])
+        for a, b in zip(sorted(got, key=key), sorted(base_scores(rows), key=key), strict=True):
+            assert a[:5] == b[:5] and math.isclose(a[5], b[5], rel_tol=1e-9, abs_tol=1e-9), (a, b)
+
+
+def test_model_beats_the_base_on_held_out_texts(spark):
+    docs = spark.createDataFrame(corpus(200), "doc_id long, text string")
+    held = [r for r in scores(docs, MarkovParams(states=2)).collect() if r.held_out and r.n_tokens > 10 and r.n_tokens < 100]
+    assert len(held) > 15 and sum(r.score for r in held) > sum(r.base_score for r in held)
+    assert all(r.score < 0 for r in held)
+
+
+def random_model(params, seed):
+    rng = np.random.default_rng(seed)
+    part = lambda *shape: (x := rng.random(shape) + 0.1) / x.sum(axis=-1, keepdims=True)
+    return Model(part(2, params.states), part(params.states, params.states), part(params.states, params.classes).T)
+
+
+def all_paths(kinds, model):
+    total, states = 0.0, range(model.step.shape[0])
+    for path in product(states, repeat=len(kinds)):
+        p = model.start[0][path[0]]
+        for t, s in enumerate(path):
+            p *= model.emit[kinds[t]][s] * (model.step[path[t - 1]][s] if t else 1)
+        total += p
+    return math.log10(total)
+
+
+def test_likelihood_is_the_sum_over_all_paths():
+    model, rng = random_model(SMALL, 1), np.random.default_rng(2)
+    own = [rng.integers(0, SMALL.classes, n) for n in (1, 5, 3, 7)]
+    firsts = np.r_[0, np.cumsum([len(x) for x in own])]
+    got = log10_likelihood(np.concatenate(own), firsts, model)
+    assert np.allclose(got, [all_paths(x, model) for x in own])
+
+
+def test_rounds_of_baum_welch_raise_the_likelihood():
+    rng = np.random.default_rng(4)
+    kinds = np.concatenate([np.r_[rng.integers(1, 4, 30) + 4 * (i % 2), 0] for i in range(30)])
+    firsts = np.arange(0, len(kinds) + 1, 31)
+    params = MarkovParams(states=3, own_classes=6, endings=4, segment=16, smoothing=1e-9)
+    model, seen = random_model(params, 5), []
+    frequency = np.full(params.classes, 1 / params.classes)
+    for _ in range(12):
+        sums, likelihood = expected(kinds, firsts, model, params)
+        seen.append(likelihood)
+        assert np.isclose(sums.emit.sum(), len(kinds), rtol=1e-4)
+        model = improved(sums, frequency, params)
+    assert all(b > a - 1 for a, b in zip(seen, seen[1:])) and seen[-1] > seen[0] + 100
+
+
+def test_a_state_gives_all_tokens_one_probability_in_total(spark):
+    rows = [(i, t) for i, t in corpus(40) if i is not None and i < 1000]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    vocab = vocabulary(token_counts(docs, SMALL), len(rows), SMALL)
+    words = sorted({w for _, t in rows for w in WORD.findall(lowered(t))})
+    count = Counter(w for _, t in rows for w in WORD.findall(lowered(t)))
+    kind, _ = _classes(token_words(pa.array([" ".join(words)])), vocab, SMALL)
+    inside = np.bincount(kind, [(count[w] + 0.5) for w in words], SMALL.classes)
+    inside[0] = len(rows)
+    assert np.allclose(inside + 0.5, vocab.masses)
+
+
+def test_nothing_to_train_on_and_empty_tables(spark):
+    schema = "doc_id long, text string"
+    alone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
+    got = scores(spark.createDataFrame([(alone, "a b")], schema), SMALL).collect()
+    assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(3, 0, 0, 0.0)]
+    assert scores(spark.createDataFrame([], schema), SMALL).collect() == []
