@@ -15,9 +15,9 @@ Joining. Equal texts are one class first. Bands of `rows` coordinates meet by ha
 by their whole lists of shingles, and links form components. A bucket of one component is done: groups of copies,
 however large, end here. The texts of other buckets (a passage that many otherwise different texts share brings such
 buckets) meet again by the rarest fifth of their shingles, of which two similar texts always share one. In each
-of these smaller groups the members outside its largest component are compared with all other components, some at
-a time where they are many, until one component is left or all have been compared. No pair that can change a class
-is skipped for the size of its group, and pairs within a component are not listed.
+of these smaller groups the members outside its largest component, in blocks of `block`, are compared with all
+others: a block's shingles are one table that every other member looks its own up in, and what comes out are links
+between components, not pairs. No pair that can change a class is skipped for the size of its group.
 
 Texts without words (null and empty ones too) are classes of their own, never linked. Rows that repeat an id and a
 text are copies.
@@ -28,7 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +52,11 @@ class NearParams:
     seed: int = 7
     #: Of the units of texts that share a bucket but no component, so many of the most frequent are told apart by count.
     common_units: int = 1 << 16
-    #: Members of a group that are compared with all of its other components at a time.
-    leaders: int = 64
+    #: Members of a group that are held at once to compare others with.
+    block: int = 256
+    #: Members of a group that are compared with all others in one round, and members that one task takes of a group.
+    leaders: int = 4096
+    part: int = 2048
 
     @property
     def coordinates(self) -> int:
@@ -186,15 +189,57 @@ def _compared(pairs: DataFrame, units: DataFrame, params: NearParams) -> DataFra
         partial(_compare, params=params), "g binary, leader binary, similar boolean"), "compared")
 
 
+def _meet(batches: Iterator[pa.RecordBatch], params: NearParams) -> Iterator[pa.RecordBatch]:
+    """Links between components: rows come by (b, block, part), the block's leaders before the others."""
+    at, leaders, table = None, [], None
+    for rows in batches:
+        found: list[tuple[bytes, bytes]] = []
+        columns = [rows.column(c).to_pylist() for c in ("b", "block", "part", "leads", "g", "c", "units")]
+        for b, block, part, leads, g, c, raw in zip(*columns, strict=True):
+            if (b, block, part) != at:
+                at, leaders, table = (b, block, part), [], None
+            units = np.frombuffer(raw, np.uint32)
+            if leads:
+                leaders.append((g, c, units))
+                continue
+            if table is None:
+                sizes = np.array([len(x) for _, _, x in leaders])
+                known, place = np.unique(np.concatenate([x for _, _, x in leaders]), return_inverse=True)
+                which = np.repeat(np.arange(len(leaders)), sizes)
+                table = np.zeros((len(known), -(-len(leaders) // 8)), np.uint8)  # a bit for each leader
+                np.bitwise_or.at(table, (place, which >> 3), (1 << (which & 7)).astype(np.uint8))
+            near = np.searchsorted(known, units)
+            near[near == len(known)] = 0
+            bits = np.unpackbits(table[near[known[near] == units]], axis=1, count=len(leaders), bitorder="little")
+            shared = bits.sum(axis=0, dtype=np.int64)
+            linked = {}
+            for i in np.flatnonzero(shared >= params.similarity * (len(units) + sizes - shared)):
+                if leaders[i][1] != c:
+                    linked.setdefault(leaders[i][1], leaders[i][0])
+            found += [(g, leader) for leader in linked.values()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x for x, _ in found], pa.binary()), pa.array([x for _, x in found], pa.binary())], ["u", "v"])
+
+
+def _met(rows: DataFrame, units: DataFrame, params: NearParams) -> DataFrame:
+    """Links of the members `leads` of each group with members of its other components."""
+    messages = rows.select("b", "g", "c", F.lit(False).alias("leads"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+                           F.pmod(F.xxhash64("g"), "parts").alias("part"))
+    first = rows.where("leads").select("b", "g", "c", F.lit(True).alias("leads"), F.expr("pmod(xxhash64(g, 3L), blocks)").alias("block"),
+                                       F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    # Random blocks may be empty: members without a leader have nobody to meet.
+    full = first.select("b", "block").distinct()
+    messages = messages.join(full, ["b", "block"], "left_semi").unionByName(first).join(units, "g")
+    dealt = messages.repartition("b", "block", "part").sortWithinPartitions("b", "block", "part", F.desc("leads"))
+    return staged(dealt.select("b", "block", "part", "leads", "g", "c", "units").mapInArrow(
+        partial(_meet, params=params), "u binary, v binary").distinct(), "met")
+
+
 def _tied(rows: DataFrame, tied: DataFrame) -> DataFrame:
     """The rows with their component c so far."""
     return rows.join(tied.withColumnRenamed("node", "g"), "g", "left").select("b", "g", F.coalesce("root", "g").alias("c"))
 
 
-def _links_of(compared: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionAll, compared).where("similar").select(F.col("g").alias("u"), F.col("leader").alias("v"))
-
-
 def tied(signed_: DataFrame, docs: DataFrame, params: NearParams = NearParams()) -> DataFrame:
     """(node, root) of the classes of equal texts that are similar to others, by component."""
     distinct = signed_.where("n > 0").dropDuplicates(["g"])
@@ -206,8 +251,9 @@ def tied(signed_: DataFrame, docs: DataFrame, params: NearParams = NearParams())
     one_text = one_text.join(rows.select("g").distinct(), "g").select("g", "at.*")
     texts = keyed(docs).join(one_text, ["_id", "_th"]).dropDuplicates(["g"]).select("g", "_text")
     units = staged(texts.mapInArrow(partial(_list_units, params=params), "g binary, units binary"), "units")
-    compared = [_compared(rows.where("g <> leader").select("g", "leader").distinct(), units, params)]
-    found = components(_links_of(compared))
+    compared = _compared(rows.where("g <> leader").select("g", "leader").distinct(), units, params)
+    links = compared.where("similar").select(F.col("g").alias("u"), F.col("leader").alias("v"))
+    found = components(links)
 
     placed = _tied(rows, found)
     open_ = placed.groupBy("b").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("b")
@@ -218,26 +264,30 @@ def tied(signed_: DataFrame, docs: DataFrame, params: NearParams = NearParams())
         sorted((r.unit, r.n) for r in counted.where("n > 8").orderBy(F.desc("n"), "unit").limit(params.common_units).collect()),
         dtype=[("unit", np.uint32), ("n", np.int64)])
     rows = loose.mapInArrow(partial(_rarest, params=params, common=common), "g binary, b bigint")
-    rows = staged(rows.join(rows.groupBy("b").count().where("count > 1").select("b"), "b", "left_semi").select("b", "g"), "rare")
+    # Groups of the same members are one group.
+    members = rows.groupBy("b").agg(F.count("*").alias("m"), F.sum(F.xxhash64("g").cast("decimal(38,0)")).alias("s"))
+    members = members.where("m > 1").groupBy("m", "s").agg(F.min("b").alias("b")).select("b")
+    rows = staged(rows.join(staged(members, "groups"), "b", "left_semi").select("b", "g"), "rare")
+    turn = 0
     while True:
         rows = _tied(rows, found)
         parts = rows.groupBy("b", "c").agg(F.count("*").alias("n"))
-        groups = parts.groupBy("b").agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("m"))
-        groups = groups.where("most.n < m").select("b", F.col("most.c").alias("main"), F.ceil((F.col("m") - F.col("most.n")) / params.leaders).alias("turns"))
+        groups = parts.groupBy("b").agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("m")).where("most.n < m")
+        outside = F.col("m") - F.col("most.n")
+        groups = groups.select(
+            "b", F.col("most.c").alias("main"), F.ceil(outside / params.leaders).alias("turns"),
+            F.ceil(F.least(outside, F.lit(2 * params.leaders)) / params.block).cast("int").alias("blocks"),
+            F.ceil(F.col("m") / params.part).alias("parts"))
         rows = staged(rows.join(staged(groups, "mixed"), "b").withColumn(
-            "leads", F.expr(f"c <> main and pmod(xxhash64(g, {len(compared)}L), turns) = 0")), "groups")
+            "leads", F.expr(f"c <> main and pmod(xxhash64(g, {turn}L), turns) = 0")), "mixed-rows")
         if rows.isEmpty():
             return found
-        lead = rows.where("leads").select("b", F.col("g").alias("leader"), F.col("c").alias("lc"))
-        # Two leaders of a group are compared once.
-        pairs = rows.join(lead, "b").where("c <> lc and (not leads or g > leader)").select("g", "leader").distinct()
-        for earlier in compared:
-            done = earlier.select("g", "leader").unionAll(earlier.select("leader", "g"))
-            pairs = pairs.join(done, ["g", "leader"], "left_anti")
-        compared.append(_compared(pairs, units, params))
-        if not compared[-1].where("similar").isEmpty():
-            found = components(_links_of(compared))
+        met = _met(rows, units, params)
+        if not met.isEmpty():
+            links = staged(links.unionAll(met), "links")
+            found = components(links)
         rows = rows.where("not leads").select("b", "g")
+        turn += 1
 
 
 def classes(docs: DataFrame, params: NearParams = NearParams()) -> tuple[DataFrame, DataFrame]:
