@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import dart_minhash, decontaminate, language, packing, quality_crf, rule_ledger, sql, suffix_dedup, toxicity
+from inkveil.llm import dart_minhash, decontaminate, hidden_markov, language, packing, quality_crf, rule_ledger, sql, suffix_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
+def op3_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.class_ids(_table(spark, sf_dir, "documents"))
 
@@ -47,12 +51,16 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
 
+def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.scores(_table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality_crf, op2_suffix_dedup, op4_dart_minhash, op5_language_bayes, op6_toxicity, op7_rule_ledger,
-        op8_decontamination, op9_best_fit_packing)}
+        op1_quality_crf, op2_suffix_dedup, op3_warc_normaliser, op4_dart_minhash, op5_language_bayes, op6_toxicity,
+        op7_rule_ledger, op8_decontamination, op9_best_fit_packing, op10_hidden_markov)}
 
 
 def statements() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express; the others are held against brute force or held-out rows in the tests."""
-    return {"op7_rule_ledger": sql.RULE_LEDGER, "op8_decontamination": sql.DECONTAMINATION}
+    return {"op3_warc_normaliser": sql.WARC, "op7_rule_ledger": sql.RULE_LEDGER, "op8_decontamination": sql.DECONTAMINATION}
