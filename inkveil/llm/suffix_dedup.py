@@ -57,6 +57,13 @@ class SuffixParams:
     sort_bytes: int = 1 << 21
 
 
+def _met(rows: DataFrame) -> DataFrame:
+    """The rows whose anchor occurs again. The anchors are a table of their own: adaptive execution can split the join
+    of one that a third of all texts have, which it cannot where an aggregate feeds the join."""
+    met = rows.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
+    return rows.join(staged(met, "met"), "k", "left_semi")
+
+
 def _least(keys: np.ndarray, width: int) -> np.ndarray:
     """The least of each `width` consecutive keys."""
     n = len(keys) - width + 1
@@ -272,8 +279,7 @@ def spans(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFrame:
     """
     keys = keyed(docs)
     rows = staged(keys.mapInArrow(partial(_fragments, params=params), FRAGMENT), "anchors")
-    met = rows.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
-    rows = rows.join(met, "k", "left_semi")
+    rows = _met(rows)
     found = []
     for width in (*params.splits, 0):
         rows = staged(rows.select("_id", "_th", "lo", "hi", "p", "k", "f"), "fragments")
@@ -284,7 +290,7 @@ def spans(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFrame:
         found.append(rows.join(copies, ["k", "f"]).select(
             "_id", "_th", F.col("lo").alias("s"), F.col("hi").alias("e"),
             (F.struct("_id", "_th", "lo") > F.struct("at._id", "at._th", "at.lo")).alias("earlier")))
-        buckets = distinct.groupBy("k").agg(F.count("*").alias("m")).where("m > 1")
+        buckets = staged(distinct.groupBy("k").agg(F.count("*").alias("m")).where("m > 1"), "buckets")
         if not width or buckets.isEmpty():
             break
         wanted = distinct.join(buckets, "k").select("k", "at.*")
@@ -305,8 +311,7 @@ def spans(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFrame:
             break
         large = large.select("k", "_id", "_th", "lo", "hi", "p", "piece")
         rows = large.mapInArrow(partial(_sub_windows, params=params, width=width), FRAGMENT)
-        rows = staged(rows, "narrower")
-        rows = rows.join(rows.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "k", "left_semi")
+        rows = _met(staged(rows, "narrower"))
     return reduce(DataFrame.unionAll, found)
 
 
