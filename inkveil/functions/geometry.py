@@ -32,8 +32,8 @@ def absolute_edges(lo: Column, hi: Column, origin: Column, extent: Column) -> tu
 
 
 def pixel(rel: Column, size: Column) -> Column:
-    """A relative coordinate as a pixel index: truncated, neither clamped nor reordered."""
-    return (rel * size).cast("int")
+    """A relative coordinate as a pixel index: truncated, neither clamped nor reordered; null beyond any image."""
+    return (rel * size).try_cast("int")
 
 
 def raster_size(points: Column, dpi: int) -> Column:

@@ -10,41 +10,47 @@ from inkveil.operators.pages import NO_PAGES
 from inkveil.params import RuleParams
 from inkveil.sources.objects import MISSING
 
+# The messages of a response.
 NOTHING_TO_DO = "No PDF files to process"
 COMPLETED = "PDF processing completed"
 MEASURES = ["input_size", "output_size", "n_pages", "n_words_in", "n_words_removed", "n_boxes"]
 
 
-def document_measures(documents: DataFrame, pages: DataFrame, words: DataFrame, boxes: DataFrame,
-                      published: DataFrame) -> DataFrame:
-    """Sizes and counts per document: (doc_id, MEASURES). Words are those of the text page.
+def document_measures(documents: DataFrame, pages: DataFrame, tokens: DataFrame, boxes: DataFrame,
+                      published: DataFrame, page_errors: DataFrame) -> DataFrame:
+    """Sizes and counts per document: (doc_id, MEASURES, problem). Tokens are the non-blank words of the text page.
 
-    Each table is reduced to one row per document before the join.
+    documents: (doc_id, text, error); page_errors: (doc_id, error). Each table is reduced to one row per document
+    before the join.
     """
-    joined = documents.select("doc_id", F.octet_length("text").cast("bigint").alias("input_size"))
+    joined = documents.select("doc_id", F.octet_length("text").cast("bigint").alias("input_size"),
+                              F.col("error").alias("content_error"))
     one = F.count(F.lit(1))
     for part in (
         pages.groupBy("doc_id").agg(F.max("page_no").cast("bigint").alias("n_pages")),
-        words.groupBy("doc_id").agg(one.alias("n_words_in")),
+        tokens.groupBy("doc_id").agg(one.alias("n_words_in")),
         boxes.groupBy("doc_id").agg(one.alias("n_boxes")),
         published.groupBy("doc_id").agg(F.sum("n_words").alias("n_words_out"),
                                         F.sum(F.octet_length("text")).alias("output_size")),
+        page_errors.groupBy("doc_id").agg(F.min("error").alias("page_error")),
     ):
         joined = joined.join(part, "doc_id", "left")
     zero = F.lit(0).cast("bigint")
     counted = joined.withColumns({
         c: F.coalesce(c, zero) for c in ("n_pages", "n_words_in", "n_words_out", "n_boxes", "output_size")})
+    problem = F.coalesce("content_error", F.when(F.col("n_pages") == 0, F.lit(NO_PAGES)), "page_error")
     return counted.withColumn("n_words_removed", F.col("n_words_in") - F.col("n_words_out")) \
-        .select("doc_id", *MEASURES)
+        .select("doc_id", *MEASURES, problem.alias("problem"))
 
 
 def audit(items: DataFrame, measures: DataFrame, params: RuleParams) -> DataFrame:
     """Work items (event_id, pos, bucket, key, doc_id) with the outcome of their document.
 
-    A missing document or one without pages becomes an error row; nothing raises.
+    A document that is missing, is no PDF, has no pages, or has a page that cannot be read or burned becomes an
+    error row; nothing raises.
     """
     c = F.col
-    error = F.when(c("input_size").isNull(), F.lit(MISSING)).when(c("n_pages") == 0, F.lit(NO_PAGES))
+    error = F.when(c("n_pages").isNull(), F.lit(MISSING)).otherwise(c("problem"))
     ok = error.isNull()
 
     def on_success(value: Column) -> Column:

@@ -28,9 +28,13 @@ def mark_words(words: DataFrame, labels: DataFrame, tokens: DataFrame, search_te
 
 
 def marked_register(hits: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Adds is_register. Search terms are the lower-case register tokens, so only hits need the test."""
+    """Adds is_register. Search terms are the lower-case register tokens, so only hits need the test.
+
+    Other words get one of many keys that no token has, so that a shuffled join does not meet them all in one task.
+    """
     register = tokens.select(F.col("token").alias("_token"), F.lit(True).alias("is_register"))
-    stripped = F.when(F.col("is_hit"), strip(F.col("text")))
+    spread = F.concat(F.lit("\x00 "), F.pmod(F.xxhash64("doc_id", "page_no", "word_idx"), F.lit(65536)).cast("string"))
+    stripped = F.when(F.col("is_hit"), strip(F.col("text"))).otherwise(spread)
     return hits.join(register, stripped == F.col("_token"), "left").drop("_token") \
         .withColumn("is_register", F.coalesce("is_register", F.lit(False)))
 

@@ -10,6 +10,7 @@ from inkveil.operators.regions import raster_pages
 from inkveil.params import RuleParams
 from inkveil.session import union_all
 
+# Fixed value: the message of a document without pages.
 NO_PAGES = "PDF must have at least 1 page"
 TEXT_PAGE, RASTER_PAGE = 1, 2
 

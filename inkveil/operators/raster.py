@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkveil.functions.geometry import pixel
+
 
 def burn_grid(pixels: Column, width: int, boxes: Column) -> Column:
     """A row-major array of pixels with every pixel inside a box set to 0.
@@ -18,6 +20,19 @@ def burn_grid(pixels: Column, width: int, boxes: Column) -> Column:
     return F.transform(pixels, burn)
 
 
+def published_images(images: DataFrame, regions: DataFrame) -> DataFrame:
+    """Page images (doc_id, page_no, width, height, nChannels, data) with the regions of their page number burned.
+
+    Images that cannot be read are not published; their documents are error rows of the audit.
+    """
+    c = F.col
+    keyed = images.where(c("data").isNotNull()).withColumn("path", F.struct("doc_id", "page_no"))
+    boxes = keyed.select("path", "page_no", "width", "height").join(regions, "page_no").select(
+        "path", pixel(c("r0"), c("width")).alias("px0"), pixel(c("r1"), c("height")).alias("py0"),
+        pixel(c("r2"), c("width")).alias("px1"), pixel(c("r3"), c("height")).alias("py1"))
+    return burn_images(keyed, boxes.dropna()).select("doc_id", "page_no", "width", "height", "nChannels", "data")
+
+
 def burn_images(images: DataFrame, boxes: DataFrame, key: str = "path") -> DataFrame:
     """Blacks out boxes in image rows (key, width, height, nChannels, data).
 

@@ -51,8 +51,7 @@ class RuleParams:
     padding: float = 1.0
     signature_x_slack: float = 50.0
     dpi: int = 220
-    input_bucket: str = "test-input-bucket"
-    output_bucket: str = "test-output-bucket"
+    output_bucket: str = "anonymized"
     # Pages with more words than this are segmented band by band instead of in one window.
     page_split_rows: int = 20_000
 
@@ -75,11 +74,11 @@ PROFILES: dict[str, dict[str, float]] = {
     "documented": {"line_tolerance": 3.0, "prevline_tolerance": 10.0, "padding": 2.0, "dpi": 150},
 }
 
+# The names of the environment variables that deployments set.
 ENV_FIELDS = {
     "LINE_TOLERANCE": ("line_tolerance", float),
     "PREVLINE_TOLERANCE": ("prevline_tolerance", float),
     "PADDING": ("padding", float),
     "DPI_PAGE2_RENDER": ("dpi", int),
-    "INPUT_BUCKET": ("input_bucket", str),
     "OUTPUT_BUCKET": ("output_bucket", str),
 }

@@ -1,7 +1,7 @@
 """A batch job in stages, each written as a table before the next one reads it.
 
 The stage tables cut the lineage: a lost executor costs the tasks of one stage, a restarted batch
-overwrites its own folders, and the boxes are computed once although two later stages need them.
+overwrites its own folders, and the boxes are computed once although several later stages need them.
 """
 
 from __future__ import annotations
@@ -10,12 +10,17 @@ import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from inkveil.operators.apply import kept_words
 from inkveil.operators.audit import audit, document_measures
-from inkveil.operators.pages import published_pages, text_page
+from inkveil.operators.pages import published_pages, raster_page, text_page
+from inkveil.operators.raster import published_images
+from inkveil.operators.regions import raster_pages
 from inkveil.plans.pipeline import Redactor
+from inkveil.sources.images import image_errors
 from inkveil.sources.outputs import output_objects, write_batch
+from inkveil.sources.rules import page_errors
 
 
 @dataclass(frozen=True)
@@ -24,14 +29,18 @@ class BatchTables:
     published: DataFrame
     audit: DataFrame
     objects: DataFrame
+    images: DataFrame | None
     seconds: float
 
 
 def run_batch(redactor: Redactor, items: DataFrame, documents: DataFrame, words: DataFrame,
-              pages: DataFrame, root: str, batch_id: int, epoch_seconds: int) -> BatchTables:
-    """Redacts the documents (doc_id, text) behind work items (event_id, pos, bucket, key, doc_id).
+              pages: DataFrame, root: str, batch_id: int, epoch_seconds: int,
+              images: DataFrame | None = None) -> BatchTables:
+    """Redacts the documents (doc_id, text, error) behind work items (event_id, pos, bucket, key, doc_id).
 
-    Writes redactions, published, audit and objects below root. epoch_seconds is the time of the batch.
+    error is what the check of the content found (sources.objects), or null; the column may be missing. images are
+    page images (doc_id, page_no, width, height, nChannels, data, error), where there are any. Writes tokens,
+    redactions, published, images, audit and objects below root. epoch_seconds is the time of the batch.
     """
     started = time.monotonic()
 
@@ -39,10 +48,18 @@ def run_batch(redactor: Redactor, items: DataFrame, documents: DataFrame, words:
         path = write_batch(df, f"{root}/{name}", batch_id, partition_by)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    boxes = stage(redactor.plan(words, pages), "redactions")
-    kept = kept_words(redactor.tokens(text_page(words)), boxes)
-    published = stage(published_pages(kept, pages, redactor.params), "published")
-    measures = document_measures(documents, pages, text_page(words), boxes, published)
+    if "error" not in documents.columns:
+        documents = documents.withColumn("error", F.lit(None).cast("string"))
+    regions = redactor.tables(items.sparkSession).regions
+    tokens = stage(redactor.marked_tokens(text_page(words)), "tokens")
+    boxes = stage(redactor.plan_of(tokens, pages), "redactions")
+    published = stage(published_pages(kept_words(tokens, boxes), pages, redactor.params), "published")
+    errors = page_errors(raster_pages(raster_page(pages), redactor.params), regions)
+    rasters = None
+    if images is not None:
+        errors = errors.unionAll(image_errors(images))
+        rasters = stage(published_images(images, regions), "images")
+    measures = document_measures(documents, pages, tokens, boxes, published, errors)
     results = stage(audit(items, measures, redactor.params), "audit")
-    objects = stage(output_objects(results, epoch_seconds), "objects", ("output_bucket",))
-    return BatchTables(boxes, published, results, objects, round(time.monotonic() - started, 3))
+    objects = stage(output_objects(results, items, published, epoch_seconds), "objects", ("ingest_date", "output_bucket"))
+    return BatchTables(boxes, published, results, objects, rasters, round(time.monotonic() - started, 3))

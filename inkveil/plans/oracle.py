@@ -32,8 +32,12 @@ _WORDS = r"""cut AS (
                CASE WHEN i % 37 = 0 THEN token || ':' ELSE token END AS text FROM tok)
 )"""
 
-_MEASURED_DOCS = """ WHERE lang <> 'es' AND source <> 'src0'
-    AND doc_id IN (SELECT CAST(regexp_extract(key, '_([0-9]+)[.][^.]*$', 1) AS BIGINT) FROM items)"""
+_STORED = """stored AS (
+  SELECT doc_id, text FROM documents
+  UNION ALL SELECT -page_id - 1, ' ' || chr(10) FROM pages WHERE page_id % 11 = 7
+)"""
+
+_MEASURED_DOCS = " WHERE doc_id IN (SELECT doc_id FROM items)"
 
 
 def _steps(tol: float, all_pages: bool, source: str = "") -> dict[str, str]:
@@ -152,11 +156,12 @@ _EVENTS = r"""source AS (
          CAST(row_number() OVER (PARTITION BY page_id // 10 ORDER BY page_id) - 1 AS INTEGER) AS pos,
          CASE WHEN kind = 3 THEN 'aws:sqs' ELSE 'aws:s3' END AS event_source,
          CASE WHEN kind = 6 THEN '' ELSE host END AS bucket,
+         CASE page_id % 11 WHEN 3 THEN page_id + 1000000000000 WHEN 7 THEN -page_id - 1 ELSE page_id END AS doc_id,
          CASE kind WHEN 1 THEN 'in/' || stem || '.PDF' WHEN 2 THEN 'in/' || stem || '.txt' WHEN 4 THEN NULL
                    WHEN 5 THEN 'in/a+b%20c/' || stem || '.pdf' ELSE 'in/' || stem || '.pdf' END AS raw_key
   FROM source
 ), items AS (
-  SELECT event_id, pos, bucket, replace(replace(raw_key, '+', ' '), '%20', ' ') AS key, page_id, url, html
+  SELECT event_id, pos, bucket, replace(replace(raw_key, '+', ' '), '%20', ' ') AS key, page_id, doc_id, url, html
   FROM records
   WHERE event_source = 'aws:s3' AND bucket <> '' AND raw_key IS NOT NULL AND lower(raw_key) LIKE '%.pdf'
 )"""
@@ -168,7 +173,7 @@ _KEYED = """keyed AS (
 )"""
 
 _AUDIT = """wanted AS (
-  SELECT d.* FROM documents d WHERE lang <> 'es' AND doc_id IN (SELECT page_id FROM items)
+  SELECT * FROM stored WHERE doc_id IN (SELECT doc_id FROM items)
 ), measures AS (
   SELECT doc_id, strlen(text) AS input_size,
     coalesce((SELECT max(page_no) FROM doc_pages p WHERE p.doc_id = d.doc_id), 0) AS n_pages,
@@ -178,9 +183,11 @@ _AUDIT = """wanted AS (
     coalesce((SELECT sum(strlen(line_text)) FROM kept_lines l WHERE l.doc_id = d.doc_id), 0) AS output_size
   FROM wanted d
 ), judged AS (
-  SELECT k.*, m.*, CASE WHEN m.doc_id IS NULL THEN 'object not found'
-                        WHEN n_pages = 0 THEN 'PDF must have at least 1 page' END AS error
-  FROM keyed k LEFT JOIN measures m ON m.doc_id = k.page_id
+  SELECT k.*, m.* EXCLUDE (doc_id), CASE WHEN m.doc_id IS NULL THEN 'object not found'
+                        WHEN k.url LIKE '%blog.%' THEN 'content is not a PDF'
+                        WHEN n_pages = 0 THEN 'PDF must have at least 1 page'
+                        WHEN n_pages > 1 THEN 'region corners are out of order' END AS error
+  FROM keyed k LEFT JOIN measures m ON m.doc_id = k.doc_id
 ), audit AS (
   SELECT event_id, pos, CASE WHEN error IS NULL THEN 'success' ELSE 'error' END AS status,
          bucket AS input_bucket, key AS input_key,
@@ -247,7 +254,7 @@ def statements() -> dict[str, str]:
         return "WITH " + ",\n".join([_EVENTS, *extra]) + "\n" + select
 
     def from_audit(select: str, *extra: str) -> str:
-        steps = {"events": _EVENTS, "keyed": _KEYED, **audited}
+        steps = {"events": _EVENTS, "keyed": _KEYED, "stored": _STORED, **audited}
         return "WITH RECURSIVE " + ",\n".join([*(v for k, v in steps.items()), _AUDIT, *extra]) + "\n" + select
 
     return {
@@ -260,7 +267,7 @@ def statements() -> dict[str, str]:
             WHEN content NOT LIKE '%PDF-%' OR substr(content, 1, 5) <> '%PDF-' THEN 'content is not a PDF' END AS error
 FROM contents""",
             r"""contents AS (
-  SELECT *, CASE WHEN url LIKE 'https:%' THEN
+  SELECT *, CASE WHEN page_id % 11 NOT IN (3, 7) THEN
            (CASE WHEN url LIKE '%blog.%' THEN '' ELSE '%PDF-' END) || html || chr(10) END AS content
   FROM items
 )"""),
@@ -311,7 +318,7 @@ FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding)
        CASE WHEN n_pages = 0 THEN 'error' WHEN n_pages = 1 THEN 'single' ELSE 'multi' END AS route,
        CASE WHEN n_pages = 0 THEN 'PDF must have at least 1 page' END AS error
 FROM (SELECT d.doc_id, count(p.page_no) AS n_pages
-      FROM documents d LEFT JOIN doc_pages p ON p.doc_id = d.doc_id AND d.source <> 'src0' GROUP BY d.doc_id)"""),
+      FROM stored d LEFT JOIN doc_pages p ON p.doc_id = d.doc_id GROUP BY d.doc_id)""", {"stored": _STORED, **every}),
         "page_policy": of(f"""SELECT {cols}, CASE page_no WHEN 1 THEN 'text' WHEN 2 THEN 'raster' ELSE 'dropped' END
   AS outcome FROM doc_pages"""),
         "published_pages": of(f"""SELECT {cols}, line_no, 'text' AS kind, line_text AS text,
@@ -322,6 +329,22 @@ SELECT {cols}, NULL, 'raster', NULL, 0, CAST(ceil(width * 220 / 72 - 0.001) AS I
         "redacted_text": of(text, text_page),
         "redacted_text_fold": of(text, folded_text),
         "stream_redacted_text": of(text, text_page),
+        "redaction_plan_of_tables": of("SELECT * FROM plan", text_page | {"rule_labels": """rule_labels AS (
+  SELECT label, min(action) AS action FROM (
+    SELECT * FROM (VALUES ('the:', 'redact'), ('de:', 'redact'), ('der:', 'redact'), ('is:', 'redact'),
+                          ('of:', 'keep'), ('la:', 'keep'), ('and:', 'keep')) AS t(label, action)
+    UNION ALL SELECT lang || ':', 'redact' FROM documents) GROUP BY label
+)"""}),
+        "published_rasters": """SELECT vec_id AS doc_id, 2 AS page_no, 8 AS width, 8 AS height, CAST(idx AS INTEGER) AS idx,
+       CASE WHEN idx // 8 BETWEEN 1 AND 2 AND idx % 8 BETWEEN 1 AND 3 THEN 0 ELSE CAST(floor(abs(v) * 100) AS INTEGER) % 256 END
+         AS level
+FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS idx FROM embeddings)""",
+        "stored_objects": from_audit("""SELECT a.event_id, a.pos, k.doc_id, a.output_bucket, a.output_key,
+       'text/plain; charset=utf-8' AS content_type, coalesce(content, '') AS content, '2023-11-14' AS ingest_date
+FROM audit a JOIN keyed k USING (event_id, pos)
+LEFT JOIN (SELECT doc_id, string_agg(line_text, chr(10) ORDER BY line_no) AS content FROM kept_lines GROUP BY doc_id) t
+  ON t.doc_id = k.doc_id
+WHERE a.status = 'success'"""),
         "audit": from_audit("SELECT * FROM audit"),
         "batch_summary": from_audit("SELECT * FROM summed", _SUMMARY),
         "batch_response": from_audit("""SELECT s.event_id, s.status_code, CASE WHEN total_files = 0

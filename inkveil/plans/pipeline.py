@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from inkveil.operators.apply import kept_words, redaction_plan
 from inkveil.operators.detect import mark_words, text_redactions
@@ -12,41 +12,49 @@ from inkveil.operators.lines import line_tokens, non_blank
 from inkveil.operators.pages import published_pages, redacted_text, text_page
 from inkveil.operators.regions import fixed_boxes
 from inkveil.params import RuleParams, RuleSet
-from inkveil.sources.rules import label_table, region_table, token_table
+from inkveil.session import staged
+from inkveil.sources.rules import RuleTables
 
 
 @dataclass(frozen=True)
 class Redactor:
-    """Rules and parameters bound together; every method is lazy.
+    """Rules and parameters bound together.
 
-    page_rows: the proven largest number of words on a page, if the source has one.
+    rules: lists, or tables as they were read. page_rows: the proven largest number of words on a page, if the
+    source has one. Methods are lazy but for kept, text and publish: these write the segmented words once, as two
+    later steps need them.
     """
 
-    rules: RuleSet = RuleSet()
+    rules: RuleSet | RuleTables = RuleSet()
     params: RuleParams = RuleParams()
     page_rows: int | None = None
 
+    def tables(self, spark: SparkSession) -> RuleTables:
+        return self.rules if isinstance(self.rules, RuleTables) else RuleTables.of(spark, self.rules)
+
     def tokens(self, words: DataFrame) -> DataFrame:
         """Words with their line and position."""
         return line_tokens(non_blank(words), self.params, self.page_rows)
 
     def marked_tokens(self, words: DataFrame) -> DataFrame:
         """Words with line, position and the rules their text meets."""
-        spark = words.sparkSession
-        marked = mark_words(non_blank(words), label_table(spark, self.rules),
-                            token_table(spark, self.rules), self.rules.search_terms)
+        rules = self.tables(words.sparkSession)
+        marked = mark_words(non_blank(words), rules.labels, rules.tokens, rules.search_terms)
         return line_tokens(marked, self.params, self.page_rows)
 
     def plan(self, words: DataFrame, pages: DataFrame) -> DataFrame:
         """Boxes to redact on the text page."""
-        regions = region_table(words.sparkSession, self.rules)
-        return redaction_plan(
-            text_redactions(self.marked_tokens(text_page(words)), self.params),
-            fixed_boxes(text_page(pages), regions))
+        return self.plan_of(self.marked_tokens(text_page(words)), pages)
+
+    def plan_of(self, marked: DataFrame, pages: DataFrame) -> DataFrame:
+        """Boxes to redact on the text page, from its marked tokens."""
+        regions = self.tables(marked.sparkSession).regions
+        return redaction_plan(text_redactions(marked, self.params), fixed_boxes(text_page(pages), regions))
 
     def kept(self, words: DataFrame, pages: DataFrame) -> DataFrame:
         """Tokens of the text page that survive."""
-        return kept_words(self.tokens(text_page(words)), self.plan(words, pages))
+        marked = staged(self.marked_tokens(text_page(words)), "tokens")
+        return kept_words(marked, self.plan_of(marked, pages))
 
     def text(self, words: DataFrame, pages: DataFrame) -> DataFrame:
         return redacted_text(self.kept(words, pages))

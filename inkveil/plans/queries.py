@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkveil.functions.geometry import pixel
 from inkveil.functions.keys import output_key, provenance
 from inkveil.operators import apply, audit, detect, lines, metadata, pages, raster, regions
 from inkveil.params import RuleParams, RuleSet
-from inkveil.plans.job import run_batch
+from inkveil.plans.job import BatchTables, run_batch
 from inkveil.plans.pipeline import Redactor
 from inkveil.session import scratch_dir, tune
 from inkveil.sources import events, objects, rules, words
@@ -34,11 +34,13 @@ PARAMS = RuleParams(output_bucket="anonymized")
 FOLD_PARAMS = RuleParams(line_tolerance=0.15)
 SPLIT_PARAMS = RuleParams(line_tolerance=0.15, page_split_rows=100)
 BATCH_TIME = 1_700_000_000
-# Documents of this language are not in the object store, and those of this source have no pages.
-MISSING_LANG, PAGELESS_SOURCE = "es", "src0"
+# Of the work items one in eleven names an object that is not there, and one a document without words.
+NOT_THERE, BLANK, ONE_IN = 3, 7, 11
 # Grid boxes (columns and rows, inclusive) burned into the 8 x 8 embedding rasters.
 GRID_WIDTH, GRID_REGION = 8, (0.25, 0.125, 0.625, 0.375)
 
+_JOBS: dict[tuple[str, str], BatchTables] = {}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -50,11 +52,14 @@ def by_document(documents: DataFrame) -> DataFrame:
     """Texts hashed by doc_id before they multiply into words.
 
     This is the only large shuffle: whatever is computed per document, page or line afterwards
-    finds its rows together. The number of partitions is given, as adaptive execution would merge
-    partitions by the size of the texts and not of the words they become.
+    finds its rows together. Adaptive execution sizes its partitions.
     """
-    partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return documents.repartition(partitions, "doc_id")
+    return documents.repartition("doc_id")
+
+
+def target(page: Column) -> Column:
+    """The id of the document or object that the notification of a page names."""
+    return F.when(page % ONE_IN == NOT_THERE, page + 10**12).when(page % ONE_IN == BLANK, -page - 1).otherwise(page)
 
 
 class Scenario:
@@ -116,16 +121,36 @@ class Scenario:
     def items(self) -> DataFrame:
         return events.pdf_work_items(events.event_records(self.events()))
 
+    def named_items(self) -> DataFrame:
+        """Work items with the document that each names: its id comes from the end of the key."""
+        return self.items().withColumn("doc_id", target(F.regexp_extract("key", "_([0-9]+)[.][^.]*$", 1).cast("bigint")))
+
+    def stored(self) -> DataFrame:
+        """All documents, and one without words for each page that asks for one."""
+        blank = self.table("pages").where(F.col("page_id") % ONE_IN == BLANK)
+        return self.table("documents").select("doc_id", "text").unionByName(
+            blank.select(target(F.col("page_id")).alias("doc_id"), F.lit(" \n").alias("text")))
+
+    def contents(self) -> DataFrame:
+        """The object behind each page: its html, a PDF by its first bytes unless it comes from a blog."""
+        magic = F.when(F.contains("url", F.lit("blog.")), F.lit("")).otherwise(F.lit("%PDF-"))
+        return self.table("pages").select(F.col("page_id").alias("page"), F.concat(magic, "html").alias("value"))
+
+    def job(self) -> BatchTables:
+        """The tables of one run of the batch job, which the queries about it share in a session."""
+        run = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if run not in _JOBS:
+            items = self.named_items()
+            checked = objects.check(self.contents().withColumn("content", F.encode("value", "UTF-8")))
+            checked = checked.select(target(F.col("page")).alias("doc_id"), "error").where("error is not null")
+            wanted = by_document(self.stored().join(items.select("doc_id").distinct(), "doc_id", "left_semi"))
+            _JOBS[run] = run_batch(
+                self.redactor, items, wanted.join(checked, "doc_id", "left"), words.text_words(wanted, LAYOUT),
+                words.text_pages(wanted, LAYOUT), scratch_dir(self.spark, "job"), 0, BATCH_TIME)
+        return _JOBS[run]
+
     def results(self) -> DataFrame:
-        """The audit table of a job run; each work item names the document whose id ends its key."""
-        items = self.items().withColumn("doc_id", F.regexp_extract("key", "_([0-9]+)[.][^.]*$", 1).cast("bigint"))
-        stored = self.table("documents").filter(F.col("lang") != MISSING_LANG)
-        wanted = by_document(stored.join(items.select("doc_id").distinct(), "doc_id", "left_semi")
-                             .select("doc_id", "text", "source"))
-        readable = wanted.filter(F.col("source") != PAGELESS_SOURCE)
-        job = run_batch(self.redactor, items, wanted, words.text_words(readable, LAYOUT),
-                        words.text_pages(readable, LAYOUT), scratch_dir(self.spark, "job"), 0, BATCH_TIME)
-        return job.audit
+        return self.job().audit
 
 
 def _counts(df: DataFrame, *cols: str) -> DataFrame:
@@ -141,16 +166,10 @@ def pdf_work_items(s: Scenario) -> DataFrame:
 
 
 def object_scan(s: Scenario) -> DataFrame:
-    """Work items joined to objects read back as files.
-
-    One object per requested page with an https URL is written first; blog pages lack the PDF magic.
-    """
+    """Work items joined to objects read back as files: one is written first for every page that an item names."""
     root = scratch_dir(s.spark, "objects")
-    named = s.items().withColumn("page", F.regexp_extract("key", "_([0-9]+)[.][^.]*$", 1).cast("bigint"))
-    magic = F.when(F.contains("url", F.lit("blog.")), F.lit("")).otherwise(F.lit("%PDF-"))
-    wanted = s.table("pages").filter(F.col("url").startswith("https:")) \
-        .select(F.col("page_id").alias("page"), F.concat(magic, "html").alias("value")) \
-        .join(named.select("page"), "page", "left_semi")
+    named = s.named_items().withColumnRenamed("doc_id", "page")
+    wanted = s.contents().join(named.select("page"), "page", "left_semi")
     wanted.repartition("page").write.partitionBy("page").text(root)
     stored = objects.read_files(s.spark, root, "*.txt").select(F.col("page").cast("bigint"), "length", "content")
     contents = stored.join(named.select("page", "bucket", "key"), "page").drop("page")
@@ -244,7 +263,7 @@ def redaction_plan(s: Scenario) -> DataFrame:
 
 
 def removed_words(s: Scenario) -> DataFrame:
-    w = pages.text_page(s.words())
+    w = lines.non_blank(pages.text_page(s.words()))
     return apply.removed_words(w, s.plan()).select("doc_id", "page_no", "word_idx", "text")
 
 
@@ -254,9 +273,8 @@ def kept_words(s: Scenario) -> DataFrame:
 
 
 def page_routing(s: Scenario) -> DataFrame:
-    docs = by_document(s.table("documents").select("doc_id", "text", "source"))
-    readable = docs.filter(F.col("source") != PAGELESS_SOURCE)
-    return pages.page_routing(docs, words.text_pages(readable, LAYOUT))
+    docs = by_document(s.stored())
+    return pages.page_routing(docs, words.text_pages(docs, LAYOUT))
 
 
 def page_policy(s: Scenario) -> DataFrame:
@@ -292,6 +310,31 @@ def audit_rows(s: Scenario) -> DataFrame:
     return s.results()
 
 
+def stored_objects(s: Scenario) -> DataFrame:
+    """What the job stores: the redacted lines under the output key of each work item."""
+    return s.job().objects.select("event_id", "pos", "doc_id", "output_bucket", "output_key", "content_type", "content",
+                                  F.col("ingest_date").cast("string").alias("ingest_date"))
+
+
+def published_rasters(s: Scenario) -> DataFrame:
+    """Embeddings as gray images of second pages, with the regions of the profile burned, by pixel."""
+    side = F.sqrt(F.size("embedding")).cast("int")
+    levels = F.transform("embedding", lambda v: F.lpad(F.hex((F.abs(v.cast("double")) * 100).cast("bigint") % 256), 2, "0"))
+    images = s.table("embeddings").select(
+        F.col("vec_id").alias("doc_id"), F.lit(2).alias("page_no"), side.alias("width"), side.alias("height"),
+        F.lit(1).alias("nChannels"), F.unhex(F.array_join(levels, "")).alias("data"))
+    burned = raster.published_images(images, s.regions())
+    pixel_ = F.posexplode(F.split(F.regexp_replace(F.hex("data"), "(..)(?!$)", "$1 "), " ")).alias("idx", "level")
+    return burned.select("doc_id", "page_no", "width", "height", pixel_).withColumn("level", F.conv("level", 16, 10).cast("int"))
+
+
+def redaction_plan_of_tables(s: Scenario) -> DataFrame:
+    """Boxes by rules that come as tables: the profile, and the languages of the documents as labels."""
+    langs = s.table("documents").select(F.concat("lang", F.lit(":")).alias("label"), F.lit("redact").alias("action"))
+    read = rules.RuleTables.merged(rules.label_lists(s.spark, RULES).unionByName(langs), rules.token_table(s.spark, RULES), s.regions())
+    return Redactor(read, s.params, LAYOUT.words_per_page).plan(s.words(), s.pages())
+
+
 def batch_summary(s: Scenario) -> DataFrame:
     return audit.batch_summary(s.events(), s.results())
 
@@ -325,7 +368,8 @@ def registered() -> dict[str, Query]:
         line_tokens, line_boxes, line_text, label_hits, value_spans, value_boxes, register_hits,
         register_tail_boxes, signature_lines, rule_tables, fixed_boxes, pixel_boxes, raster_burn,
         redaction_plan, removed_words, kept_words, page_routing, page_policy, published_pages, redacted_text,
-        output_keys, metadata_cleared, batch_summary, batch_response, stream_redacted_text,
+        output_keys, metadata_cleared, batch_summary, batch_response, stream_redacted_text, stored_objects,
+        published_rasters, redaction_plan_of_tables,
     )
     named = {q.__name__: _on(q) for q in plain}
     named["provenance"] = _on(provenance_rows)

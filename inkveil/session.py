@@ -10,26 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Words are shuffled once on (doc_id, page_no). With this setting off, joins and aggregates on
 # (doc_id, page_no, ...) reuse that partitioning instead of shuffling the words a second time.
+#
+# Spark 4.1 lets a union claim the partitioning its inputs share, but adaptive execution may then change one
+# input alone, and a join or aggregate above would meet the wrong partitions. The last setting stops that.
 RUNTIME_CONF = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the plans are designed for."""
+    """Apply the runtime settings the plans are designed for. Needed before any operator's result is computed."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
 
 
 def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:
-    """Union by name, planned without assumptions about where its rows are.
-
-    Spark 4.1 lets a union claim the partitioning its inputs share, but adaptive execution may then
-    change one input alone, and a join or aggregate above would meet the wrong partitions.
-    """
-    first.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+    """Union by name. The session must be tuned, as its plan must make no assumption about where the rows are."""
+    if first.sparkSession.conf.get("spark.sql.unionOutputPartitioning", "true") != "false":
+        raise RuntimeError("call inkveil.session.tune(spark) first")
     return reduce(DataFrame.unionByName, others, first)
 
 

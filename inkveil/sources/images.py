@@ -9,10 +9,24 @@ from inkveil.functions.geometry import pixel
 from inkveil.operators.pages import RASTER_PAGE
 
 
+UNREADABLE = "page image is not readable"
+
+
 def read_rasters(spark: SparkSession, folder: str) -> DataFrame:
-    """Decoded images: (path, width, height, nChannels, data), pixels row by row."""
-    return spark.read.format("image").option("dropInvalid", True).load(folder).select(
+    """Images: (path, width, height, nChannels, data, error), pixels row by row.
+
+    An image that cannot be decoded is a row with an error and without data.
+    """
+    read = spark.read.format("image").option("dropInvalid", False).load(folder).select(
         F.col("image.origin").alias("path"), "image.width", "image.height", "image.nChannels", "image.data")
+    bad = F.coalesce((F.col("width") <= 0) | (F.col("height") <= 0) | (F.octet_length("data") == 0), F.lit(True))
+    return read.select("path", *[F.when(~bad, F.col(c)).alias(c) for c in ("width", "height", "nChannels", "data")],
+                       F.when(bad, F.lit(UNREADABLE)).alias("error"))
+
+
+def image_errors(images: DataFrame) -> DataFrame:
+    """(doc_id, error) of documents with an image that cannot be read; `images` has doc_id and error."""
+    return images.where("error is not null").groupBy("doc_id").agg(F.min("error").alias("error"))
 
 
 def image_boxes(images: DataFrame, regions: DataFrame, page_no: int = RASTER_PAGE) -> DataFrame:

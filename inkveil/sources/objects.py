@@ -32,11 +32,13 @@ def read_objects(spark: SparkSession, root: str, glob: str = PDF_GLOB) -> DataFr
         F.regexp_extract(below, "^[^/]*/(.*)$", 1).alias("key"), "length", "content")
 
 
+def check(objects: DataFrame) -> DataFrame:
+    """Adds error: what is wrong with the content, or null."""
+    magic = F.substring("content", 1, len(PDF_MAGIC))
+    return objects.withColumn("error", F.when(F.col("content").isNull(), F.lit(MISSING))
+                              .when(magic != F.lit(PDF_MAGIC), F.lit(NOT_A_PDF)))
+
+
 def with_content(items: DataFrame, objects: DataFrame) -> DataFrame:
     """Left join of work items to contents. A missing or unreadable object becomes an error row."""
-    magic = F.substring("content", 1, len(PDF_MAGIC))
-    error = (
-        F.when(F.col("content").isNull(), F.lit(MISSING))
-        .when(magic != F.lit(PDF_MAGIC), F.lit(NOT_A_PDF))
-    )
-    return items.join(objects, ["bucket", "key"], "left").withColumn("error", error)
+    return check(items.join(objects, ["bucket", "key"], "left"))

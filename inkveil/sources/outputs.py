@@ -7,14 +7,24 @@ from pyspark.sql import functions as F
 
 from inkveil.functions.keys import provenance
 
-CONTENT_TYPE = "application/pdf"
+CONTENT_TYPE = "text/plain; charset=utf-8"
 
 
-def output_objects(results: DataFrame, epoch_seconds: int) -> DataFrame:
-    """What is stored for each successful work item: where, its content type, and its provenance."""
+def output_objects(results: DataFrame, items: DataFrame, published: DataFrame, epoch_seconds: int) -> DataFrame:
+    """What is stored for each successful work item: where, its content and content type, and its provenance.
+
+    The content are the published lines of the text page in order. A document that several items name is put together
+    once. ingest_date is the day of the batch in UTC.
+    """
     c = F.col
-    return results.filter(c("status") == "success").select(
-        "event_id", "pos", "output_bucket", "output_key", F.lit(CONTENT_TYPE).alias("content_type"),
+    lines = F.array_sort(F.collect_list(F.struct("line_no", "text")))
+    content = published.where("kind = 'text'").groupBy("doc_id").agg(
+        F.array_join(F.transform(lines, lambda x: x["text"]), "\n").alias("content"))
+    stored = results.filter(c("status") == "success").join(items.select("event_id", "pos", "doc_id"), ["event_id", "pos"])
+    day = F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), epoch_seconds // 86400), "yyyy-MM-dd")
+    return stored.join(content, "doc_id", "left").select(
+        "event_id", "pos", "doc_id", "output_bucket", "output_key", F.lit(CONTENT_TYPE).alias("content_type"),
+        F.coalesce("content", F.lit("")).alias("content"), day.alias("ingest_date"),
         provenance(c("input_bucket"), c("input_key"), epoch_seconds).alias("metadata"))
 
 

@@ -6,10 +6,14 @@ they are below spark.sql.autoBroadcastJoinThreshold and shuffles otherwise. No h
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkveil.functions.geometry import pixel
 from inkveil.params import RuleSet
 
 LABEL_SCHEMA = "label STRING, action STRING"
@@ -39,9 +43,13 @@ def merge_labels(lists: DataFrame) -> DataFrame:
 
 def label_table(spark: SparkSession, rules: RuleSet) -> DataFrame:
     """The merged labels of a rule set, as an exact-size local table."""
-    merged = {label: REDACT for label in rules.redact_labels} | {label: KEEP for label in rules.keep_labels}
-    return spark.createDataFrame(pa.table({"label": pa.array(merged.keys(), pa.string()),
-                                           "action": pa.array(merged.values(), pa.string())}))
+    return localized(merge_labels(label_lists(spark, rules)))
+
+
+def localized(table: DataFrame, most: int = 100_000) -> DataFrame:
+    """A rule table as a local one of exact size, or as it is where it has more than `most` rows."""
+    rows = table.limit(most + 1).toArrow()
+    return table if rows.num_rows > most else table.sparkSession.createDataFrame(rows)
 
 
 def token_table(spark: SparkSession, rules: RuleSet) -> DataFrame:
@@ -59,9 +67,54 @@ def region_table(spark: SparkSession, rules: RuleSet) -> DataFrame:
     return spark.createDataFrame(pa.table({n: pa.array(c, t) for n, c, t in zip(names, cols, types)}))
 
 
+@dataclass(frozen=True)
+class RuleTables:
+    """What to look for, as tables: labels (label, action), tokens (token) and regions."""
+
+    labels: DataFrame
+    tokens: DataFrame
+    regions: DataFrame
+    search_terms: tuple[str, ...]
+
+    @classmethod
+    def of(cls, spark: SparkSession, rules: RuleSet) -> RuleTables:
+        return cls(label_table(spark, rules), token_table(spark, rules), region_table(spark, rules), rules.search_terms)
+
+    @classmethod
+    def merged(cls, labels: DataFrame, tokens: DataFrame, regions: DataFrame, most_tokens: int = 1000) -> RuleTables:
+        """Rule tables as they were read. The tokens are search terms too, which are part of an expression: at most 1000."""
+        listed = [r.token for r in tokens.select("token").distinct().limit(most_tokens + 1).collect() if r.token]
+        if len(listed) > most_tokens:
+            raise ValueError(f"more than {most_tokens} register tokens")
+        terms = tuple(sorted({t.lower() for t in listed}))
+        return cls(localized(merge_labels(labels)), localized(tokens.select("token").distinct()), localized(regions), terms)
+
+    @classmethod
+    def read(cls, spark: SparkSession, folder: str) -> RuleTables:
+        """labels.json, tokens.json and regions.json below a folder, as JSON lines."""
+        return cls.merged(*(read_rules(spark, f"{folder.rstrip('/')}/{name}.json", schema) for name, schema in (
+            ("labels", LABEL_SCHEMA), ("tokens", TOKEN_SCHEMA), ("regions", REGION_SCHEMA))))
+
+
+OUT_OF_ORDER = "region corners are out of order"
+TOO_LARGE = "region is beyond the pixels of any image"
+
+
 def region_errors(regions: DataFrame) -> DataFrame:
     """Raster regions whose corners are out of order; a renderer rejects these."""
-    return (
-        regions.filter((F.col("page_no") == 2) & ((F.col("r2") < F.col("r0")) | (F.col("r3") < F.col("r1"))))
-        .select("page_no", "region_id", F.lit("region corners are out of order").alias("error"))
-    )
+    return regions.filter((F.col("page_no") == 2) & _out_of_order()).select(
+        "page_no", "region_id", F.lit(OUT_OF_ORDER).alias("error"))
+
+
+def _out_of_order() -> Column:
+    return (F.col("r2") < F.col("r0")) | (F.col("r3") < F.col("r1"))
+
+
+def page_errors(rasters: DataFrame, regions: DataFrame) -> DataFrame:
+    """(doc_id, error): raster pages (doc_id, page_no, img_w, img_h) with a region that cannot be burned."""
+    c = F.col
+    edges = [(c("r0"), c("img_w")), (c("r1"), c("img_h")), (c("r2"), c("img_w")), (c("r3"), c("img_h"))]
+    overflow = reduce(lambda a, b: a | b, [pixel(r, size).isNull() for r, size in edges])
+    error = F.when(_out_of_order(), OUT_OF_ORDER).when(overflow, TOO_LARGE)
+    return rasters.join(regions, "page_no").withColumn("error", error).where("error is not null").groupBy("doc_id").agg(
+        F.min("error").alias("error"))

@@ -84,7 +84,9 @@ def text_words(documents: DataFrame, layout: TextLayout = TextLayout()) -> DataF
 
 def text_pages(documents: DataFrame, layout: TextLayout = TextLayout()) -> DataFrame:
     """The pages text_words() fills, with their bounds; a text without words has none."""
-    last = F.ceil(F.size(_tokens(F.col("text"))) / layout.words_per_page).cast("int")
+    # size() of null is null or -1, depending on spark.sql.ansi.enabled; neither makes a page.
+    n = F.size(_tokens(F.col("text")))
+    last = F.ceil(F.when(n > 0, n) / layout.words_per_page).cast("int")
     # As above: the outer form, and a test of its result, count the words of a text only once.
     numbered = documents.select("doc_id", F.explode_outer(F.sequence(F.lit(1), last)).alias("page_no"))
     return numbered.filter(F.col("page_no").isNotNull()).select(

@@ -134,6 +134,69 @@ def test_summary_and_response(spark):
     assert json.loads(empty.body) == {"message": "No PDF files to process"}
 
 
+def test_blank_texts_have_no_pages_under_either_setting(spark):
+    docs = spark.createDataFrame([(1, " \n "), (2, ""), (3, None), (4, "a")], "doc_id BIGINT, text STRING")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            assert [(r.doc_id, r.page_no) for r in words.text_pages(docs).collect()] == [(4, 1)]
+            assert [r.doc_id for r in words.text_words(docs).collect()] == [4]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_every_kind_of_error_is_a_row(spark, tmp_path):
+    rows = [r for d in range(1, 8) for r in page_of("a  b", "CRM 1", doc=d)]  # two blanks leave a blank word
+    bounds = a4_pages(spark, *[(d, 1) for d in range(1, 8) if d != 4], (5, 2), (6, 2))
+    docs = spark.createDataFrame([(d, "a", "content is not a PDF" if d == 3 else None) for d in range(1, 8)],
+                                 "doc_id BIGINT, text STRING, error STRING")
+    items = spark.createDataFrame([(0, n, "b", f"{n}.pdf", n) for n in (1, 2, 3, 4, 5, 7, 99)],
+                                  "event_id BIGINT, pos INT, bucket STRING, key STRING, doc_id BIGINT")
+    kind = "doc_id BIGINT, page_no INT, width INT, height INT, nChannels INT, data BINARY, error STRING"
+    pictures = spark.createDataFrame([(7, 2, None, None, None, None, images.UNREADABLE), (1, 2, 2, 2, 1, bytearray(b"\xff" * 4), None)], kind)
+    for region, error in (((0.5, 0.5, 0.25, 0.25), rules.OUT_OF_ORDER), ((0.0, 0.0, 5e6, 1.0), rules.TOO_LARGE)):
+        redactor = Redactor(RuleSet(page1_regions=(), page2_regions=(region,)), RuleParams(), 100)
+        job = run_batch(redactor, items, docs, words_df(spark, rows), bounds, f"{tmp_path}/{error[:12]}", 1, 1700, pictures)
+        assert {r.pos: r.error for r in job.audit.collect()} == {
+            1: None, 2: None, 3: "content is not a PDF", 4: "PDF must have at least 1 page", 5: error,
+            7: "page image is not readable", 99: "object not found"}
+        first = job.audit.where("pos = 2").first()
+        assert (first.n_words_in, first.n_words_removed) == (4, 2)  # blank words count on neither side
+        assert {r.doc_id for r in job.images.collect()} == {1}
+
+
+def test_objects_carry_their_content(spark, tmp_path):
+    rows = page_of("Nome: Ana", "b c", doc=1)
+    items = spark.createDataFrame([(0, n, "b", f"{n}.pdf", 1) for n in (1, 2)],
+                                  "event_id BIGINT, pos INT, bucket STRING, key STRING, doc_id BIGINT")
+    docs = spark.createDataFrame([(1, "x")], "doc_id BIGINT, text STRING")
+    run_batch(Redactor(BLANK, RuleParams(), 100), items, docs, words_df(spark, rows), a4_pages(spark, (1, 1)), str(tmp_path), 3, 86400 * 2)
+    back = spark.read.parquet(f"{tmp_path}/objects").collect()
+    assert {(r.pos, r.doc_id, r.content, r.content_type, str(r.ingest_date), r.output_bucket, r.batch_id) for r in back} == {
+        (n, 1, "Nome:\nb c", "text/plain; charset=utf-8", "1970-01-03", "anonymized", 3) for n in (1, 2)}
+
+
+def test_rules_from_files_reach_the_engine(spark, tmp_path):
+    (tmp_path / "labels.json").write_text('{"label": "Nome:", "action": "redact"}\n{"label": "Nome:", "action": "keep"}\n'
+                                          '{"label": "CPF:", "action": "redact"}\n')
+    (tmp_path / "tokens.json").write_text('{"token": "CRM"}\n{"token": "CRM"}\n')
+    (tmp_path / "regions.json").write_text('{"page_no": 1, "region_id": 0, "r0": 0.0, "r1": 0.5, "r2": 1.0, "r3": 1.0}\n')
+    found = rules.RuleTables.read(spark, str(tmp_path))
+    assert found.search_terms == ("crm",)
+    rows = page_of("Nome: Ana", "CPF: 1", "q CRM 5")
+    got = {r.line_text for r in Redactor(found, RuleParams(), 100).text(words_df(spark, rows), a4_pages(spark, (1, 1))).collect()}
+    assert got == {"Nome: Ana", "CPF:", "q"}
+
+
+def test_unreadable_images_are_rows(spark, tmp_path):
+    png(tmp_path / "a.png", 4, 4)
+    (tmp_path / "b.png").write_bytes(b"no image")
+    got = {r.path.rsplit("/", 1)[-1]: r for r in images.read_rasters(spark, str(tmp_path)).collect()}
+    assert got["a.png"].error is None and got["a.png"].width == 4
+    assert got["b.png"].error == images.UNREADABLE and got["b.png"].data is None
+
+
 def test_batch_job(spark, tmp_path):
     text = {1: ["Nome: Ana", "CRM 1"], 2: ["a b"]}
     rows = [r for d, lines in text.items() for r in page_of(*lines, doc=d)]

@@ -31,14 +31,64 @@ def test_no_nested_loops_and_no_python(spark, name):
         assert operator not in text
 
 
-def test_words_of_texts_are_never_shuffled(spark):
-    """Texts are hashed once before they become words; then only boxes move."""
+def test_words_are_segmented_once(spark):
+    """Texts are hashed once before they become words; the flagship reads its segmented words from one table."""
     s = Scenario(spark, SF)
-    assert set(keys(plan(s.marked()))) == {"doc_id"}
+    marked = plan(s.marked())
+    assert set(keys(marked)) == {"doc_id"} and marked.count("posexplode") == 1
     text = plan(s.redactor.text(s.words(), s.pages()))
-    boxes = [k for k in keys(text) if k != "doc_id"]
-    assert boxes == [] or boxes == ["_doc_id"]
-    assert text.count("Exchange hashpartitioning") <= 4
+    assert "posexplode" not in text
+
+
+def test_the_session_must_be_tuned(spark):
+    from inkveil.session import tune, union_all
+
+    df = spark.range(1)
+    spark.conf.set("spark.sql.unionOutputPartitioning", "true")
+    try:
+        with pytest.raises(RuntimeError):
+            union_all(df, df)
+    finally:
+        tune(spark)
+    assert union_all(df, df).count() == 2
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from inkveil.session import scratch_dir
+
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
+    def session(master, **conf):
+        return SimpleNamespace(conf=Conf(conf), sparkContext=SimpleNamespace(master=master))
+
+    for master in ("spark://h:7077", "yarn", "k8s://h", "local-cluster[2,1,512]"):
+        with pytest.raises(ValueError):
+            scratch_dir(session(master), "x")
+    assert scratch_dir(session("yarn", **{"spark.checkpoint.dir": "hdfs://h/c/"}), "x").startswith("hdfs://h/c/x-")
+
+
+def test_register_words_do_not_meet_under_one_key(spark):
+    """Without a broadcast, words that are no hit must not all have the same join key."""
+    from pyspark.sql import functions as F
+
+    from inkveil.operators.detect import marked_register
+
+    words = spark.range(4000).selectExpr("id as doc_id", "1 as page_no", "id as word_idx", "if(id < 5, ' crm ', 'x') as text", "id < 5 as is_hit")
+    tokens = spark.createDataFrame([("crm",)], "token string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = marked_register(words, tokens)
+        assert found.where("is_register").count() == 5
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 2000 and sum(sizes) == 4000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_word_tables_are_shuffled_once_per_pass(spark):
