@@ -1,6 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
-BENCH_SF_DIR: the tables (default /root/testdata/sf0.1). BENCH_CPUS: local cores (default all).
+BENCH_SF_DIR: the tables (default /root/testdata/sf0.1). BENCH_CPUS: local cores (default all). BENCH_MEMORY: heap
+of the driver (default half of the machine's memory).
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    spark = local_session(cpus, shuffle_partitions=int(cpus), memory="20g")
+    half = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") // 2**31
+    spark = local_session(cpus, shuffle_partitions=int(cpus), memory=os.environ.get("BENCH_MEMORY", f"{half}g"))
     queries = registered()
     run(queries["redacted_text"](spark, sf_dir))  # starts workers and compiles; not counted
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from inkveil.plans.job import run_batch
+from inkveil.plans.pipeline import Redactor
 from inkveil.sources.events import event_records, pdf_work_items
 from inkveil.sources.objects import FILE_SCHEMA, PDF_GLOB
 
@@ -58,3 +61,22 @@ def work_item_stream(events: DataFrame, repeat_window: str | None = None) -> Dat
     parsed = event_records(timed.withColumn("event_id", F.struct("event_id", "event_time")))
     items = pdf_work_items(parsed).select("event_id.event_id", "event_id.event_time", "pos", "bucket", "key")
     return items.dropDuplicatesWithinWatermark(["bucket", "key"])
+
+
+def job_stream(items: DataFrame, load: Callable[[DataFrame], tuple[DataFrame, DataFrame, DataFrame, DataFrame]],
+               redactor: Redactor, root: str, checkpoint: str, epoch_seconds: Callable[[], int] = lambda: int(time.time()),
+               keep_running: bool = False) -> StreamingQuery:
+    """From work items to stored objects: each micro-batch of items is a run of the batch job below root.
+
+    items: a stream as work_item_stream makes it. load(items) joins them to the stored objects and gives (items with
+    doc_id, documents, words, pages). A micro-batch that is repeated after a failure replaces its own folders, and the
+    output key of a (bucket, key) is the same in every batch.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        named, documents, words, pages = load(batch.select("event_id", "pos", "bucket", "key"))
+        run_batch(redactor, named, documents, words, pages, root, batch_id, epoch_seconds())
+
+    writer = items.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    if not keep_running:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

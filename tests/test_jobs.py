@@ -11,7 +11,7 @@ from inkveil.params import RuleParams, RuleSet
 from inkveil.plans.job import run_batch
 from inkveil.plans.pipeline import Redactor
 from inkveil.sources import events, images, objects, outputs, rules, words
-from inkveil.streaming.redact import object_stream, redaction_stream, work_item_stream
+from inkveil.streaming.redact import job_stream, object_stream, redaction_stream, work_item_stream
 
 BLANK = RuleSet(page1_regions=(), page2_regions=())
 
@@ -296,6 +296,38 @@ def test_notification_stream(spark, tmp_path):
     assert [r.key for r in drain(work_item_stream(stream, "1 hour"), "once", tmp_path)] == ["x.pdf"]
 
 
+def arrive(spark, folder, number, body):
+    spark.createDataFrame([(number, body, f"2024-01-01 00:0{number}:00")], "event_id BIGINT, body STRING, t STRING") \
+        .withColumn("event_time", F.to_timestamp("t")).drop("t").coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_notifications_to_objects_over_batches_and_a_restart(spark, tmp_path):
+    folder = str(tmp_path / "ev")
+    texts = {"x.pdf": (1, "Nome: Ana"), "y.pdf": (2, "b c")}
+    table = spark.createDataFrame([(k, d, t) for k, (d, t) in texts.items()], "key STRING, doc_id BIGINT, text STRING")
+
+    def load(items):
+        named = items.join(table.select("key", "doc_id"), "key", "left")
+        docs = table.join(items.select("key").distinct(), "key", "left_semi").select("doc_id", "text")
+        return named, docs, words.text_words(docs), words.text_pages(docs)
+
+    def run(name, window):
+        stream = spark.readStream.schema("event_id BIGINT, body STRING, event_time TIMESTAMP").parquet(folder)
+        job_stream(work_item_stream(stream, window), load, Redactor(BLANK, RuleParams(), 600), str(tmp_path / name),
+                   str(tmp_path / f"{name}-checkpoint"), lambda: 1700).awaitTermination()
+        return [(r.output_key, r.content) for r in spark.read.parquet(str(tmp_path / name / "objects")).collect()]
+
+    arrive(spark, folder, 1, notification(("aws:s3", "b", "x.pdf")))
+    first = run("all", None), run("once", "1 hour")
+    assert first[0] == first[1] and [c for _, c in first[0]] == ["Nome:"]
+    arrive(spark, folder, 2, notification(("aws:s3", "b", "x.pdf"), ("aws:s3", "b", "y.pdf"), ("aws:s3", "b", "gone.pdf")))
+    again, once = run("all", None), run("once", "1 hour")
+    assert sorted(c for _, c in again) == ["Nome:", "Nome:", "b c"] and len({k for k, _ in again}) == 2
+    assert sorted(once) == sorted(set(again))  # the repeat is dropped although it came in another batch, after a restart
+    errors = spark.read.parquet(str(tmp_path / "once" / "audit")).where("status = 'error'").collect()
+    assert [(r.input_key, r.error) for r in errors] == [("gone.pdf", "object not found")]
+
+
 def test_object_stream(spark, tmp_path):
     store(tmp_path / "s")
     found = drain(object_stream(spark, str(tmp_path / "s")).select("path", "length"), "objects", tmp_path)
