@@ -7,9 +7,10 @@ Two exact plans compute it:
 
 * pages of bounded size: one shuffle on (doc_id, page_no), one sort, and windows over that sort, with
   the fold over an array of the page's y0;
-* pages above RuleParams.page_split_rows: words are placed within small cells of the page, so that a
-  page spreads over many tasks. Only one row per cell is brought together per page, which settles
-  most lines; where it does not, equal neighbours are counted into runs and the runs are folded.
+* pages above RuleParams.page_split_rows: words are dealt out by small cells of the page, under one key for
+  the whole cell, so that no step takes up a partitioning by page for them. Only one row per cell is brought
+  together per page, which settles most lines; where it does not, equal neighbours are counted into
+  runs, and the runs of the open stretch are folded in one pass over their baselines and counts.
 """
 
 from __future__ import annotations
@@ -25,15 +26,19 @@ from inkveil.session import union_all
 
 PAGE = ["doc_id", "page_no"]
 LINE = [*PAGE, "line_no"]
-CELL = [*PAGE, "band", "strip"]
+CELL = "cell"  # struct of page, band and strip
 ISLAND = [*PAGE, "island"]
 
 # Width in points of the strips that cut a band of a large page into cells.
 STRIP = 64.0
 
-# Repeating p -> (p + y) / 2 reaches its final double within this many steps.
+# Repeating p -> (p + y) / 2 reaches its final double within this many steps: a run joins within the tolerance, each
+# step halves the distance, and 2**25 halved so often is less than the least double. RuleParams bounds the tolerance.
 SETTLED = 1100
 
+# Parts that the words of a large page are dealt to while it is told from small ones.
+PARTS = 64
+
 
 def non_blank(words: DataFrame) -> DataFrame:
     return words.filter(~is_blank(F.col("text")))
@@ -53,9 +58,28 @@ def line_tokens(words: DataFrame, params: RuleParams, page_rows: int | None = No
     """
     if page_rows is not None and page_rows <= params.page_split_rows:
         return _tokens_by_page(words, params)
-    large = words.groupBy(*PAGE).count().filter(F.col("count") > params.page_split_rows).select(*PAGE)
-    return union_all(_tokens_by_page(words.join(large, PAGE, "left_anti"), params),
-                     _tokens_by_cell(words.join(large, PAGE, "left_semi"), params))
+    sized = _with_size(words, params.page_split_rows)
+    columns = words.columns
+    return union_all(_tokens_by_page(sized.where(~F.col("_large")).select(columns), params),
+                     _tokens_by_cell(sized.where("_large").select(columns), params))
+
+
+def _with_size(words: DataFrame, split_rows: int) -> DataFrame:
+    """Adds _large: whether the word's page has more words than split_rows.
+
+    Pages are counted before they are shuffled; the join deals the words of a page to several parts.
+    """
+    large = _large_pages(words, split_rows)
+    part = F.pmod(F.xxhash64("word_idx"), F.lit(PARTS).cast("bigint"))
+    keyed = words.withColumn("_page", F.struct(*PAGE, part.alias("part")))
+    return keyed.join(large.withColumn("_hit", F.lit(True)), "_page", "left").withColumn(
+        "_large", F.coalesce("_hit", F.lit(False))).drop("_page", "_hit")
+
+
+def _large_pages(words: DataFrame, split_rows: int) -> DataFrame:
+    counted = words.groupBy(*PAGE).count().filter(F.col("count") > split_rows)
+    listed = counted.select(*PAGE, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(PARTS - 1).cast("bigint"))).alias("part"))
+    return listed.select(F.struct(*PAGE, "part").alias("_page"))
 
 
 def with_line_length(tokens: DataFrame) -> DataFrame:
@@ -115,10 +139,11 @@ def _fold_starts(ys: str, tol: float) -> Column:
 
 
 def _tokens_by_cell(words: DataFrame, params: RuleParams) -> DataFrame:
-    in_cells = _with_band(words).withColumn("strip", F.floor(F.col("x0") / STRIP))
+    strip = F.floor(F.col("x0") / STRIP)
+    in_cells = _with_band(words).withColumn(CELL, F.struct(*PAGE, "band", strip.alias("strip")))
     placed = _with_runs(in_cells)
     cells = _islands(in_cells, params.line_tolerance)
-    runs = _place_runs(placed.join(cells.filter("wide"), CELL), params.line_tolerance)
+    runs = _place_runs(placed, cells, params.line_tolerance)
 
     # Lines are counted per island and numbered down the page.
     counted = cells.select(*ISLAND).distinct().join(
@@ -127,15 +152,17 @@ def _tokens_by_cell(words: DataFrame, params: RuleParams) -> DataFrame:
     numbered = counted.select(*ISLAND, F.coalesce(
         F.sum(F.coalesce("n_lines", F.lit(1))).over(above), F.lit(0)).alias("base"))
 
-    return placed.join(cells.join(numbered, ISLAND), CELL) \
-        .join(runs.drop("island"), [*CELL, "run"], "left") \
+    of_cell = cells.join(numbered, ISLAND).select(CELL, "offset", "base")
+    of_run = runs.select(F.struct(CELL, "run").alias("_run"), "line_in_island", "before")
+    return placed.join(of_cell, CELL) \
+        .withColumn("_run", F.struct(CELL, "run")).join(of_run, "_run", "left") \
         .select(*words.columns,
                 (F.col("base") + F.coalesce("line_in_island", F.lit(0))).cast("int").alias("line_no"),
                 F.coalesce(F.col("before") + F.col("at"), F.col("offset") + F.col("i")).cast("int").alias("pos"))
 
 
 def _islands(words: DataFrame, tol: float) -> DataFrame:
-    """Cells of a page grouped into islands: (cell, island, offset in the island, wide).
+    """Cells of a page grouped into islands: (cell, page, island, offset in the island, wide).
 
     The baseline is a mean of earlier y0, so a word above all of them by more than the tolerance
     certainly starts a line. Words between two such breaks that all lie within the tolerance of each
@@ -145,20 +172,20 @@ def _islands(words: DataFrame, tol: float) -> DataFrame:
     page = Window.partitionBy(*PAGE).orderBy("band", "strip")
     island = Window.partitionBy(*ISLAND)
     before = page.rowsBetween(Window.unboundedPreceding, -1)
-    cells = words.groupBy(*CELL).agg(
-        F.min("y0").alias("lo"), F.max("y0").alias("hi"), F.count(F.lit(1)).alias("n"))
+    cells = words.groupBy(CELL).agg(F.min("y0").alias("lo"), F.max("y0").alias("hi"), F.count(F.lit(1)).alias("n"))
     starts = F.col("top").isNull() | (F.col("lo") - F.col("top") > tol)
-    return cells.withColumn("top", F.max("hi").over(before)) \
+    return cells.select(CELL, f"{CELL}.*", "lo", "hi", "n") \
+        .withColumn("top", F.max("hi").over(before)) \
         .withColumn("island", F.count_if(starts).over(page.rowsBetween(Window.unboundedPreceding, 0))) \
         .withColumns({
             "wide": F.max("hi").over(island) - F.min("lo").over(island) > tol,
             "offset": F.sum("n").over(island.orderBy("band", "strip")) - F.col("n")}) \
-        .select(*CELL, "island", "offset", "wide")
+        .select(CELL, *ISLAND, "offset", "wide")
 
 
 def _with_runs(words: DataFrame) -> DataFrame:
     """Adds i, the place of a word in its cell; run, neighbours with the same y0; and at, its place there."""
-    by_cell = Window.partitionBy(*CELL).orderBy("x0", "word_idx")
+    by_cell = Window.partitionBy(CELL).orderBy("x0", "word_idx")
     so_far = by_cell.rowsBetween(Window.unboundedPreceding, 0)
     return words.withColumns({
         "i": F.row_number().over(by_cell) - 1,
@@ -168,25 +195,31 @@ def _with_runs(words: DataFrame) -> DataFrame:
         "at": F.col("i") - F.max(F.when(F.col("new"), F.col("i"))).over(so_far)}).drop("new")
 
 
-def _place_runs(words: DataFrame, tol: float) -> DataFrame:
-    """Folds the runs of each island: their line, and the number of words before them in that line.
+def _place_runs(placed: DataFrame, cells: DataFrame, tol: float) -> DataFrame:
+    """Folds the runs of each wide island: their line, and the number of words before them in that line.
 
     After the first word of a run has joined or started a line, the others are nearer still, so a
-    run is never broken; the baseline halves its distance once per word.
+    run is never broken; the baseline halves its distance once per word. The fold notes only which runs
+    start a line, so its cost is linear in the runs but for lines; the rest are running counts.
     """
-    runs = words.groupBy(*ISLAND, "band", "strip", "run").agg(F.first("y0").alias("y"), F.count(F.lit(1)).alias("n"))
-    ordered = F.array_sort(F.collect_list(F.struct("band", "strip", "run", "y", "n")))
-    place = "struct(r.band AS band, r.strip AS strip, r.run AS run, {line} AS line_in_island, {before} AS before)"
+    runs = placed.groupBy(CELL, "run").agg(F.first("y0").alias("y"), F.count(F.lit(1)).alias("n"))
+    runs = runs.join(cells.filter("wide").select(CELL, "island"), CELL)
+    runs = runs.select(CELL, F.struct(F.col(f"{CELL}.doc_id"), F.col(f"{CELL}.page_no"), "island").alias("_island"), "run", "y", "n")
+    in_order = Window.partitionBy("_island").orderBy(f"{CELL}.band", f"{CELL}.strip", "run")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     fold = f"""
-        aggregate(runs,
-          named_struct('mean', CAST(NULL AS DOUBLE), 'line', -1, 'words', 0L, 'placed', CAST(array() AS
-            ARRAY<STRUCT<band: DOUBLE, strip: BIGINT, run: BIGINT, line_in_island: INT, before: BIGINT>>)),
+        aggregate(ys,
+          named_struct('mean', CAST(NULL AS DOUBLE), 'ord', 0, 'starts', CAST(array() AS ARRAY<INT>)),
           (acc, r) -> IF(acc.mean IS NULL OR abs(r.y - acc.mean) > {tol}D,
-            named_struct('mean', r.y, 'line', acc.line + 1, 'words', r.n, 'placed',
-              concat(acc.placed, array({place.format(line='acc.line + 1', before='0L')}))),
-            named_struct(
-              'mean', aggregate(sequence(1L, least(r.n, {SETTLED}L)), acc.mean, (m, k) -> (m + r.y) / 2),
-              'line', acc.line, 'words', acc.words + r.n, 'placed',
-              concat(acc.placed, array({place.format(line='acc.line', before='acc.words')})))),
-          acc -> acc.placed)"""
-    return runs.groupBy(*ISLAND).agg(ordered.alias("runs")).select(*ISLAND, F.expr(f"inline({fold})"))
+            named_struct('mean', r.y, 'ord', acc.ord + 1, 'starts', concat(acc.starts, array(acc.ord + 1))),
+            named_struct('mean', aggregate(sequence(1L, least(r.n, {SETTLED}L)), acc.mean, (m, k) -> (m + r.y) / 2),
+                         'ord', acc.ord + 1, 'starts', acc.starts)),
+          acc -> acc.starts)"""
+    starts = runs.withColumns({"ord": F.row_number().over(in_order), "ys": F.collect_list(F.struct("y", "n")).over(whole)}) \
+        .where("ord = 1").select("_island", F.explode(F.expr(fold)).alias("ord"), F.lit(True).alias("starts"))
+    numbered = runs.withColumn("ord", F.row_number().over(in_order)).join(starts, ["_island", "ord"], "left")
+    behind = F.sum("n").over(so_far) - F.col("n")
+    return numbered.withColumns({"line_in_island": F.count_if("starts").over(so_far) - 1, "behind": behind}) \
+        .withColumn("before", F.col("behind") - F.max(F.when(F.col("starts"), F.col("behind"))).over(so_far)) \
+        .select(CELL, "run", "_island.*", "line_in_island", "before")

@@ -55,6 +55,10 @@ class RuleParams:
     # Pages with more words than this are segmented band by band instead of in one window.
     page_split_rows: int = 20_000
 
+    def __post_init__(self) -> None:
+        if not 0 <= self.line_tolerance < 2**25:
+            raise ValueError("line_tolerance must be at least 0 and less than 2**25")
+
     @classmethod
     def profile(cls, name: str) -> RuleParams:
         return replace(cls(), **PROFILES[name])
