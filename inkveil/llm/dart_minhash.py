@@ -15,9 +15,10 @@ Joining. Equal texts are one class first. Bands of `rows` coordinates meet by ha
 by their whole lists of shingles, and links form components. A bucket of one component is done: groups of copies,
 however large, end here. The texts of other buckets (a passage that many otherwise different texts share brings such
 buckets) meet again by the rarest fifth of their shingles, of which two similar texts always share one. In each
-of these smaller groups the members outside its largest component, in blocks of `block`, are compared with all
-others: a block's shingles are one table that every other member looks its own up in, and what comes out are links
-between components, not pairs. No pair that can change a class is skipped for the size of its group.
+of these smaller groups the members outside its largest component are compared with all other components: pair by
+pair in groups of up to `few`, which share most of their pairs, and in larger ones in blocks of `block`, a block's
+shingles as one table that every other member looks its own up in, with links between components coming out, one for
+two of them, not pairs. No pair that can change a class is skipped for the size of its group.
 
 Texts without words (null and empty ones too) are classes of their own, never linked. Rows that repeat an id and a
 text are copies.
@@ -52,6 +53,7 @@ class NearParams:
     seed: int = 7
     #: Of the units of texts that share a bucket but no component, so many of the most frequent are told apart by count.
     common_units: int = 1 << 16
+    few: int = 16
     #: Members of a group that are held at once to compare others with.
     block: int = 256
     #: Members of a group that are compared with all others in one round, and members that one task takes of a group.
@@ -191,13 +193,13 @@ def _compared(pairs: DataFrame, units: DataFrame, params: NearParams) -> DataFra
 
 def _meet(batches: Iterator[pa.RecordBatch], params: NearParams) -> Iterator[pa.RecordBatch]:
     """Links between components: rows come by (b, block, part), the block's leaders before the others."""
-    at, leaders, table = None, [], None
+    at, leaders, table, linked = None, [], None, set()
     for rows in batches:
         found: list[tuple[bytes, bytes]] = []
         columns = [rows.column(c).to_pylist() for c in ("b", "block", "part", "leads", "g", "c", "units")]
         for b, block, part, leads, g, c, raw in zip(*columns, strict=True):
             if (b, block, part) != at:
-                at, leaders, table = (b, block, part), [], None
+                at, leaders, table, linked = (b, block, part), [], None, set()
             units = np.frombuffer(raw, np.uint32)
             if leads:
                 leaders.append((g, c, units))
@@ -212,11 +214,11 @@ def _meet(batches: Iterator[pa.RecordBatch], params: NearParams) -> Iterator[pa.
             near[near == len(known)] = 0
             bits = np.unpackbits(table[near[known[near] == units]], axis=1, count=len(leaders), bitorder="little")
             shared = bits.sum(axis=0, dtype=np.int64)
-            linked = {}
             for i in np.flatnonzero(shared >= params.similarity * (len(units) + sizes - shared)):
-                if leaders[i][1] != c:
-                    linked.setdefault(leaders[i][1], leaders[i][0])
-            found += [(g, leader) for leader in linked.values()]
+                leader, lc, _ = leaders[i]
+                if lc != c and (c, lc) not in linked:
+                    linked |= {(c, lc), (lc, c)}
+                    found.append((g, leader))
         yield pa.RecordBatch.from_arrays(
             [pa.array([x for x, _ in found], pa.binary()), pa.array([x for _, x in found], pa.binary())], ["u", "v"])
 
@@ -252,8 +254,7 @@ def tied(signed_: DataFrame, docs: DataFrame, params: NearParams = NearParams())
     texts = keyed(docs).join(one_text, ["_id", "_th"]).dropDuplicates(["g"]).select("g", "_text")
     units = staged(texts.mapInArrow(partial(_list_units, params=params), "g binary, units binary"), "units")
     compared = _compared(rows.where("g <> leader").select("g", "leader").distinct(), units, params)
-    links = compared.where("similar").select(F.col("g").alias("u"), F.col("leader").alias("v"))
-    found = components(links)
+    found = components(compared.where("similar").select(F.col("g").alias("u"), F.col("leader").alias("v")))
 
     placed = _tied(rows, found)
     open_ = placed.groupBy("b").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("b")
@@ -275,17 +276,21 @@ def tied(signed_: DataFrame, docs: DataFrame, params: NearParams = NearParams())
         groups = parts.groupBy("b").agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("m")).where("most.n < m")
         outside = F.col("m") - F.col("most.n")
         groups = groups.select(
-            "b", F.col("most.c").alias("main"), F.ceil(outside / params.leaders).alias("turns"),
+            "b", "m", F.col("most.c").alias("main"), F.ceil(outside / params.leaders).alias("turns"),
             F.ceil(F.least(outside, F.lit(2 * params.leaders)) / params.block).cast("int").alias("blocks"),
             F.ceil(F.col("m") / params.part).alias("parts"))
         rows = staged(rows.join(staged(groups, "mixed"), "b").withColumn(
             "leads", F.expr(f"c <> main and pmod(xxhash64(g, {turn}L), turns) = 0")), "mixed-rows")
         if rows.isEmpty():
             return found
-        met = _met(rows, units, params)
+        lead = rows.where(F.col("leads") & (F.col("m") <= params.few)).select("b", F.col("g").alias("leader"), F.col("c").alias("lc"))
+        pairs = rows.join(lead, "b").where("c <> lc and (not leads or g > leader)").select("g", "leader").distinct()
+        met = _met(rows.where(F.col("m") > params.few), units, params).unionAll(
+            _compared(pairs, units, params).where("similar").select("g", "leader"))
         if not met.isEmpty():
-            links = staged(links.unionAll(met), "links")
-            found = components(links)
+            found = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(met))
+        if rows.where("turns > 1").isEmpty():
+            return found
         rows = rows.where("not leads").select("b", "g")
         turn += 1
 
