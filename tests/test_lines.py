@@ -1,6 +1,8 @@
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import fold_lines, page_of, words_df
 from inkveil.operators import lines
@@ -69,3 +71,43 @@ def test_line_text_boxes_and_length(spark):
 def test_blank_words_are_dropped(spark):
     rows = [(1, 1, i, 0.0, 0.0, 1.0, 1.0, t) for i, t in enumerate(["a", " ", " ", "", " b"])]
     assert [r.word_idx for r in lines.non_blank(words_df(spark, rows)).collect()] == [0, 4]
+
+
+def dense_page(spark, n, y):
+    """n words on one page, 400 to a row of the grid."""
+    return spark.range(n).selectExpr(
+        "1L as doc_id", "1 as page_no", "id as word_idx", "(id % 400) * 1.5D as x0", f"{y} as y0",
+        "(id % 400) * 1.5D + 1 as x1", f"{y} + 1 as y1", "'w' as text")
+
+
+@pytest.mark.parametrize("threshold", ["-1", "256k"])  # words are above either, rows per cell below the second
+def test_a_large_page_spreads_over_tasks(spark, threshold):
+    n = 60_000
+    settings = {"spark.sql.autoBroadcastJoinThreshold": threshold, "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        words = dense_page(spark, n, "(id div 400) * 4.0D")
+        tokens = lines.line_tokens(words, RuleParams(page_split_rows=1000)).cache()
+        sizes = [r["count"] for r in tokens.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == n and max(sizes) < n / 4
+        wrong = tokens.where("line_no <> word_idx div 400 or pos <> word_idx % 400")
+        assert wrong.isEmpty()
+        tokens.unpersist()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_chained_baselines_fold_in_one_pass(spark):
+    """Every word is a run of its own, and no gap settles a line: the whole page is one fold."""
+    y = "(id div 10) * 0.25D + (id % 10) * 0.02D"
+    rows = [tuple(r) for r in dense_page(spark, 3000, y).collect()]
+    split = lines.line_tokens(dense_page(spark, 3000, y), RuleParams(page_split_rows=100))
+    assert placed(split) == fold_lines(rows, 1.0)
+    start = time.monotonic()
+    many = lines.line_tokens(dense_page(spark, 40_000, y), RuleParams(page_split_rows=100))
+    assert many.agg(F.max("pos")).first()[0] == 39_999  # the baseline follows the slope: one line
+    assert time.monotonic() - start < 60
