@@ -50,11 +50,11 @@ class SuffixParams:
     min_bytes: int = 400
     anchor_bytes: int = 64
     #: Distinct fragments that one suffix array takes; more are split, not cut.
-    bucket: int = 4096
+    bucket: int = 2048
     #: Windows per bucket at each split; the last must be 1.
     splits: tuple[int, ...] = (42, 6, 1)
     #: Bytes that one suffix array takes, unless a single bucket has more.
-    sort_bytes: int = 1 << 21
+    sort_bytes: int = 1 << 20
 
 
 def _met(rows: DataFrame) -> DataFrame:
