@@ -53,6 +53,7 @@ class NearParams:
     seed: int = 7
     #: Of the units of texts that share a bucket but no component, so many of the most frequent are told apart by count.
     common_units: int = 1 << 16
+    #: Groups of so many members are compared pair by pair, larger ones in blocks.
     few: int = 16
     #: Members of a group that are held at once to compare others with.
     block: int = 256

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkveil.llm.textbytes import ALPHANUMERIC, BASE, LOWER, U64, Words, chunks, mix, shingles, signed, within
+from inkveil.llm.textbytes import ALPHANUMERIC, BASE, LOWER, U64, Words, chunks, mix, shingles, within
 
 HITS = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, item_ids array<bigint>"
 

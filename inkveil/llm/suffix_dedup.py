@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkveil.llm.rows import keyed, packed
-from inkveil.llm.textbytes import AS_IS, BASE, U64, Spans, buffers, chunks, mix, signed, texts
+from inkveil.llm.textbytes import BASE, U64, Spans, buffers, chunks, mix, signed, texts
 from inkveil.session import staged
 
 FRAGMENT = "_id bigint, _th bigint, lo bigint, hi bigint, p bigint, k bigint, f bigint"

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 from inkveil.llm.components import components
-from inkveil.llm.dart_minhash import NearParams, class_ids, elements, one_of_each, signatures
+from inkveil.llm.dart_minhash import class_ids, elements, one_of_each, signatures
 from inkveil.llm.textbytes import ALPHANUMERIC, LOWER, Words
 
 VOCABULARY = [f"w{i}" for i in range(300)]
