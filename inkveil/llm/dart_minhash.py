@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkveil.llm.components import components
-from inkveil.llm.rows import NO_ID, keyed, packed, unpacked
+from inkveil.llm.rows import NO_ID, keyed, most_frequent, packed, unpacked
 from inkveil.llm.textbytes import ALPHANUMERIC, BASE, LOWER, U64, Words, chunks, mix, shingles, signed, within
 from inkveil.session import staged
 
@@ -263,7 +263,7 @@ def tied(signed_: DataFrame, docs: DataFrame, params: NearParams = NearParams())
     loose = staged(units.join(nodes, "g"), "open-units")
     counted = loose.mapInArrow(_count_units, "unit bigint, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
     common = np.array(
-        sorted((r.unit, r.n) for r in counted.where("n > 8").orderBy(F.desc("n"), "unit").limit(params.common_units).collect()),
+        sorted((r.unit, r.n) for r in most_frequent(staged(counted.where("n > 8"), "unit-counts"), "n", params.common_units).collect()),
         dtype=[("unit", np.uint32), ("n", np.int64)])
     rows = loose.mapInArrow(partial(_rarest, params=params, common=common), "g binary, b bigint")
     # Groups of the same members are one group.

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkveil.llm.rows import fold
+from inkveil.llm.rows import fold, most_frequent
 from inkveil.llm.textbytes import LOWER, SPACED, U64, Spans, Words, chunks, signed
 from inkveil.session import staged
 
@@ -118,7 +118,8 @@ def token_counts(train: DataFrame, params: MarkovParams = MarkovParams()) -> Dat
 
 
 def vocabulary(counts: DataFrame, documents: int, params: MarkovParams) -> Vocabulary:
-    near = counts.orderBy(F.desc("c"), "h").limit(params.near_tokens).toPandas()  # bounded by near_tokens
+    near = most_frequent(counts, "c", params.near_tokens).toPandas()  # bounded by near_tokens
+    near = near.sort_values(["c", "h"], ascending=[False, True])
     keys, count = near["h"].to_numpy(np.int64).view(U64), near["c"].to_numpy(np.int64)
     masses, tokens = np.full(params.classes, 0.5), np.zeros(params.classes)
     masses[0] += documents

@@ -32,3 +32,20 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def unpacked(df: DataFrame) -> DataFrame:
     return df.select("_row.*")
+
+
+def most_frequent(counts: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows of the greatest counts, at most `most` of them and all of equal count or none.
+
+    A histogram of counts (4,096 rows at most) gives the least count to keep, so nothing is sorted and no task takes
+    more rows than it has.
+    """
+    step = F.floor(F.log2(count) * 64)
+    sizes = sorted(((r.step, r.n) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    least, total = None, 0
+    for at, n in sizes:
+        total += n
+        if total > most:
+            break
+        least = at
+    return counts.where(step >= least) if least is not None else counts.where("false")

@@ -12,6 +12,7 @@ import pyarrow as pa
 
 from inkveil.llm.hidden_markov import (
     MarkovParams, Model, _classes, expected, improved, log10_likelihood, scores, token_counts, token_words, vocabulary)
+from inkveil.llm.rows import most_frequent
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SMALL = MarkovParams(states=3, own_classes=6, endings=4, near_tokens=12, segment=16, rounds=2, sample_documents=20, sample_rounds=4,
@@ -115,3 +116,10 @@ def test_nothing_to_train_on_and_empty_tables(spark):
     got = scores(spark.createDataFrame([(alone, "a b")], schema), SMALL).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(3, 0, 0, 0.0)]
     assert scores(spark.createDataFrame([], schema), SMALL).collect() == []
+
+
+def test_most_frequent_keeps_equal_counts_together(spark):
+    df = spark.createDataFrame([(i, c) for i, c in enumerate([9, 5, 5, 5, 2, 1, 1])], "h long, c long")
+    kept = lambda n: sorted(r.c for r in most_frequent(df, "c", n).collect())
+    assert [kept(n) for n in (0, 1, 3, 4, 5, 7, 99)] == [[], [9], [9], [5, 5, 5, 9], [2, 5, 5, 5, 9], [1, 1, 2, 5, 5, 5, 9], [1, 1, 2, 5, 5, 5, 9]]
+    assert kept(4) == [5, 5, 5, 9] and most_frequent(df.where("false"), "c", 3).isEmpty()
