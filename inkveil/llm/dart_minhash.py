@@ -17,8 +17,8 @@ however large, end here. The texts of other buckets (a passage that many otherwi
 buckets) meet again by the rarest fifth of their shingles, of which two similar texts always share one. In each
 of these smaller groups the members outside its largest component are compared with all other components: pair by
 pair in groups of up to `few`, which share most of their pairs, and in larger ones in blocks of `block`, a block's
-shingles as one table that every other member looks its own up in, with links between components coming out, one for
-two of them, not pairs. No pair that can change a class is skipped for the size of its group.
+shingles as one table that every other member looks its own up in, with links between components coming out that
+a task's other links do not imply, not pairs. No pair that can change a class is skipped for the size of its group.
 
 Texts without words (null and empty ones too) are classes of their own, never linked. Rows that repeat an id and a
 text are copies.
@@ -193,14 +193,25 @@ def _compared(pairs: DataFrame, units: DataFrame, params: NearParams) -> DataFra
 
 
 def _meet(batches: Iterator[pa.RecordBatch], params: NearParams) -> Iterator[pa.RecordBatch]:
-    """Links between components: rows come by (b, block, part), the block's leaders before the others."""
-    at, leaders, table, linked = None, [], None, set()
+    """Links between components: rows come by (b, block, part), the block's leaders before the others.
+
+    A task tells only links between components that its own links do not join yet.
+    """
+    at, leaders, table = None, [], None
+    joined: dict[bytes, bytes] = {}
+
+    def root(c: bytes) -> bytes:
+        while (up := joined.get(c, c)) != c:
+            joined[c] = joined.get(up, up)
+            c = up
+        return c
+
     for rows in batches:
         found: list[tuple[bytes, bytes]] = []
         columns = [rows.column(c).to_pylist() for c in ("b", "block", "part", "leads", "g", "c", "units")]
         for b, block, part, leads, g, c, raw in zip(*columns, strict=True):
             if (b, block, part) != at:
-                at, leaders, table, linked = (b, block, part), [], None, set()
+                at, leaders, table = (b, block, part), [], None
             units = np.frombuffer(raw, np.uint32)
             if leads:
                 leaders.append((g, c, units))
@@ -217,8 +228,8 @@ def _meet(batches: Iterator[pa.RecordBatch], params: NearParams) -> Iterator[pa.
             shared = bits.sum(axis=0, dtype=np.int64)
             for i in np.flatnonzero(shared >= params.similarity * (len(units) + sizes - shared)):
                 leader, lc, _ = leaders[i]
-                if lc != c and (c, lc) not in linked:
-                    linked |= {(c, lc), (lc, c)}
+                if (one := root(lc)) != (other := root(c)):
+                    joined[one] = other
                     found.append((g, leader))
         yield pa.RecordBatch.from_arrays(
             [pa.array([x for x, _ in found], pa.binary()), pa.array([x for _, x in found], pa.binary())], ["u", "v"])
