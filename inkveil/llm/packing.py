@@ -21,6 +21,7 @@ by what else they have; their pieces keep the same names.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -56,12 +57,17 @@ def _encoding(vocabulary: str | None):
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as file:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-    return tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    if any(token[flag] for token in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens are matched as they are, without regard to what is around them")
+    special = {token["content"]: token["id"] for token in added}
+    return tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def encode(text: str, params: PackParams = PackParams()) -> np.ndarray:
-    """The ids of a text, its end token included."""
-    ids = _encoding(params.vocabulary).encode_ordinary(text)
+    """The ids of a text, its end token included. The vocabulary's added tokens are found inside the text."""
+    ids = _encoding(params.vocabulary).encode(text, allowed_special="all")
     ids.append(params.end_id)
     return np.array(ids, np.uint32)
 

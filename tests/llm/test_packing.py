@@ -28,6 +28,13 @@ def test_ids_are_those_of_the_tokenizer():
         assert encode(text or "").tolist() == reference_ids(text)
 
 
+def test_added_tokens_inside_texts_are_those_of_the_tokenizer():
+    end = "<|endoftext|>"
+    for text in (end, f"a {end} b", f"a{end}b", f"{end}{end}\n\n {end}  x", f"{end[:-1]}{end}", f"<{end}>", f"é  {end}  é'{end}s", end.upper()):
+        assert encode(text).tolist() == reference_ids(text)
+    assert encode(f"a {end} b").tolist() == [64, 220, 50256, 275, 2]
+
+
 def check(rows, texts, size):
     by_doc, by_sequence = {}, {}
     for r in rows:
