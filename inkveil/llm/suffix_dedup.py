@@ -19,6 +19,9 @@ anchor: the windows that belong to it, consecutive starts. Fragments meet by anc
    are dealt to narrower buckets by the bytes all of them share, with steps 1 to 3 again, down to one window, where
    equal bytes are counted and nothing is left to sort. No fragment is dropped at any size.
 
+`remove_later` with `min_words` cuts only passages of so many whole words; `min_bytes` must then be no more than the
+least bytes that such a passage can have (a byte a word and one between two).
+
 Null texts are empty. Texts shorter than `min_bytes` have no window. Rows that repeat id and text are two
 occurrences for `digest` and one text for `remove_later`.
 """
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkveil.llm.rows import keyed, packed
-from inkveil.llm.textbytes import BASE, U64, Spans, buffers, chunks, mix, signed, texts
+from inkveil.llm.textbytes import BASE, SPACED, U64, Spans, Words, buffers, chunks, mix, signed, texts
 from inkveil.session import staged
 
 FRAGMENT = "_id bigint, _th bigint, lo bigint, hi bigint, p bigint, k bigint, f bigint"
@@ -49,6 +52,8 @@ FOUND = "_id bigint, _th bigint, s bigint, e bigint, earlier boolean"
 class SuffixParams:
     min_bytes: int = 400
     anchor_bytes: int = 64
+    #: Whole words that a run of repeated windows must hold for `remove_later` to cut it; 0 cuts every run.
+    min_words: int = 0
     #: Distinct fragments that one suffix array takes; more are split, not cut.
     bucket: int = 2048
     #: Windows per bucket at each split; the last must be 1.
@@ -326,6 +331,25 @@ def _union(listed, size: int, only_earlier: bool) -> list[tuple[int, int]]:
     return [(s, e) for s, e in runs]
 
 
+def _wordy(listed, data: bytes, params: SuffixParams) -> list:
+    """Runs of consecutive windows with an earlier occurrence that hold at least `min_words` whole words.
+
+    Windows that only overlap or touch are two passages: each must be long enough by itself.
+    """
+    runs: list[list[int]] = []
+    for s, e in sorted((x["s"], x["e"]) for x in listed or () if x["earlier"]):
+        if runs and s <= runs[-1][1] + 1:
+            runs[-1][1] = max(runs[-1][1], e)
+        else:
+            runs.append([s, e])
+    if not runs:
+        return []
+    words = Words(pa.array([data], pa.binary()), SPACED)
+    at = np.array(runs)
+    n = np.searchsorted(words.ends, at[:, 1] + params.min_bytes, "right") - np.searchsorted(words.starts, at[:, 0])
+    return [{"s": s, "e": e, "earlier": True} for (s, e), k in zip(runs, n.tolist(), strict=True) if k >= params.min_words]
+
+
 def with_spans(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFrame:
     """`_row` (the document) and `_runs`, all its runs of window starts; the spans are found when this is called."""
     listed = spans(docs, params).groupBy("_id", "_th").agg(F.collect_list(F.struct("s", "e", "earlier")).alias("_runs"))
@@ -364,6 +388,8 @@ def _cut(batches: Iterator[pa.RecordBatch], params: SuffixParams) -> Iterator[pa
     for rows in chunks(batches, "_text"):
         kept = []
         for text, listed in zip(rows.column("_text").to_pylist(), rows.column("_runs").to_pylist(), strict=True):
+            if params.min_words and text is not None:
+                listed = _wordy(listed, text.encode(), params)
             runs = _union(listed, params.min_bytes, True)
             if runs:
                 data, parts, at = text.encode(), [], 0

@@ -106,3 +106,21 @@ def test_run_is_all_stages(spark, tables):
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert got.count() > 50
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity"
+
+
+def test_passages_of_over_50_words_go_and_shorter_ones_stay(spark):
+    rng = random.Random(5)
+    prose = lambda n: " ".join(f"{rng.randrange(16 ** 5):05x}" for _ in range(n))
+    letters = " ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=51))
+    short, just, below, one, two = prose(51)[:51 * 6], " ".join(w[:3] for w in prose(51).split()), prose(50), prose(30), prose(30)
+    texts = [f"{prose(40)} {p} {prose(40)}" for p in (letters, short, just, below, one, two)]
+    firsts = len(texts)
+    # After the first ones: the same passages once more, and two shorter ones side by side.
+    again = [(f"{prose(20)}A ", p, f" B{prose(20)}") for p in (letters, short, just, below, f"{one} {two}")]
+    texts += ["".join(parts) for parts in again]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.passages(spark, docs, "").collect()}
+    assert [got[i] for i in range(firsts)] == texts[:firsts]
+    for n, (before, _, after) in enumerate(again[:3]):
+        assert got[firsts + n] == before[:-1] + after[1:]
+    assert [got[firsts + 3], got[firsts + 4]] == texts[firsts + 3:]
