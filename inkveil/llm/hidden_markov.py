@@ -9,8 +9,8 @@ So the model's size is bounded while the counts behind it are those of every tok
 2. One pass turns each document into its classes; counts of the `near_tokens` most frequent tokens are broadcast (a
    bounded table), all other tokens are listed and meet their counts in a join.
 3. Baum-Welch: each task runs forward-backward over its documents, cut into segments of `segment` tokens, and adds up
-   expected transitions and emissions; the sums over tasks make the next model. Its first guess comes from more rounds
-   over at most `sample_documents` documents. All training documents take part in every round after that.
+   expected transitions and emissions; the sums over tasks make the next model. The first guess is made from the class
+   counts of the whole corpus, and all training documents take part in every round, whatever the corpus's size.
 4. The scaled forward recursion gives the exact likelihood of each whole document, uncut.
 
 A null or empty text is its end alone. With nothing to train on all counts are 0. Rows that repeat an id are scored
@@ -42,9 +42,11 @@ class MarkovParams:
     endings: int = 1024
     near_tokens: int = 1 << 19
     segment: int = 128
-    rounds: int = 2
-    sample_documents: int = 500
-    sample_rounds: int = 25
+    #: Rounds of Baum-Welch, each over all training documents.
+    rounds: int = 27
+    #: Without effect: no round takes a sample. Callers still name them.
+    sample_documents: int = 0
+    sample_rounds: int = 0
     #: Weight of the class frequencies that every state's emissions are smoothed with, in tokens.
     smoothing: float = 50.0
     #: Distinct tokens a task holds before it passes its counts on.
@@ -191,40 +193,38 @@ def expected(kinds: np.ndarray, firsts: np.ndarray, model: Model, params: Markov
     order = np.argsort(-size, kind="stable")
     first, size, going = first[order], size[order], (nth[order] > 0).astype(int)
     states = params.states
-    step, emit = model.step.astype(np.float32), model.emit.astype(np.float32)
+    step, emit = model.step.astype(np.float32), np.ascontiguousarray(model.emit.T, np.float32)
     longest = int(size[0]) if len(size) else 0
     active = [int(np.searchsorted(-size, -t, "left")) for t in range(longest)]
-    forward, scales, likelihood = [], [], 0.0
+    # All first tokens, all second ones ...: a row for each state, so that sums over states run along whole rows.
+    cuts = np.r_[0, np.cumsum(active)].astype(np.int64).tolist()
+    kind = np.concatenate([kinds[first[:m] + t] for t, m in enumerate(active)]) if longest else np.zeros(0, np.int64)
+    emitted = emit.take(kind, axis=1)
+    forward, backward = np.empty_like(emitted), np.ones_like(emitted)
+    scales = np.empty(len(kind), np.float32)
     for t in range(longest):
-        m = active[t]
-        alpha = (model.start[going[:m]].astype(np.float32) if t == 0 else forward[-1][:m] @ step) * emit[kinds[first[:m] + t]]
-        scale = np.maximum(alpha.sum(axis=1, keepdims=True), np.float32(1e-30))
-        forward.append(alpha / scale)
-        scales.append(scale)
-        likelihood += float(np.log(scale.astype(float)).sum())
+        m, here = active[t], slice(cuts[t], cuts[t + 1])
+        before = model.start[going[:m]].T.astype(np.float32) if t == 0 else step.T @ forward[:, cuts[t - 1]:cuts[t - 1] + m]
+        alpha = before * emitted[:, here]
+        scale = np.maximum(alpha.sum(axis=0), np.float32(1e-30))
+        forward[:, here] = alpha * (np.float32(1) / scale)
+        scales[here] = scale
+    likelihood = float(np.log(scales, dtype=np.float64).sum())
     steps = np.zeros((states, states))
-    emissions = np.zeros((params.classes, states))
+    for t in range(longest - 1, 0, -1):
+        m, here = active[t], slice(cuts[t], cuts[t + 1])
+        ahead = emitted[:, here] * backward[:, here] * (np.float32(1) / scales[here])
+        steps += forward[:, cuts[t - 1]:cuts[t - 1] + m] @ ahead.T
+        backward[:, cuts[t - 1]:cuts[t - 1] + m] = step @ ahead
+    gamma = forward
+    gamma *= backward
+    gamma /= np.maximum(gamma.sum(axis=0), np.float32(1e-30))
     starts = np.zeros((2, states))
-    ahead, gammas, at = None, [], []
-    for t in range(longest - 1, -1, -1):
-        m = active[t]
-        backward = np.ones((m, states), np.float32)
-        if ahead is not None:
-            k = len(ahead)
-            steps += forward[t][:k].T @ ahead
-            backward[:k] = ahead @ step.T
-        gamma = forward[t] * backward
-        gamma /= np.maximum(gamma.sum(axis=1, keepdims=True), np.float32(1e-30))
-        gammas.append(gamma)
-        at.append(kinds[first[:m] + t])
-        if t:
-            ahead = emit[at[-1]] * backward / scales[t]
-        else:
-            np.add.at(starts, going[:m], gamma)
-    if gammas:
-        gamma, kind = np.concatenate(gammas), np.concatenate(at)
-        for s in range(states):
-            emissions[:, s] = np.bincount(kind, gamma[:, s], params.classes)
+    emissions = np.zeros((params.classes, states))
+    for s in range(states):
+        emissions[:, s] = np.bincount(kind, gamma[s], params.classes)
+        if longest:
+            starts[:, s] = np.bincount(going, gamma[s, :active[0]], 2)
     return Model(starts, steps * step, emissions), likelihood
 
 
@@ -255,11 +255,7 @@ def _expect(batches: Iterator[pa.RecordBatch], model, params: MarkovParams) -> I
 
 def train(coded: DataFrame, frequency: np.ndarray, params: MarkovParams) -> Model:
     """Baum-Welch over all rows of `coded`."""
-    some = coded.orderBy(F.xxhash64("doc_id", "n_tokens"), "doc_id").limit(params.sample_documents).select("classes").collect()
-    kinds, firsts = _sequences(pa.array([bytes(r.classes) for r in some], pa.binary()))
     model = first_guess(frequency, params)
-    for _ in range(params.sample_rounds):
-        model = improved(expected(kinds, firsts, model, params)[0], frequency, params)
     for _ in range(params.rounds):
         sent = coded.sparkSession.sparkContext.broadcast(model)
         cells = coded.select("classes").mapInArrow(partial(_expect, model=sent, params=params), "kind int, cell long, n double")
@@ -269,6 +265,7 @@ def train(coded: DataFrame, frequency: np.ndarray, params: MarkovParams) -> Mode
             own = added[added.kind == kind]
             into.ravel()[own.cell.to_numpy()] = own.n.to_numpy()
         model = improved(sums, frequency, params)
+        sent.unpersist()
     return model
 
 

@@ -5,13 +5,15 @@ import random
 import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 from itertools import product
 
 import numpy as np
 import pyarrow as pa
 
 from inkveil.llm.hidden_markov import (
-    MarkovParams, Model, _classes, expected, improved, log10_likelihood, scores, token_counts, token_words, vocabulary)
+    MarkovParams, Model, _classes, expected, first_guess, improved, log10_likelihood, scores, token_counts, token_words, train,
+    vocabulary)
 from inkveil.llm.rows import most_frequent
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -98,6 +100,51 @@ def test_rounds_of_baum_welch_raise_the_likelihood():
     assert all(b > a - 1 for a, b in zip(seen, seen[1:])) and seen[-1] > seen[0] + 100
 
 
+def test_every_round_sees_all_training_documents(spark):
+    # More documents than the 500 that the first guess was once made from: each must count in each round.
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices(["the", "of", "stone"] if i % 2 else ["der", "und", "stein"], k=20))) for i in range(900)]
+    params = replace(SMALL, rounds=3, near_tokens=100)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    vocab = vocabulary(token_counts(docs, params), len(rows), params)
+    kinds, _ = _classes(token_words(pa.array([t for _, t in rows])), vocab, params)
+    own = [np.r_[part, 0] for part in kinds.reshape(900, 20)]
+    coded = spark.createDataFrame([(i, 21, x.astype("<u2").tobytes()) for i, x in enumerate(own)], "doc_id long, n_tokens long, classes binary")
+    frequency = (vocab.tokens + 0.5) / (vocab.tokens + 0.5).sum()
+    model = first_guess(frequency, params)
+    for _ in range(params.rounds):
+        model = improved(expected(np.concatenate(own), np.arange(0, 900 * 21 + 1, 21), model, params)[0], frequency, params)
+    got = train(coded, frequency, params)
+    for a, b in ((got.start, model.start), (got.step, model.step), (got.emit, model.emit)):
+        assert np.allclose(a, b, rtol=1e-3, atol=1e-6)
+    assert MarkovParams().rounds >= 27
+
+
+def test_expected_counts_are_those_of_all_paths():
+    params = replace(SMALL, segment=4)
+    model, rng = random_model(params, 6), np.random.default_rng(7)
+    own = [rng.integers(0, params.classes, n) for n in (4, 1, 3)]
+    starts, steps, emissions = np.zeros((2, 3)), np.zeros((3, 3)), np.zeros((params.classes, 3))
+    for kinds in own:
+        weights = {}
+        for path in product(range(3), repeat=len(kinds)):
+            p = model.start[0][path[0]]
+            for t, s in enumerate(path):
+                p *= model.emit[kinds[t]][s] * (model.step[path[t - 1]][s] if t else 1)
+            weights[path] = p
+        for path, p in weights.items():
+            share = p / sum(weights.values())
+            starts[0][path[0]] += share
+            for t, s in enumerate(path):
+                emissions[kinds[t]][s] += share
+                if t:
+                    steps[path[t - 1]][s] += share
+    got, likelihood = expected(np.concatenate(own), np.r_[0, 4, 5, 8], model, params)
+    assert np.isclose(likelihood, math.log(10) * sum(all_paths(x, model) for x in own), rtol=1e-5)
+    for a, b in ((got.start, starts), (got.step, steps), (got.emit, emissions)):
+        assert np.allclose(a, b, atol=1e-5)
+
+
 def test_a_state_gives_all_tokens_one_probability_in_total(spark):
     rows = [(i, t) for i, t in corpus(40) if i is not None and i < 1000]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
