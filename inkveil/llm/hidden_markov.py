@@ -149,7 +149,8 @@ def _classes(words: Words, vocab: Vocabulary, params: MarkovParams) -> tuple[np.
     place[place == len(vocab.keys)] = 0
     near = vocab.keys[place] == unique if len(vocab.keys) else np.zeros(len(unique), bool)
     count = np.where(near, vocab.counts[place], -1) if len(vocab.keys) else np.full(len(unique), -1)
-    rank = np.where(near, vocab.ranks[place], len(vocab.keys)) if len(vocab.keys) else np.zeros(len(unique), int) + params.own_classes
+    # A token that isn't near has no class of its own, however few near ones there are.
+    rank = np.where(near, vocab.ranks[place], params.own_classes) if len(vocab.keys) else np.full(len(unique), params.own_classes)
     other = 1 + params.own_classes + _endings(words, np.arange(len(words.starts)), params).astype(np.int64)
     return np.where(rank[at] < params.own_classes, 1 + rank[at], other), count[at]
 

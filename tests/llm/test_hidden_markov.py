@@ -157,6 +157,18 @@ def test_a_state_gives_all_tokens_one_probability_in_total(spark):
     assert np.allclose(inside + 0.5, vocab.masses)
 
 
+def test_far_tokens_have_ending_classes_where_near_ones_are_few(spark):
+    text = "the " * 9 + "of " * 5 + " ".join(f"once{i}" for i in range(40))
+    params = replace(SMALL, near_tokens=4)  # the once-only tokens are all far, and 2 near ones are fewer than own_classes
+    vocab = vocabulary(token_counts(spark.createDataFrame([(text,)], "text string"), params), 1, params)
+    count = Counter(text.split())
+    kind, near = _classes(token_words(pa.array([" ".join(count)])), vocab, params)
+    assert len(vocab.keys) == 2 and (kind[near < 0] > params.own_classes).all()
+    inside = np.bincount(kind, [n + 0.5 for n in count.values()], params.classes)
+    inside[0] = 1
+    assert np.allclose(inside + 0.5, vocab.masses)
+
+
 def test_nothing_to_train_on_and_empty_tables(spark):
     schema = "doc_id long, text string"
     alone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
