@@ -222,7 +222,10 @@ def _to_smaller(places: np.ndarray, common: np.ndarray) -> np.ndarray:
 def _sorted_bucket(rows: pa.Table, params: SuffixParams) -> pa.RecordBatch | None:
     """Runs of window starts of each fragment that occur earlier, or later, in the same buckets."""
     size = params.min_bytes
-    rows = rows.combine_chunks()
+    # Rows that repeat id and text bring their pieces once each, but are one place; that they repeat is counted before.
+    places = np.stack([rows.column(c).to_numpy() for c in ("_id", "_th", "lo")])
+    once = np.unique(places, axis=1, return_index=True)[1]
+    rows = (rows if len(once) == rows.num_rows else rows.take(pa.array(np.sort(once)))).combine_chunks()
     data, offsets = buffers(rows.column("piece").combine_chunks())
     lo, hi = rows.column("lo").to_numpy(), rows.column("hi").to_numpy()
     n = hi - lo + 1

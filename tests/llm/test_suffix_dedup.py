@@ -109,3 +109,14 @@ def test_suffix_order_and_previous_factors():
     for n, i in enumerate(order[:60]):
         best = max((next((k for k in range(24) if raw[i + k] != raw[j + k]), 24) for j in range(i)), default=0)
         assert found[n] == best
+
+
+def test_repeated_rows_beside_a_text_that_shares_part_are_one_text(spark):
+    rng = random.Random(9)
+    passage = words(rng, 30)
+    first, other = f"{words(rng, 9)} {passage} {words(rng, 7)}", f"{words(rng, 8)} {passage} {words(rng, 5)}"
+    rows = [(1, first), (1, first), (2, other)]
+    for params in (SMALL, SPLIT):
+        got = sorted((r.doc_id, r.text) for r in remove_later(spark.createDataFrame(rows, "doc_id bigint, text string"), params).collect())
+        alone = sorted((r.doc_id, r.text) for r in remove_later(spark.createDataFrame(rows[1:], "doc_id bigint, text string"), params).collect())
+        assert got[:2] == rows[:2] and got[2] == alone[1] and len(got[2][1]) < len(other)
