@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import dart_minhash, decontaminate, hidden_markov, language, packing, quality_crf, rule_ledger, sql, suffix_dedup, toxicity, warc
+from inkveil.llm import (
+    dart_minhash, decontaminate, hidden_markov, language, packing, quality_crf, resampling, rule_ledger, spelling, sql, suffix_dedup,
+    top_k, toxicity, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,12 +57,27 @@ def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hidden_markov.scores(_table(spark, sf_dir, "documents"))
 
 
+def op11_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_crf, op2_suffix_dedup, op3_warc_normaliser, op4_dart_minhash, op5_language_bayes, op6_toxicity,
-        op7_rule_ledger, op8_decontamination, op9_best_fit_packing, op10_hidden_markov)}
+        op7_rule_ledger, op8_decontamination, op9_best_fit_packing, op10_hidden_markov, op11_maxscore_top_k,
+        op12_importance_resampling, op13_spelling_variants)}
 
 
 def statements() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express; the others are held against brute force or held-out rows in the tests."""
-    return {"op3_warc_normaliser": sql.WARC, "op7_rule_ledger": sql.RULE_LEDGER, "op8_decontamination": sql.DECONTAMINATION}
+    return {
+        "op3_warc_normaliser": sql.WARC, "op7_rule_ledger": sql.RULE_LEDGER, "op8_decontamination": sql.DECONTAMINATION,
+        "op11_maxscore_top_k": sql.TOP_K, "op12_importance_resampling": sql.RESAMPLING, "op13_spelling_variants": sql.SPELLING}

@@ -73,3 +73,89 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id OR page
        CASE WHEN first <> page_id THEN first END AS refers_to
 FROM f
 """
+
+TOP_K = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, c.r AS other, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v AS q JOIN v AS c ON q.r <> c.r WHERE q.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, other))::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+#: `crc_table`, the step of each byte by its rule, for CRC32, which takes the bytes of a text.
+CRC_TABLE = """
+steps AS (
+  SELECT i, 0 AS k, i::BIGINT AS c FROM range(256) AS b(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS step FROM steps WHERE k = 8)"""
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(strlen({0})),
+    lambda i: ('0x' || substr(hex({0}), (2 * i + 1)::INT, 2))::BIGINT)), lambda a, b: xor(a >> 8, step[(xor(a, b) & 255) + 1])))"""
+
+RESAMPLING = rf"""
+WITH RECURSIVE {CRC_TABLE},
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '{TOKEN}') AS w FROM documents),
+b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '{TOKEN}') AS w FROM benchmark),
+own AS (SELECT r, unnest(w) AS w FROM d),
+wanted AS (SELECT unnest(w) AS w FROM b),
+words AS (SELECT DISTINCT w FROM (SELECT w FROM own UNION ALL SELECT w FROM wanted)),
+buckets AS (SELECT w, {CRC32.format('w')} % 10000 AS bucket FROM words, crc_table),
+s AS (SELECT bucket, count(*) AS s FROM own JOIN buckets USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM wanted JOIN buckets USING (w) GROUP BY bucket),
+totals AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) + 10000 AS s_all, (SELECT coalesce(sum(t), 0) FROM t) + 10000 AS t_all),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * s_all::DOUBLE / ((coalesce(s, 0) + 1)::DOUBLE * t_all::DOUBLE)))::BIGINT AS gain
+  FROM range(10000) AS n(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), totals),
+sums AS (SELECT r, sum(gain)::BIGINT AS gain FROM own JOIN buckets USING (w) JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, len(w)::BIGINT AS n_features, CASE WHEN len(w) > 0 THEN floor(gain / len(w))::BIGINT ELSE 0 END AS weight,
+         ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM d LEFT JOIN sums USING (r)),
+noisy AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM scored),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, r) AS rank, count(*) OVER () AS n
+  FROM noisy WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM noisy LEFT JOIN ranked USING (r)
+"""
+
+SPELLING = rf"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+counted AS (SELECT id, run, id || ':' || run AS named, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY id, run),
+slips AS (SELECT run, n, {CRC32.format('named')} AS h FROM counted, crc_table),
+slipped AS (
+  SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+  FROM slips),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+places AS (SELECT word, n, unnest(range(0, length(word) + 1)) AS i FROM words),
+keys AS (
+  SELECT word, n, i, substr(word, i + 1, 1) AS letter, substr(word, 1, i) AS head, substr(word, i + 2) AS rest
+  FROM places WHERE i < length(word)
+  UNION ALL
+  SELECT word, n, i, substr(word, i + 1, 1), substr(word, 1, i), substr(word, i + 1) FROM places),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM keys AS a JOIN keys AS b USING (i, head, rest)
+  WHERE a.word <> b.word AND a.letter <> b.letter),
+best AS (
+  SELECT word, count(*) AS n_near, max(n) AS best_n, min_by(other, struct_pack(a := -n, b := other)) AS best FROM near GROUP BY word),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form,
+         CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL
+  SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.root WHERE forms.form IS NOT NULL),
+roots AS (SELECT chain.word, root FROM chain JOIN forms ON forms.word = chain.root WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n FROM forms JOIN roots USING (word)
+"""

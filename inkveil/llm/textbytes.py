@@ -6,6 +6,7 @@ multiple of the chunk, or of one text where a single text is longer.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -102,6 +103,34 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+@cache
+def _crc_table() -> np.ndarray:
+    """The crc32 step of each byte, by its rule: eight shifts with the reversed polynomial."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1).astype(np.uint32)
+    return table
+
+
+def crc32s(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, before: np.ndarray | None = None, column: int = 64) -> np.ndarray:
+    """The unsigned crc32 of each span; `before` is that of bytes that precede it. Spans go byte by byte, all at once;
+    those of more than `column` bytes one by one."""
+    table, n = _crc_table(), ends - starts
+    found = np.zeros(len(starts), np.uint32) if before is None else before.astype(np.uint32)
+    order = np.argsort(-np.minimum(n, column + 1), kind="stable")
+    long = int(np.searchsorted(-n[order], -column, "left")) if len(n) and n.max() > column else 0
+    for i in order[:long].tolist():
+        found[i] = zlib.crc32(data[starts[i]:ends[i]].tobytes(), int(found[i]))
+    order = order[long:]
+    at, left = starts[order], n[order]
+    state = ~found[order]
+    for k in range(int(left[0]) if len(left) else 0):
+        m = int(np.searchsorted(-left, -k, "left"))
+        state[:m] = table[(state[:m] ^ data[at[:m] + k]) & 255] ^ (state[:m] >> 8)
+    found[order] = ~state
+    return found
+
+
 class Words:
     """The words of many texts: which text, the byte span, and a 64-bit hash of the folded bytes."""
 
