@@ -56,13 +56,8 @@ class Features:
         self.words = words = Words(column, ALPHANUMERIC, LOWER)
         n = len(words.starts)
         data, begin, end = words.data, words.starts, words.ends
-        if params.max_words > 1:  # the words again, one space between two
-            size = words.ends - words.starts
-            end = np.cumsum(size + 1) - 1
-            begin = end - size
-            shift = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-            data = np.full(int(end[-1]) + 1 if n else 0, 32, np.uint8)
-            data[np.repeat(begin, size) + shift] = words.data[np.repeat(words.starts, size) + shift]
+        if params.max_words > 1:
+            data, begin, end = words.joined()
         buckets, firsts, sizes = [], [], []
         for k in range(1, min(params.max_words, n) + 1):
             first = np.flatnonzero(words.text[:n - k + 1] == words.text[k - 1:])

@@ -19,8 +19,12 @@ anchor: the windows that belong to it, consecutive starts. Fragments meet by anc
    are dealt to narrower buckets by the bytes all of them share, with steps 1 to 3 again, down to one window, where
    equal bytes are counted and nothing is left to sort. No fragment is dropped at any size.
 
-`remove_later` with `min_words` cuts only passages of so many whole words; `min_bytes` must then be no more than the
-least bytes that such a passage can have (a byte a word and one between two).
+With `folded`, texts are compared by their words alone (letters and digits, lower case, a space behind each), so that
+capitals, marks and line breaks hide no repeat; `remove_later` then cuts whole words of the text as it is, and with
+`min_words` only passages of so many words between white space; `min_bytes` must be no more than the least bytes that
+such a passage can have (a byte a word and one between two). With `across`, an earlier occurrence counts only where it
+is in another text: a text that repeats itself is left as it is, unless an earlier text has the passage too; then each of
+its occurrences goes.
 
 Null texts are empty. Texts shorter than `min_bytes` have no window. Rows that repeat id and text are two
 occurrences for `digest` and one text for `remove_later`.
@@ -40,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkveil.llm.rows import keyed, packed
-from inkveil.llm.textbytes import BASE, SPACED, U64, Spans, Words, buffers, chunks, mix, signed, texts
+from inkveil.llm.textbytes import ALPHANUMERIC, BASE, LOWER, SPACED, U64, Spans, Words, buffers, chunks, mix, signed, texts
 from inkveil.session import staged
 
 FRAGMENT = "_id bigint, _th bigint, lo bigint, hi bigint, p bigint, k bigint, f bigint"
@@ -52,8 +56,12 @@ FOUND = "_id bigint, _th bigint, s bigint, e bigint, earlier boolean"
 class SuffixParams:
     min_bytes: int = 400
     anchor_bytes: int = 64
-    #: Whole words that a run of repeated windows must hold for `remove_later` to cut it; 0 cuts every run.
+    #: Compare words only; see above.
+    folded: bool = False
+    #: Words that a run of repeated windows must hold for `remove_later` to cut it, where texts are folded.
     min_words: int = 0
+    #: Only occurrences in another text count as earlier ones.
+    across: bool = False
     #: Distinct fragments that one suffix array takes; more are split, not cut.
     bucket: int = 2048
     #: Windows per bucket at each split; the last must be 1.
@@ -80,10 +88,19 @@ def _least(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[:n], before[width - 1:width - 1 + n])
 
 
+def _compared(column: pa.Array, params: SuffixParams) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes that are compared, and where each text begins (one more at the end)."""
+    if not params.folded:
+        return buffers(column)
+    words = Words(column, ALPHANUMERIC, LOWER)
+    data, begins, _ = words.joined()
+    return data, np.r_[begins, len(data)][words.firsts]
+
+
 def _fragments(batches: Iterator[pa.RecordBatch], params: SuffixParams) -> Iterator[pa.RecordBatch]:
     size, gram = params.min_bytes, params.anchor_bytes
     for rows in chunks(batches, "_text"):
-        data, offsets = buffers(rows.column("_text"))
+        data, offsets = _compared(rows.column("_text"), params)
         if len(data) < size:
             continue
         starts = np.arange(len(data) - size + 1)
@@ -110,7 +127,7 @@ def _fragments(batches: Iterator[pa.RecordBatch], params: SuffixParams) -> Itera
 def _pieces(batches: Iterator[pa.RecordBatch], params: SuffixParams) -> Iterator[pa.RecordBatch]:
     """The bytes of each wanted fragment of a text."""
     for rows in chunks(batches, "_text"):
-        data, offsets = buffers(rows.column("_text"))
+        data, offsets = _compared(rows.column("_text"), params)
         wanted = rows.column("wanted")
         flat = wanted.flatten()
         owner = np.repeat(np.arange(rows.num_rows), np.diff(wanted.offsets.to_numpy()))
@@ -241,6 +258,9 @@ def _sorted_bucket(rows: pa.Table, params: SuffixParams) -> pa.RecordBatch | Non
     by_place = np.lexsort((lo[owner[sub]] + inner[sub], hashes[owner[sub]], ids[owner[sub]]))
     place = np.empty(len(sub), np.int64)
     place[by_place] = np.arange(len(sub))
+    if params.across:  # one place a text
+        id_, hash_ = ids[owner[sub]][by_place], hashes[owner[sub]][by_place]
+        place[by_place] = np.cumsum(np.r_[0, (id_[1:] != id_[:-1]) | (hash_[1:] != hash_[:-1])])[:len(sub)]
     earlier, later = np.zeros(len(owner), bool), np.zeros(len(owner), bool)
     earlier[sub] = previous_factor(place, joint) >= size
     later[sub] = previous_factor(-place, joint) >= size
@@ -295,9 +315,10 @@ def spans(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFrame:
             rows.groupBy("k", "f").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_th", "lo", "hi", "p")).alias("at")),
             "distinct")
         copies = distinct.where("n > 1").select("k", "f", "at")
+        order = ("_id", "_th") if params.across else ("_id", "_th", "lo")
         found.append(rows.join(copies, ["k", "f"]).select(
             "_id", "_th", F.col("lo").alias("s"), F.col("hi").alias("e"),
-            (F.struct("_id", "_th", "lo") > F.struct("at._id", "at._th", "at.lo")).alias("earlier")))
+            (F.struct(*order) > F.struct(*(f"at.{c}" for c in order))).alias("earlier")))
         buckets = staged(distinct.groupBy("k").agg(F.count("*").alias("m")).where("m > 1"), "buckets")
         if not width or buckets.isEmpty():
             break
@@ -334,23 +355,32 @@ def _union(listed, size: int, only_earlier: bool) -> list[tuple[int, int]]:
     return [(s, e) for s, e in runs]
 
 
-def _wordy(listed, data: bytes, params: SuffixParams) -> list:
-    """Runs of consecutive windows with an earlier occurrence that hold at least `min_words` whole words.
+def _passages(listed, text: bytes, params: SuffixParams) -> list[tuple[int, int]]:
+    """The bytes of a folded text's passages that go: whole words in runs of consecutive windows that occur earlier.
 
     Windows that only overlap or touch are two passages: each must be long enough by itself.
     """
-    runs: list[list[int]] = []
-    for s, e in sorted((x["s"], x["e"]) for x in listed or () if x["earlier"]):
-        if runs and s <= runs[-1][1] + 1:
-            runs[-1][1] = max(runs[-1][1], e)
-        else:
-            runs.append([s, e])
-    if not runs:
+    earlier = [(x["s"], x["e"]) for x in listed or () if x["earlier"]]
+    if not earlier:
         return []
-    words = Words(pa.array([data], pa.binary()), SPACED)
-    at = np.array(runs)
-    n = np.searchsorted(words.ends, at[:, 1] + params.min_bytes, "right") - np.searchsorted(words.starts, at[:, 0])
-    return [{"s": s, "e": e, "earlier": True} for (s, e), k in zip(runs, n.tolist(), strict=True) if k >= params.min_words]
+    column = pa.array([text], pa.binary())
+    words, spaced = Words(column, ALPHANUMERIC, LOWER), Words(column, SPACED)
+    data, begins, ends = words.joined()
+    at = np.arange(len(data) - params.min_bytes + 1)
+    goes = np.zeros(len(at) + 1, bool)
+    for s, e in earlier:
+        goes[s:e + 1] = True
+    if params.across:  # equal windows of the text itself: only one of them stood for all
+        hashes = Spans(data, 5).of(at, at + params.min_bytes)
+        goes[:-1] |= np.isin(hashes, hashes[goes[:-1]])
+    edge = np.diff(np.r_[False, goes].astype(np.int8), append=0)
+    opened, closed = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
+    first = np.searchsorted(begins, opened)
+    last = np.searchsorted(ends, closed + params.min_bytes, "right") - 1
+    first, last = first[last >= first], last[last >= first]
+    start, stop = words.starts[first], words.ends[last]
+    n = np.searchsorted(spaced.starts, stop) - np.searchsorted(spaced.ends, start, "right")
+    return [(s, e) for s, e, k in zip(start.tolist(), stop.tolist(), n.tolist(), strict=True) if k >= params.min_words]
 
 
 def with_spans(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFrame:
@@ -391,9 +421,10 @@ def _cut(batches: Iterator[pa.RecordBatch], params: SuffixParams) -> Iterator[pa
     for rows in chunks(batches, "_text"):
         kept = []
         for text, listed in zip(rows.column("_text").to_pylist(), rows.column("_runs").to_pylist(), strict=True):
-            if params.min_words and text is not None:
-                listed = _wordy(listed, text.encode(), params)
-            runs = _union(listed, params.min_bytes, True)
+            if params.folded:
+                runs = _passages(listed, (text or "").encode(), params)
+            else:
+                runs = _union(listed, params.min_bytes, True)
             if runs:
                 data, parts, at = text.encode(), [], 0
                 for s, e in runs:

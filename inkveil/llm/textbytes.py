@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -132,7 +132,7 @@ def crc32s(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, before: np.nd
 
 
 class Words:
-    """The words of many texts: which text, the byte span, and a 64-bit hash of the folded bytes."""
+    """The words of many texts: which text, the byte span, and a 64-bit hash of the folded bytes (made when asked for)."""
 
     def __init__(self, column: pa.Array, letters: np.ndarray, fold: np.ndarray = AS_IS):
         raw, self.offsets = buffers(column)
@@ -152,7 +152,20 @@ class Words:
         self.firsts = np.searchsorted(self.starts, self.offsets)
         self.counts = np.diff(self.firsts)
         self.text = np.repeat(np.arange(self.n_texts), self.counts)
-        self.hashes = Spans(self.data).of(self.starts, self.ends)
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return Spans(self.data).of(self.starts, self.ends)
+
+    def joined(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words one after the other, a space behind each, and where each begins and ends there."""
+        size = self.ends - self.starts
+        ends = np.cumsum(size + 1) - 1
+        begins = ends - size
+        data = np.full(int(size.sum()) + len(size), 32, np.uint8)
+        shift = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        data[np.repeat(begins, size) + shift] = self.data[np.repeat(self.starts, size) + shift]
+        return data, begins, ends
 
 
 def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

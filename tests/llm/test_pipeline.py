@@ -1,17 +1,56 @@
 """The pipeline's stages on a small corpus, each against a brute-force version of it on the stage's own input."""
 
 import random
+import re
 
 import pytest
 from test_dart_minhash import similarity
 from test_decontaminate import brute as leaks
 from test_packing import check
-from test_suffix_dedup import brute as repeats
 from test_toxicity import INSULTS
 
 import corpus_pipeline
 from inkveil.llm.toxicity import scores
 
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def folded(text):
+    """The words' bytes, a space behind each, and the span of each word in the text and in those bytes."""
+    found, data = [], b""
+    for m in WORD.finditer(text.translate(LOWER)):
+        word = m.group().encode() + b" "
+        found.append((m.span(), (len(data), len(data) + len(word) - 1)))
+        data += word
+    return data, found
+
+
+def without_earlier_passages(rows, size=101, min_words=51):
+    """Texts in order of their ids, without passages of so many words that an earlier row's text has."""
+    seen, kept = set(), []
+    for _, text, *_ in rows:
+        data, words = folded(text or "")
+        windows = [data[i:i + size] for i in range(len(data) - size + 1)]
+        goes, cut, at = [w in seen for w in windows], [], 0
+        seen.update(windows)
+        while at < len(goes):
+            end = at
+            while end < len(goes) and goes[end]:
+                end += 1
+            if end > at:
+                whole = [own for own, (s, e) in words if s >= at and e <= end - 1 + size]
+                if whole:
+                    s, e = whole[0][0], whole[-1][1]
+                    if sum(m.start() < e and m.end() > s for m in re.finditer(r"[^ \t-\r]+", text)) >= min_words:
+                        cut.append((s, e))
+            at = end + 1
+        for s, e in reversed(cut):
+            text = text[:s] + text[e:]
+        kept.append(text)
+    return kept
+
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, root int"
 
 
@@ -28,7 +67,7 @@ def tables(spark, tmp_path_factory):
         if i % 5 == 0:
             text += f" you {rng.choice(INSULTS)} {prose(3)} {rng.choice(INSULTS)}"
         elif i % 16 == 1:
-            text = f"{text} {passage} {prose(20)}"
+            text = f"{text} {passage if i % 3 else passage.upper().replace(' ', ', ')} {prose(20)}"
         elif i % 16 == 2:
             text = f"{text} {items[i % 8][1]} {prose(5)}"
         texts.append(text)
@@ -38,6 +77,10 @@ def tables(spark, tmp_path_factory):
         words[len(words) // 2] = "changed"
         texts += [texts[base], " ".join(words) if len(words) > 60 else texts[base]]
     texts += ["", None, "short one", prose(3000)]
+    twice, shared, by_three = prose(70), prose(60), prose(55)
+    texts += [f"{prose(40)} {twice} {prose(9)} {twice} {prose(30)}", f"{prose(50)} {shared} {prose(9)} {shared.title()} {prose(50)}",
+              f"{prose(70)}\n{shared} {prose(20)}\n{shared}, {prose(30)}"]
+    texts += [f"{prose(60 + i)} {by_three} {prose(30)}" for i in range(3)]
     root = str(tmp_path_factory.mktemp("tables"))
     rows = [(i, t, "en", f"src{i % 3}", len(t or ""), 4) for i, t in enumerate(texts)]
     rows.append((None, "an id that is null", None, None, None, None))
@@ -76,22 +119,12 @@ def test_each_stage_does_what_brute_force_does(spark, tables, tmp_path):
     _, before, after = states[2]
     assert ids(before) == ids(after)
     order = sorted(before, key=lambda r: (r[0] is not None, r[0] or 0))
-    covered = repeats([(r[0] if r[0] is not None else -1, r[1]) for r in order], 400, only_later=True)
-    found = {r[0]: r for r in after}
-    cut = 0
-    for n, row in enumerate(order):
-        if row[1] is None:
-            assert found[row[0]][1] is None
-            continue
-        at, text = 0, ""
-        for ch in row[1]:
-            width = len(ch.encode())
-            text += "" if covered[n][at:at + width].all() else ch
-            at += width
-        cut += len(text) < len(row[1])
+    found, cut = {r[0]: r for r in after}, 0
+    for row, text in zip(order, without_earlier_passages(order), strict=True):
         assert found[row[0]][1] == text and found[row[0]][2:4] == row[2:4]
         assert found[row[0]][4] == (len(text) if text != row[1] else row[4])
-    assert cut >= 5
+        cut += text != row[1]
+    assert cut >= 8
 
     _, before, after = states[3]
     assert sorted(map(str, after)) == sorted(str(r) for r in before if leaks(r[1], items)[1] == 0) and len(after) < len(before)
@@ -116,11 +149,30 @@ def test_passages_of_over_50_words_go_and_shorter_ones_stay(spark):
     texts = [f"{prose(40)} {p} {prose(40)}" for p in (letters, short, just, below, one, two)]
     firsts = len(texts)
     # After the first ones: the same passages once more, and two shorter ones side by side.
-    again = [(f"{prose(20)}A ", p, f" B{prose(20)}") for p in (letters, short, just, below, f"{one} {two}")]
+    again = [(f"{prose(20)} A ", p, f" B {prose(20)}") for p in (letters, short, just, below, f"{one} {two}")]
     texts += ["".join(parts) for parts in again]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.text for r in corpus_pipeline.passages(spark, docs, "").collect()}
     assert [got[i] for i in range(firsts)] == texts[:firsts]
     for n, (before, _, after) in enumerate(again[:3]):
-        assert got[firsts + n] == before[:-1] + after[1:]
+        assert got[firsts + n] == before + after
     assert [got[firsts + 3], got[firsts + 4]] == texts[firsts + 3:]
+
+
+def test_case_marks_and_lines_hide_no_passage_and_a_text_may_repeat_itself(spark):
+    rng = random.Random(6)
+    prose = lambda n: " ".join(f"{rng.randrange(16 ** 5):05x}" for _ in range(n))
+    passage, own, long = prose(60), prose(60), prose(60_000)
+    texts = [
+        f"{prose(20)} {passage} {prose(20)}",
+        f"{prose(20)} ### {passage.upper().replace(' ', ',' + chr(10))}! %%% {prose(20)}",
+        f"{own} {prose(5)} {own}",                                 # repeats itself only
+        f"X {passage} Y {passage.title()} Z",                      # both go: an earlier text has them
+        f"{long} end", f"start {long}",                            # longer than a chunk
+        f"{own} once more",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = [r.text for r in corpus_pipeline.passages(spark, docs, "").orderBy("doc_id").collect()]
+    assert got == without_earlier_passages(list(enumerate(texts)))
+    assert [got[0], got[2], got[4]] == [texts[0], texts[2], texts[4]]
+    assert got[3] == "X  Y  Z" and got[5] == "start " and got[6] == " once more" and "! %%%" in got[1] and len(got[1]) < 300
