@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from inkveil.llm import dart_minhash, decontaminate, packing, suffix_dedup, toxicity
 from inkveil.session import staged
 
-#: Passages of over 50 words: 51 words of one byte, with a byte between two, have 101 bytes.
-PASSAGES = suffix_dedup.SuffixParams(min_bytes=101, anchor_bytes=32, splits=(18, 4, 1), min_words=51)
+#: Passages of over 50 words that an earlier document has: 51 words of one byte, with a byte between two, have 101 bytes.
+PASSAGES = suffix_dedup.SuffixParams(min_bytes=101, anchor_bytes=32, splits=(18, 4, 1), min_words=51, folded=True, across=True)
 
 
 def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +22,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated passages of over 50 words are cut out of the texts."""
+    """Passages of over 50 words that an earlier document has are cut out of the texts."""
     return suffix_dedup.remove_later(docs, PASSAGES)
 
 
