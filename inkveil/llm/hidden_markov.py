@@ -8,9 +8,11 @@ So the model's size is bounded while the counts behind it are those of every tok
 1. Tokens are counted over all training documents; what is shuffled and joined grows with the corpus.
 2. One pass turns each document into its classes; counts of the `near_tokens` most frequent tokens are broadcast (a
    bounded table), all other tokens are listed and meet their counts in a join.
-3. Baum-Welch: each task runs forward-backward over its documents, cut into segments of `segment` tokens, and adds up
-   expected transitions and emissions; the sums over tasks make the next model. The first guess is made from the class
-   counts of the whole corpus, and all training documents take part in every round, whatever the corpus's size.
+3. Documents are cut into segments of `segment` tokens and laid out once, as a table of blocks: all first tokens of a
+   block's segments, then all second ones, the longest segments first. Each round of Baum-Welch reads that table, a task
+   runs forward-backward over its blocks and adds up expected transitions and emissions, and the sums of all tasks, dealt
+   out by ranges of the model's cells, make the next model. The first guess is made from the class counts of the whole
+   corpus, and all training documents take part in every round, whatever the corpus's size.
 4. The scaled forward recursion gives the exact likelihood of each whole document, uncut.
 
 A null or empty text is its end alone. With nothing to train on all counts are 0. Rows that repeat an id are scored
@@ -44,9 +46,8 @@ class MarkovParams:
     segment: int = 128
     #: Rounds of Baum-Welch, each over all training documents.
     rounds: int = 27
-    #: Without effect: no round takes a sample. Callers still name them.
-    sample_documents: int = 0
-    sample_rounds: int = 0
+    #: Segments of one block, which forward-backward takes at once.
+    block_segments: int = 1024
     #: Weight of the class frequencies that every state's emissions are smoothed with, in tokens.
     smoothing: float = 50.0
     #: Distinct tokens a task holds before it passes its counts on.
@@ -183,8 +184,16 @@ def _sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), "<u2").astype(np.int64), firsts
 
 
-def expected(kinds: np.ndarray, firsts: np.ndarray, model: Model, params: MarkovParams) -> tuple[Model, float]:
-    """Expected starts, transitions and emissions by forward-backward over segments, and the log likelihood of them."""
+@dataclass(frozen=True)
+class Block:
+    """Segments laid out by time: all first tokens, then all second ones, and so on; the longest segments come first."""
+
+    kinds: np.ndarray
+    active: np.ndarray  # segments that have a first, a second ... token
+    going: np.ndarray  # of each segment: whether it goes on within its document
+
+
+def blocks(kinds: np.ndarray, firsts: np.ndarray, params: MarkovParams) -> Iterator[Block]:
     n = np.diff(firsts)
     parts = -(-n // params.segment)
     owner = np.repeat(np.arange(len(n)), parts)
@@ -192,41 +201,78 @@ def expected(kinds: np.ndarray, firsts: np.ndarray, model: Model, params: Markov
     first = firsts[owner] + nth * params.segment
     size = np.minimum(params.segment, firsts[owner + 1] - first)
     order = np.argsort(-size, kind="stable")
-    first, size, going = first[order], size[order], (nth[order] > 0).astype(int)
-    states = params.states
-    step, emit = model.step.astype(np.float32), np.ascontiguousarray(model.emit.T, np.float32)
-    longest = int(size[0]) if len(size) else 0
-    active = [int(np.searchsorted(-size, -t, "left")) for t in range(longest)]
-    # All first tokens, all second ones ...: a row for each state, so that sums over states run along whole rows.
-    cuts = np.r_[0, np.cumsum(active)].astype(np.int64).tolist()
-    kind = np.concatenate([kinds[first[:m] + t] for t, m in enumerate(active)]) if longest else np.zeros(0, np.int64)
-    emitted = emit.take(kind, axis=1)
-    forward, backward = np.empty_like(emitted), np.ones_like(emitted)
-    scales = np.empty(len(kind), np.float32)
-    for t in range(longest):
-        m, here = active[t], slice(cuts[t], cuts[t + 1])
-        before = model.start[going[:m]].T.astype(np.float32) if t == 0 else step.T @ forward[:, cuts[t - 1]:cuts[t - 1] + m]
-        alpha = before * emitted[:, here]
-        scale = np.maximum(alpha.sum(axis=0), np.float32(1e-30))
-        forward[:, here] = alpha * (np.float32(1) / scale)
-        scales[here] = scale
-    likelihood = float(np.log(scales, dtype=np.float64).sum())
-    steps = np.zeros((states, states))
-    for t in range(longest - 1, 0, -1):
-        m, here = active[t], slice(cuts[t], cuts[t + 1])
-        ahead = emitted[:, here] * backward[:, here] * (np.float32(1) / scales[here])
-        steps += forward[:, cuts[t - 1]:cuts[t - 1] + m] @ ahead.T
-        backward[:, cuts[t - 1]:cuts[t - 1] + m] = step @ ahead
-    gamma = forward
-    gamma *= backward
-    gamma /= np.maximum(gamma.sum(axis=0), np.float32(1e-30))
-    starts = np.zeros((2, states))
-    emissions = np.zeros((params.classes, states))
-    for s in range(states):
-        emissions[:, s] = np.bincount(kind, gamma[s], params.classes)
-        if longest:
-            starts[:, s] = np.bincount(going, gamma[s, :active[0]], 2)
-    return Model(starts, steps * step, emissions), likelihood
+    for at in range(0, len(order), params.block_segments):
+        own = order[at:at + params.block_segments]
+        active = np.searchsorted(-size[own], -np.arange(size[own[0]]), "left")
+        by_time = np.concatenate([first[own[:m]] + t for t, m in enumerate(active.tolist())])
+        yield Block(kinds[by_time], active, nth[own] > 0)
+
+
+#: Steps between two scalings: within so few no probability leaves the range of single floats, as the likeliest state
+#: of a class counts as 1 and no transition is less than one in the number of tokens.
+SCALED = 4
+
+
+class Counts:
+    """Expected starts, transitions and emissions of blocks under a model, and the log likelihood, added up."""
+
+    def __init__(self, model: Model, params: MarkovParams):
+        self.top = model.emit.max(axis=1)
+        self.start, self.step = model.start.astype(np.float32), model.step.astype(np.float32)
+        self.back, self.emit = np.ascontiguousarray(self.step.T), (model.emit / self.top[:, None]).astype(np.float32)
+        self.params = params
+        self.starts, self.steps = np.zeros((2, params.states)), np.zeros((params.states, params.states))
+        self.emissions, self.likelihood = np.zeros((params.classes, params.states)), 0.0
+
+    def add(self, block: Block) -> None:
+        """Scaled forward-backward; forward and backward share the scales, so their product is a probability as it is."""
+        states = self.params.states
+        kinds, active = block.kinds.astype(np.int64), [*block.active.tolist(), 0]
+        cuts = np.r_[0, np.cumsum(active)].tolist()
+        emitted = self.emit.take(kinds, axis=0)
+        forward = np.empty_like(emitted)
+        ones = np.ones(states, np.float32)
+        for t, m in enumerate(active[:-1]):
+            here = slice(cuts[t], cuts[t + 1])
+            alpha = forward[here]
+            if t == 0:
+                np.multiply(self.start[block.going.astype(np.int64)], emitted[here], out=alpha)
+            else:
+                np.matmul(forward[cuts[t - 1]:cuts[t - 1] + m], self.step, out=alpha)
+                alpha *= emitted[here]
+            low = 0 if t % SCALED == SCALED - 1 else active[t + 1]  # segments that end here are scaled in any case
+            if low < m:
+                scale = np.maximum(alpha[low:] @ ones, np.float32(1e-37))
+                self.likelihood += float(np.log(scale, dtype=np.float64).sum())
+                np.reciprocal(scale, out=scale)
+                alpha[low:] *= scale[:, None]
+                emitted[cuts[t] + low:cuts[t + 1]] *= scale[:, None]
+        backward = np.ones((active[-2] if len(active) > 1 else 0, states), np.float32)
+        for t in range(len(active) - 2, 0, -1):
+            here = slice(cuts[t], cuts[t + 1])
+            ahead = emitted[here]
+            ahead *= backward
+            self.steps += forward[cuts[t - 1]:cuts[t - 1] + active[t]].T @ ahead
+            forward[here] *= backward
+            backward = np.ones((active[t - 1], states), np.float32)
+            np.matmul(ahead, self.back, out=backward[:active[t]])
+        forward[:active[0]] *= backward
+        for s in range(states):
+            self.emissions[:, s] += np.bincount(kinds, forward[:, s], self.params.classes)
+        for going in (0, 1):
+            self.starts[going] += forward[:active[0]][block.going == going].sum(axis=0, dtype=np.float64)
+
+    def sums(self) -> tuple[Model, float]:
+        seen = self.emissions.sum(axis=1)
+        return Model(self.starts, self.steps * self.step, self.emissions), self.likelihood + float(seen @ np.log(self.top))
+
+
+def expected(kinds: np.ndarray, firsts: np.ndarray, model: Model, params: MarkovParams) -> tuple[Model, float]:
+    """Expected starts, transitions and emissions by forward-backward over segments, and the log likelihood of them."""
+    counts = Counts(model, params)
+    for block in blocks(kinds, firsts, params):
+        counts.add(block)
+    return counts.sums()
 
 
 def improved(sums: Model, frequency: np.ndarray, params: MarkovParams) -> Model:
@@ -242,31 +288,57 @@ def first_guess(frequency: np.ndarray, params: MarkovParams) -> Model:
     return Model(np.full((2, params.states), 1 / params.states), step, emit / emit.sum(axis=0))
 
 
-def _expect(batches: Iterator[pa.RecordBatch], model, params: MarkovParams) -> Iterator[pa.RecordBatch]:
-    """This task's expected counts, a row for each cell that isn't 0: kind 0 starts, 1 steps, 2 emissions."""
-    total = Model(np.zeros((2, params.states)), np.zeros((params.states,) * 2), np.zeros((params.classes, params.states)))
+def _lay_out(batches: Iterator[pa.RecordBatch], params: MarkovParams) -> Iterator[pa.RecordBatch]:
     for rows in chunks(batches, "classes"):
-        found, _ = expected(*_sequences(rows.column("classes")), model.value, params)
-        total.start[:], total.step[:], total.emit[:] = total.start + found.start, total.step + found.step, total.emit + found.emit
-    for kind, cells in enumerate((total.start, total.step, total.emit)):
-        at = np.flatnonzero(cells)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(at), kind, np.int32)), pa.array(at), pa.array(cells.ravel()[at])], ["kind", "cell", "n"])
+        for block in blocks(*_sequences(rows.column("classes")), params):
+            kinds, active, going = (x.astype(kind).tobytes() for x, kind in (
+                (block.kinds, "<u2"), (block.active, "<i4"), (block.going, "?")))
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (kinds, active, going)], ["kinds", "active", "going"])
 
 
-def train(coded: DataFrame, frequency: np.ndarray, params: MarkovParams) -> Model:
-    """Baum-Welch over all rows of `coded`."""
-    model = first_guess(frequency, params)
+#: Cells of the model that one row of sums holds.
+CELLS = 1024
+
+
+def _expect(batches: Iterator[pa.RecordBatch], model, params: MarkovParams) -> Iterator[pa.RecordBatch]:
+    """This task's expected counts and log likelihood, cell by cell, in rows of `CELLS`."""
+    counts = Counts(model.value, params)
+    for batch in batches:
+        for kinds, active, going in zip(*(batch.column(c).to_pylist() for c in ("kinds", "active", "going")), strict=True):
+            counts.add(Block(np.frombuffer(kinds, "<u2"), np.frombuffer(active, "<i4"), np.frombuffer(going, "?")))
+    sums, likelihood = counts.sums()
+    cells = np.concatenate([sums.start.ravel(), sums.step.ravel(), sums.emit.ravel(), [likelihood]])
+    rows = [cells[at:at + CELLS].astype("<f8").tobytes() for at in range(0, len(cells), CELLS)]
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows), dtype=np.int32)), pa.array(rows, pa.binary())], ["part", "cells"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, cells in zip(batch.column("part").to_pylist(), batch.column("cells").to_pylist(), strict=True):
+            own = np.frombuffer(cells, "<f8")
+            found[part] = found[part] + own if part in found else own
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(found), pa.int32()), pa.array([x.tobytes() for x in found.values()], pa.binary())], ["part", "cells"])
+
+
+def train(coded: DataFrame, frequency: np.ndarray, params: MarkovParams, seen: list[float] | None = None) -> Model:
+    """Baum-Welch over all rows of `coded`; `seen` gets the log likelihood that each round starts from."""
+    table = staged(coded.select("classes").mapInArrow(
+        partial(_lay_out, params=params), "kinds binary, active binary, going binary"), "blocks")
+    model, rows = first_guess(frequency, params), "part int, cells binary"
     for _ in range(params.rounds):
         sent = coded.sparkSession.sparkContext.broadcast(model)
-        cells = coded.select("classes").mapInArrow(partial(_expect, model=sent, params=params), "kind int, cell long, n double")
-        sums = Model(np.zeros((2, params.states)), np.zeros((params.states,) * 2), np.zeros((params.classes, params.states)))
-        added = cells.groupBy("kind", "cell").agg(F.sum("n").alias("n")).toPandas()  # as many rows as the model has cells
-        for kind, into in enumerate((sums.start, sums.step, sums.emit)):
-            own = added[added.kind == kind]
-            into.ravel()[own.cell.to_numpy()] = own.n.to_numpy()
+        parts = table.mapInArrow(partial(_expect, model=sent, params=params), rows).repartition("part").mapInArrow(_added, rows)
+        added = sorted((r.part, r.cells) for r in parts.collect())  # the model's cells, once
+        cells = np.frombuffer(b"".join(c for _, c in added), "<f8")
+        start, step, emit = np.split(cells[:-1], np.cumsum([model.start.size, model.step.size])) if len(cells) else (0, 0, 0)
+        sums = Model(*(np.zeros(x.shape) + np.reshape(y, x.shape if np.size(y) > 1 else ()) for x, y in (
+            (model.start, start), (model.step, step), (model.emit, emit))))
+        if seen is not None and len(cells):
+            seen.append(float(cells[-1]))
         model = improved(sums, frequency, params)
-        sent.unpersist()
+        sent.destroy()
     return model
 
 

@@ -17,8 +17,8 @@ from inkveil.llm.hidden_markov import (
 from inkveil.llm.rows import most_frequent
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SMALL = MarkovParams(states=3, own_classes=6, endings=4, near_tokens=12, segment=16, rounds=2, sample_documents=20, sample_rounds=4,
-                     held_tokens=8)
+SMALL = MarkovParams(states=3, own_classes=6, endings=4, near_tokens=12, segment=16, rounds=2,
+                     block_segments=7, held_tokens=8)
 
 
 def lowered(text):
@@ -47,7 +47,7 @@ def base_scores(rows):
 def test_base_scores_are_those_of_plain_counting(spark):
     rows = corpus()
     docs = spark.createDataFrame([(*r, 2) for r in rows], "doc_id long, text string, r int")
-    for params in (SMALL, MarkovParams(states=2, sample_rounds=2, rounds=1)):
+    for params in (SMALL, MarkovParams(states=2, rounds=1)):
         got = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in scores(docs, params).collect()]
         key = lambda r: (r[0] is not None, r[0] or 0, r[2])
         for a, b in zip(sorted(got, key=key), sorted(base_scores(rows), key=key), strict=True):
@@ -114,7 +114,9 @@ def test_every_round_sees_all_training_documents(spark):
     model = first_guess(frequency, params)
     for _ in range(params.rounds):
         model = improved(expected(np.concatenate(own), np.arange(0, 900 * 21 + 1, 21), model, params)[0], frequency, params)
-    got = train(coded, frequency, params)
+    seen = []
+    got = train(coded, frequency, params, seen)
+    assert len(seen) == params.rounds and all(b > a for a, b in zip(seen, seen[1:]))
     for a, b in ((got.start, model.start), (got.step, model.step), (got.emit, model.emit)):
         assert np.allclose(a, b, rtol=1e-3, atol=1e-6)
     assert MarkovParams().rounds >= 27
