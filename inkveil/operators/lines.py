@@ -5,12 +5,14 @@ y0 is within the tolerance of the line's running baseline, and the baseline then
 
 Two exact plans compute it:
 
-* pages of bounded size: one shuffle on (doc_id, page_no), one sort, and windows over that sort, with
-  the fold over an array of the page's y0;
-* pages above RuleParams.page_split_rows: words are dealt out by small cells of the page, under one key for
-  the whole cell, so that no step takes up a partitioning by page for them. Only one row per cell is brought
-  together per page, which settles most lines; where it does not, equal neighbours are counted into
-  runs, and the runs of the open stretch are folded in one pass over their baselines and counts.
+* pages of bounded size: one shuffle on (doc_id, page_no), one sort, and windows over that sort, with the fold over an
+  array of the page's y0. That array is on every row of the page for one step, which is why the bound is low.
+* pages above RuleParams.page_split_rows: words are dealt out by ranges of the whole reading order and numbered
+  there, and a page is cut into blocks of `block_words`. Where a fold stands at the end of a block depends on all
+  words before it, but few baselines are possible: lines that live on meet, as every word halves their distance. So
+  every block finds the baselines it may leave with (those of lines begun in it, and of lines that pass through), and
+  where each baseline that may enter it leads; a page follows these small tables block by block, which gives each block
+  the one baseline that really enters it, and all blocks fold their words at once.
 """
 
 from __future__ import annotations
@@ -22,19 +24,10 @@ from pyspark.sql.window import Window
 from inkveil.functions.geometry import tenths
 from inkveil.functions.text import is_blank
 from inkveil.params import RuleParams
-from inkveil.session import union_all
+from inkveil.session import staged, union_all
 
 PAGE = ["doc_id", "page_no"]
 LINE = [*PAGE, "line_no"]
-CELL = "cell"  # struct of page, band and strip
-ISLAND = [*PAGE, "island"]
-
-# Width in points of the strips that cut a band of a large page into cells.
-STRIP = 64.0
-
-# Repeating p -> (p + y) / 2 reaches its final double within this many steps: a run joins within the tolerance, each
-# step halves the distance, and 2**25 halved so often is less than the least double. RuleParams bounds the tolerance.
-SETTLED = 1100
 
 # Parts that the words of a large page are dealt to while it is told from small ones.
 PARTS = 64
@@ -50,26 +43,44 @@ def reading_order(words: DataFrame) -> DataFrame:
     return _with_band(words).withColumn("ord", F.row_number().over(by_page))
 
 
+def reading_order_split(words: DataFrame) -> DataFrame:
+    """The same for pages of any size, which no task sees whole; ord is a bigint.
+
+    Words are dealt out by ranges of the whole order and numbered where they are: Spark's row number has the task in its
+    upper bits and the place there in the lower 33. A page's words in a task follow each other, so their places
+    and the counts of the tasks before (a row per page and task) give the position. Writes the dealt words once.
+    """
+    order = [*PAGE, "band", "x0", "word_idx"]
+    dealt = _with_band(words).repartitionByRange(*order).sortWithinPartitions(*order)
+    part = F.struct(*PAGE, F.shiftright("_at", 33).alias("task")).alias("_part")
+    placed = staged(dealt.withColumn("_at", F.monotonically_increasing_id()), "in-order").withColumn("_part", part)
+    counted = placed.groupBy("_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*[f"_part.{c}" for c in PAGE]).orderBy("_part.task").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counted.select("_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return placed.join(begins, "_part").withColumn("ord", F.col("_before") + F.col("_at") - F.col("_first") + 1).drop(
+        "_part", "_at", "_first", "_before")
+
+
 def line_tokens(words: DataFrame, params: RuleParams, page_rows: int | None = None) -> DataFrame:
     """Adds line_no and pos (both 0-based) to every word; other columns pass through.
 
     page_rows is the proven largest number of words on a page, where the source has one. Without
-    it, pages are counted and the large ones take the split plan.
+    it, pages are counted first, and those that are too large take the split plan and are written as blocks. Other
+    columns of large pages must have types that can be sorted.
     """
     if page_rows is not None and page_rows <= params.page_split_rows:
         return _tokens_by_page(words, params)
-    sized = _with_size(words, params.page_split_rows)
+    large = staged(_large_pages(words, params.page_split_rows), "large-pages")
+    if large.isEmpty():
+        return _tokens_by_page(words, params)
+    sized = _with_size(words, large)
     columns = words.columns
     return union_all(_tokens_by_page(sized.where(~F.col("_large")).select(columns), params),
-                     _tokens_by_cell(sized.where("_large").select(columns), params))
-
+                     _tokens_by_block(sized.where("_large").select(columns), params))
 
-def _with_size(words: DataFrame, split_rows: int) -> DataFrame:
-    """Adds _large: whether the word's page has more words than split_rows.
 
-    Pages are counted before they are shuffled; the join deals the words of a page to several parts.
-    """
-    large = _large_pages(words, split_rows)
+def _with_size(words: DataFrame, large: DataFrame) -> DataFrame:
+    """Adds _large: whether the word's page is listed. The join deals the words of a page to several parts."""
     part = F.pmod(F.xxhash64("word_idx"), F.lit(PARTS).cast("bigint"))
     keyed = words.withColumn("_page", F.struct(*PAGE, part.alias("part")))
     return keyed.join(large.withColumn("_hit", F.lit(True)), "_page", "left").withColumn(
@@ -118,7 +129,8 @@ def _tokens_by_page(words: DataFrame, params: RuleParams) -> DataFrame:
     # The first word of a page folds the y0 of the whole page; the others look up the result.
     folded = _with_band(words) \
         .withColumns({"ord": F.row_number().over(page), "ys": F.collect_list("y0").over(whole)}) \
-        .withColumn("starts", F.when(F.col("ord") == 1, _fold_starts("ys", params.line_tolerance))).drop("ys")
+        .withColumn("starts", F.when(F.col("ord") == 1, F.expr(_starts("ys", "CAST(NULL AS DOUBLE)", params.line_tolerance)))) \
+        .drop("ys")
     marked = folded.withColumn("starts", F.first("starts", True).over(so_far)) \
         .withColumn("start", F.array_contains("starts", F.col("ord"))).drop("starts")
     numbered = marked.withColumns({
@@ -127,99 +139,93 @@ def _tokens_by_page(words: DataFrame, params: RuleParams) -> DataFrame:
     return numbered.select(*columns, "line_no", "pos")
 
 
-def _fold_starts(ys: str, tol: float) -> Column:
-    """1-based positions in the array ys (reading order) at which a line starts."""
-    return F.expr(f"""
-        aggregate({ys},
-          named_struct('mean', CAST(NULL AS DOUBLE), 'ord', 0, 'starts', CAST(array() AS ARRAY<INT>)),
+def _collected(words: DataFrame, key: list[str], order: list[str], columns: list[str]) -> DataFrame:
+    """One row per key, its words in ws, sorted."""
+    word = F.struct(*columns).alias("word")
+    return words.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(*order, word))).alias("ws"))
+
+
+def _starts(ys: str, mean: str, tol: float) -> str:
+    """SQL for the 1-based positions in the array ys at which a line starts, where one with this baseline is open before."""
+    return f"""
+        aggregate({ys}, named_struct('mean', {mean}, 'ord', 0, 'starts', CAST(array() AS ARRAY<INT>)),
           (acc, y) -> IF(acc.mean IS NULL OR abs(y - acc.mean) > {tol}D,
             named_struct('mean', y, 'ord', acc.ord + 1, 'starts', concat(acc.starts, array(acc.ord + 1))),
             named_struct('mean', (acc.mean + y) / 2, 'ord', acc.ord + 1, 'starts', acc.starts)),
-          acc -> acc.starts)""")
-
-
-def _tokens_by_cell(words: DataFrame, params: RuleParams) -> DataFrame:
-    strip = F.floor(F.col("x0") / STRIP)
-    in_cells = _with_band(words).withColumn(CELL, F.struct(*PAGE, "band", strip.alias("strip")))
-    placed = _with_runs(in_cells)
-    cells = _islands(in_cells, params.line_tolerance)
-    runs = _place_runs(placed, cells, params.line_tolerance)
-
-    # Lines are counted per island and numbered down the page.
-    counted = cells.select(*ISLAND).distinct().join(
-        runs.groupBy(*ISLAND).agg((F.max("line_in_island") + 1).alias("n_lines")), ISLAND, "left")
-    above = Window.partitionBy(*PAGE).orderBy("island").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = counted.select(*ISLAND, F.coalesce(
-        F.sum(F.coalesce("n_lines", F.lit(1))).over(above), F.lit(0)).alias("base"))
-
-    of_cell = cells.join(numbered, ISLAND).select(CELL, "offset", "base")
-    of_run = runs.select(F.struct(CELL, "run").alias("_run"), "line_in_island", "before")
-    return placed.join(of_cell, CELL) \
-        .withColumn("_run", F.struct(CELL, "run")).join(of_run, "_run", "left") \
-        .select(*words.columns,
-                (F.col("base") + F.coalesce("line_in_island", F.lit(0))).cast("int").alias("line_no"),
-                F.coalesce(F.col("before") + F.col("at"), F.col("offset") + F.col("i")).cast("int").alias("pos"))
-
-
-def _islands(words: DataFrame, tol: float) -> DataFrame:
-    """Cells of a page grouped into islands: (cell, page, island, offset in the island, wide).
-
-    The baseline is a mean of earlier y0, so a word above all of them by more than the tolerance
-    certainly starts a line. Words between two such breaks that all lie within the tolerance of each
-    other are one line; other islands are wide and need the fold. A page has as many cells as its
-    area allows, however many words it has.
-    """
-    page = Window.partitionBy(*PAGE).orderBy("band", "strip")
-    island = Window.partitionBy(*ISLAND)
-    before = page.rowsBetween(Window.unboundedPreceding, -1)
-    cells = words.groupBy(CELL).agg(F.min("y0").alias("lo"), F.max("y0").alias("hi"), F.count(F.lit(1)).alias("n"))
-    starts = F.col("top").isNull() | (F.col("lo") - F.col("top") > tol)
-    return cells.select(CELL, f"{CELL}.*", "lo", "hi", "n") \
-        .withColumn("top", F.max("hi").over(before)) \
-        .withColumn("island", F.count_if(starts).over(page.rowsBetween(Window.unboundedPreceding, 0))) \
-        .withColumns({
-            "wide": F.max("hi").over(island) - F.min("lo").over(island) > tol,
-            "offset": F.sum("n").over(island.orderBy("band", "strip")) - F.col("n")}) \
-        .select(CELL, *ISLAND, "offset", "wide")
-
-
-def _with_runs(words: DataFrame) -> DataFrame:
-    """Adds i, the place of a word in its cell; run, neighbours with the same y0; and at, its place there."""
-    by_cell = Window.partitionBy(CELL).orderBy("x0", "word_idx")
-    so_far = by_cell.rowsBetween(Window.unboundedPreceding, 0)
-    return words.withColumns({
-        "i": F.row_number().over(by_cell) - 1,
-        "new": F.coalesce(F.lag("y0").over(by_cell) != F.col("y0"), F.lit(True)),
-    }).withColumns({
-        "run": F.count_if("new").over(so_far),
-        "at": F.col("i") - F.max(F.when(F.col("new"), F.col("i"))).over(so_far)}).drop("new")
-
-
-def _place_runs(placed: DataFrame, cells: DataFrame, tol: float) -> DataFrame:
-    """Folds the runs of each wide island: their line, and the number of words before them in that line.
-
-    After the first word of a run has joined or started a line, the others are nearer still, so a
-    run is never broken; the baseline halves its distance once per word. The fold notes only which runs
-    start a line, so its cost is linear in the runs but for lines; the rest are running counts.
-    """
-    runs = placed.groupBy(CELL, "run").agg(F.first("y0").alias("y"), F.count(F.lit(1)).alias("n"))
-    runs = runs.join(cells.filter("wide").select(CELL, "island"), CELL)
-    runs = runs.select(CELL, F.struct(F.col(f"{CELL}.doc_id"), F.col(f"{CELL}.page_no"), "island").alias("_island"), "run", "y", "n")
-    in_order = Window.partitionBy("_island").orderBy(f"{CELL}.band", f"{CELL}.strip", "run")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    fold = f"""
-        aggregate(ys,
-          named_struct('mean', CAST(NULL AS DOUBLE), 'ord', 0, 'starts', CAST(array() AS ARRAY<INT>)),
-          (acc, r) -> IF(acc.mean IS NULL OR abs(r.y - acc.mean) > {tol}D,
-            named_struct('mean', r.y, 'ord', acc.ord + 1, 'starts', concat(acc.starts, array(acc.ord + 1))),
-            named_struct('mean', aggregate(sequence(1L, least(r.n, {SETTLED}L)), acc.mean, (m, k) -> (m + r.y) / 2),
-                         'ord', acc.ord + 1, 'starts', acc.starts)),
           acc -> acc.starts)"""
-    starts = runs.withColumns({"ord": F.row_number().over(in_order), "ys": F.collect_list(F.struct("y", "n")).over(whole)}) \
-        .where("ord = 1").select("_island", F.explode(F.expr(fold)).alias("ord"), F.lit(True).alias("starts"))
-    numbered = runs.withColumn("ord", F.row_number().over(in_order)).join(starts, ["_island", "ord"], "left")
-    behind = F.sum("n").over(so_far) - F.col("n")
-    return numbered.withColumns({"line_in_island": F.count_if("starts").over(so_far) - 1, "behind": behind}) \
-        .withColumn("before", F.col("behind") - F.max(F.when(F.col("starts"), F.col("behind"))).over(so_far)) \
-        .select(CELL, "run", "_island.*", "line_in_island", "before")
+
+
+def _listed(groups: DataFrame, key: list[Column], base: str, open_: str) -> DataFrame:
+    """The key and word, line_no and pos of each word of groups (ws, starts): `base` lines began before, and the last one
+    has `open_` words there."""
+    rows = f"""
+        flatten(transform(firsts, (first, l) ->
+          transform(slice(ws, first, coalesce(get(firsts, l + 1), size(ws) + 1) - first),
+            (w, p) -> named_struct('word', w.word, 'line_no', CAST({base} + l - lead AS INT),
+                                   'pos', CAST(IF(l < lead, {open_}, 0) + p AS INT)))))"""
+    opens = "coalesce(get(starts, 0), 0) = 1"
+    return groups.withColumns({
+        "lead": F.expr(f"IF({opens}, 0, 1)"), "firsts": F.expr(f"IF({opens}, starts, concat(array(1), starts))"),
+    }).select(*key, F.inline(F.expr(rows)))
+
+
+def _block_key(doc_id: Column, page_no: Column, block: Column) -> Column:
+    """One key for a block, no partitioning by page; the hash deals consecutive blocks out evenly, which their numbers do not."""
+    return F.struct(doc_id.alias("doc_id"), page_no.alias("page_no"), block.alias("block"),
+                    F.xxhash64(doc_id, page_no, block).alias("spread")).alias("_block")
+
+
+def _tokens_by_block(words: DataFrame, params: RuleParams) -> DataFrame:
+    tol, size = params.line_tolerance, params.block_words
+    key = _block_key(*[F.col(c) for c in PAGE], F.expr(f"(ord - 1) div {size}"))
+    blocks = staged(_collected(reading_order_split(words).withColumn("_block", key), ["_block"], ["ord"], words.columns)
+                    .withColumn("ys", F.expr("transform(ws, w -> w.word.y0)")), "blocks")
+    starts = blocks.join(_entered(blocks.select("_block", "ys"), tol), "_block").withColumn(
+        "starts", F.expr(_starts("ys", "entered", tol)))
+    opened = staged(starts.select("_block", "starts"), "line-starts")
+
+    # Lines are counted down the page, over a row per block.
+    before = Window.partitionBy(*[f"_block.{c}" for c in PAGE]).orderBy("_block.block").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.expr(f"_block.block * {size} + element_at(starts, -1)")
+    counted = opened.select(
+        "_block", "starts", F.coalesce(F.sum(F.size("starts")).over(before), F.lit(0)).alias("base"),
+        (F.expr(f"_block.block * {size} + 1") - F.max(F.when(F.size("starts") > 0, last)).over(before)).alias("open"))
+    listed = _listed(blocks.select("_block", "ws").join(counted, "_block"), [], "base", "open")
+    return listed.select(*[F.col("word")[c].alias(c) for c in words.columns], "line_no", "pos")
+
+
+def _entered(blocks: DataFrame, tol: float) -> DataFrame:
+    """(_block, entered): the baseline of the line that is open before each block (_block, ys), null before the first.
+
+    Known baselines grow until no line that passes through a block leaves with a new one; one pass shows that, unless
+    lines pass without meeting, which takes a pass more for each block they stay apart.
+    """
+    moved = "(m + y) / 2"
+    behind = _block_key(F.col("_block.doc_id"), F.col("_block.page_no"), F.col("_block.block") + 1)
+    left = f"""aggregate(ys, CAST(array() AS ARRAY<DOUBLE>), (live, y) ->
+        array_distinct(concat(transform(filter(live, m -> NOT abs(y - m) > {tol}D), m -> {moved}), array(y))))"""
+    passed = f"""aggregate(ys, states, (live, y) ->
+        array_distinct(transform(filter(live, m -> NOT abs(y - m) > {tol}D), m -> {moved})))"""
+    known = fresh = staged(blocks.select(behind, F.expr(left).alias("states")), "baselines")
+    while True:
+        further = blocks.join(fresh, "_block").select(behind, F.expr(passed).alias("states")).where("size(states) > 0")
+        have = known.withColumnRenamed("states", "have")
+        fresh = staged(further.join(have, "_block").select("_block", F.array_except("states", "have").alias("states"))
+                       .where("size(states) > 0"), "baselines")
+        if fresh.isEmpty():
+            break
+        known = staged(known.unionAll(fresh).groupBy("_block").agg(F.array_distinct(F.flatten(F.collect_list("states"))).alias("states")),
+                       "baselines")
+
+    leads = f"aggregate(ys, states, (live, y) -> transform(live, m -> IF(abs(y - m) > {tol}D, y, {moved})))"
+    alone = f"aggregate(ys, CAST(NULL AS DOUBLE), (m, y) -> IF(m IS NULL OR abs(y - m) > {tol}D, y, {moved}))"
+    steps = blocks.join(known, "_block", "left").select(
+        "_block", "states", F.expr(leads).alias("leads"), F.expr(f"IF(_block.block = 0, {alone}, NULL)").alias("alone"))
+    followed = """aggregate(steps, named_struct('at', CAST(NULL AS DOUBLE), 'entered', CAST(array() AS ARRAY<DOUBLE>)),
+        (acc, s) -> named_struct('at', coalesce(s.alone, s.leads[CAST(array_position(s.states, acc.at) AS INT) - 1]),
+                                 'entered', concat(acc.entered, array(acc.at))),
+        acc -> acc.entered)"""
+    step = F.struct(F.col("_block.block").alias("block"), "states", "leads", "alone")
+    pages = steps.groupBy(*[F.col(f"_block.{c}").alias(c) for c in PAGE]).agg(F.sort_array(F.collect_list(step)).alias("steps"))
+    listed = pages.select(*PAGE, F.posexplode(F.expr(followed)).alias("block", "entered"))
+    return listed.select(_block_key(*[F.col(c) for c in PAGE], F.col("block").cast("bigint")), "entered")

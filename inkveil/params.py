@@ -52,8 +52,9 @@ class RuleParams:
     signature_x_slack: float = 50.0
     dpi: int = 220
     output_bucket: str = "anonymized"
-    # Pages with more words than this are segmented band by band instead of in one window.
-    page_split_rows: int = 20_000
+    # Pages with more words than this are cut into blocks of block_words instead of being folded whole.
+    page_split_rows: int = 2048
+    block_words: int = 1024
 
     def __post_init__(self) -> None:
         if not 0 <= self.line_tolerance < 2**25:

@@ -287,6 +287,7 @@ FROM documents, (VALUES ('title'), ('author'), ('producer'), ('format')) AS t(na
   SELECT doc_id, unnest(string_split(text, ' ')) AS w, unnest(range(len(string_split(text, ' ')))) AS i FROM documents
 ) WHERE regexp_replace(w, '[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]', '', 'g') <> ''""",
         "reading_order": of("SELECT doc_id, page_no, word_idx, round(yr * 10) AS band, ord FROM ordered"),
+        "reading_order_split": of("SELECT doc_id, page_no, word_idx, round(yr * 10) AS band, ord FROM ordered"),
         "line_segments": of(segments),
         "line_segments_fold": of(segments, folded),
         "line_tokens": of(tokens),

@@ -191,6 +191,10 @@ def reading_order(s: Scenario) -> DataFrame:
     return lines.reading_order(s.words()).select("doc_id", "page_no", "word_idx", "band", F.col("ord").cast("bigint"))
 
 
+def reading_order_split(s: Scenario) -> DataFrame:
+    return lines.reading_order_split(s.words()).select("doc_id", "page_no", "word_idx", "band", "ord")
+
+
 def line_segments(s: Scenario) -> DataFrame:
     return s.tokens().select("doc_id", "page_no", "word_idx", "line_no")
 
@@ -364,7 +368,7 @@ def _on(query: Callable[[Scenario], DataFrame], **options) -> Query:
 
 def registered() -> dict[str, Query]:
     plain = (
-        event_records, pdf_work_items, object_scan, doc_words, word_filter, reading_order, line_segments,
+        event_records, pdf_work_items, object_scan, doc_words, word_filter, reading_order, reading_order_split, line_segments,
         line_tokens, line_boxes, line_text, label_hits, value_spans, value_boxes, register_hits,
         register_tail_boxes, signature_lines, rule_tables, fixed_boxes, pixel_boxes, raster_burn,
         redaction_plan, removed_words, kept_words, page_routing, page_policy, published_pages, redacted_text,

@@ -101,13 +101,45 @@ def test_a_large_page_spreads_over_tasks(spark, threshold):
             spark.conf.set(k, v)
 
 
-def test_chained_baselines_fold_in_one_pass(spark):
-    """Every word is a run of its own, and no gap settles a line: the whole page is one fold."""
-    y = "(id div 10) * 0.25D + (id % 10) * 0.02D"
+CHAINED = "(id div 10) * 0.25D + (id % 10) * 0.02D"  # no gap settles a line: the baseline follows the slope
+PHASES = "id * 0.6D"  # lines of three words: three phases that never meet
+LATE = "IF(id < 1500, 0.0D, 1.0D) + IF(id = 2500, 0.75D, 0.0D)"  # a baseline that moves once, long after its line began
+
+
+@pytest.mark.parametrize("y, block_words", [(CHAINED, 64), (CHAINED, 1024), (PHASES, 7), (PHASES, 64), (LATE, 100)])
+def test_blocks_equal_the_plain_fold(spark, y, block_words):
     rows = [tuple(r) for r in dense_page(spark, 3000, y).collect()]
-    split = lines.line_tokens(dense_page(spark, 3000, y), RuleParams(page_split_rows=100))
+    split = lines.line_tokens(dense_page(spark, 3000, y), RuleParams(page_split_rows=100, block_words=block_words))
     assert placed(split) == fold_lines(rows, 1.0)
-    start = time.monotonic()
-    many = lines.line_tokens(dense_page(spark, 40_000, y), RuleParams(page_split_rows=100))
-    assert many.agg(F.max("pos")).first()[0] == 39_999  # the baseline follows the slope: one line
-    assert time.monotonic() - start < 60
+
+
+def test_lines_that_never_meet_pass_block_after_block(spark):
+    """Two words on a baseline and half a tolerance above it by turns: what enters a block passes all of it."""
+    rows = column_of([0.0] + [1.0 + 0.5 * (i % 2) * (i % 7 == 0) for i in range(400)], xs=[float(i) for i in range(401)])
+    split = lines.line_tokens(words_df(spark, rows), RuleParams(page_split_rows=100, block_words=16))
+    assert placed(split) == fold_lines(rows, 1.0)
+
+
+def test_a_chained_page_grows_linearly_and_spreads(spark):
+    """A page that is one line: no task takes a tenth of it, and twice the words take about twice the time."""
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64",
+                "spark.sql.files.minPartitionNum": "64"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+
+    def seconds(n):
+        start = time.monotonic()
+        tokens = lines.line_tokens(dense_page(spark, n, CHAINED), RuleParams(page_split_rows=1000))
+        found = tokens.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("pos").alias("last")).collect()
+        assert sum(r.n for r in found) == n and max(r["last"] for r in found) == n - 1
+        assert n < 200_000 or max(r.n for r in found) < n / 10
+        return time.monotonic() - start
+
+    try:
+        seconds(20_000)  # compiles
+        small = min(seconds(250_000), seconds(250_000))
+        assert seconds(500_000) < 2.5 * small
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
