@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,7 +11,7 @@ from pyspark.sql.window import Window
 from inkveil.functions.text import contains_any, norm_label, strip
 from inkveil.operators.lines import LINE, PAGE, padded_box
 from inkveil.params import RuleParams
-from inkveil.sources.rules import REDACT
+from inkveil.sources.rules import KEEP, REDACT
 
 BOX = ["rx0", "ry0", "rx1", "ry1"]
 # Height in points of the strips in which lines and register hits meet, beyond the reach of a hit.
@@ -45,6 +47,50 @@ def label_hits(words: DataFrame, labels: DataFrame) -> DataFrame:
     return words.join(rules, norm_label(F.col("text")) == F.col("_label"), "left").drop("_label")
 
 
+def multiword_hits(tokens: DataFrame, labels: DataFrame) -> DataFrame:
+    """(line, pos, n_words, label, action): where a line holds a label of one or more words, white space between two.
+
+    The words of a label follow each other in one line, and the last is compared as single words are. At a word the
+    longest label counts; down the line, labels that begin inside one before them do not. Every word is compared once
+    for each number of words that labels have, by equality, so the label table may be of any size.
+    """
+    words = F.split(F.btrim("label"), r"\s+")
+    rules = labels.groupBy(F.array_join(words, " ").alias("label"), F.size(words).alias("n_words")).agg(F.min("action").alias("action"))
+    lengths = sorted(r.n_words for r in rules.select("n_words").distinct().collect())  # a row for each number of words
+    in_line = Window.partitionBy(*LINE).orderBy("pos")
+    ahead = tokens.select(*LINE, "pos", "text", *[F.lead("text", k).over(in_line).alias(f"_{k}") for k in range(1, max(lengths, default=1))])
+    phrases = []
+    for n in lengths:
+        parts = [F.col("text"), *[F.col(f"_{k}") for k in range(1, n)]]
+        phrase = reduce(lambda a, b: F.concat(a, F.lit(" "), b), [*parts[:-1], norm_label(parts[-1])])
+        phrases.append(F.struct(F.lit(n).alias("n_words"), phrase.alias("label")))
+    if not phrases:
+        phrases = [F.struct(F.lit(0).alias("n_words"), F.lit(None).cast("string").alias("label"))]
+    listed = ahead.select(*LINE, "pos", F.inline(F.array(*phrases))).where("label is not null")
+    found = listed.join(rules, ["label", "n_words"]).groupBy(*LINE, "pos").agg(
+        F.max(F.struct("n_words", "label", "action")).alias("hit"))
+    match = F.struct("pos", "hit.n_words", "hit.label", "hit.action")
+    kept = """aggregate(hits, named_struct('free', 0, 'kept', filter(hits, h -> false)),
+        (acc, h) -> IF(h.pos >= acc.free, named_struct('free', h.pos + h.n_words, 'kept', concat(acc.kept, array(h))), acc),
+        acc -> acc.kept)"""
+    lines = found.groupBy(*LINE).agg(F.array_sort(F.collect_list(match)).alias("hits"))
+    return lines.select(*LINE, F.inline(F.expr(kept)))
+
+
+def with_multiword_labels(tokens: DataFrame, labels: DataFrame) -> DataFrame:
+    """Tokens with the actions of labels of any number of words in place of those of single words.
+
+    The last word of a label has its action, so that a value begins behind it; those before are kept, as they end the
+    value of the label before them.
+    """
+    place = F.struct(*LINE, "pos").alias("_place")
+    parts = multiword_hits(tokens, labels).select(
+        *LINE, "pos", "n_words", "action", F.explode(F.sequence(F.lit(0), F.col("n_words") - 1)).alias("i")).select(
+        F.struct(*LINE, (F.col("pos") + F.col("i")).alias("pos")).alias("_place"),
+        F.when(F.col("i") == F.col("n_words") - 1, F.col("action")).otherwise(KEEP).alias("action"))
+    return tokens.drop("action").withColumn("_place", place).join(parts, "_place", "left").drop("_place")
+
+
 def register_hits(words: DataFrame, search_terms) -> DataFrame:
     """Words that contain a search term, each once however many terms it contains."""
     return words.filter(contains_any(F.col("text"), search_terms))

@@ -226,6 +226,37 @@ _RESPONSE = """bodies AS (
 )"""
 
 
+# Labels of up to three words: the longest at each word, then from left to right what begins behind the one before.
+_MULTIWORD = (
+    """multiword AS (
+  SELECT label, len(string_split(label, ' ')) AS n_words, action FROM (
+    SELECT * FROM rule_labels UNION ALL
+    SELECT * FROM (VALUES ('of the:', 'redact'), ('the the the:', 'redact'), ('de la:', 'redact'),
+                          ('the of:', 'keep'), ('and the:', 'keep'), ('to the:', 'keep')) AS t(label, action))
+)""", """ahead AS (
+  SELECT doc_id, page_no, line_no, pos, line_len, text AS t0, lead(text) OVER l AS t1, lead(text, 2) OVER l AS t2 FROM tokens
+  WINDOW l AS (PARTITION BY doc_id, page_no, line_no ORDER BY pos)
+), phrases AS (
+  SELECT *, 1 AS n_words, t0 AS phrase FROM ahead
+  UNION ALL SELECT *, 2, t0 || ' ' || t1 FROM ahead
+  UNION ALL SELECT *, 3, t0 || ' ' || t1 || ' ' || t2 FROM ahead
+), matched AS (
+  SELECT p.doc_id, p.page_no, p.line_no, p.pos, p.line_len, m.n_words, m.label, m.action FROM phrases p
+  JOIN multiword m ON m.n_words = p.n_words AND m.label = CASE WHEN phrase LIKE '%:' THEN phrase ELSE phrase || ':' END
+  QUALIFY row_number() OVER (PARTITION BY p.doc_id, p.page_no, p.line_no, p.pos ORDER BY m.n_words DESC) = 1
+), onward AS (
+  SELECT m.*, min(pos) OVER (PARTITION BY doc_id, page_no, line_no) AS first_pos,
+    (SELECT min(o.pos) FROM matched o WHERE o.doc_id = m.doc_id AND o.page_no = m.page_no AND o.line_no = m.line_no
+                                       AND o.pos >= m.pos + m.n_words) AS next_pos
+  FROM matched m
+), kept_labels AS (
+  SELECT * FROM onward WHERE pos = first_pos
+  UNION ALL
+  SELECT o.* FROM kept_labels k JOIN onward o
+    ON o.doc_id = k.doc_id AND o.page_no = k.page_no AND o.line_no = k.line_no AND o.pos = k.next_pos
+)""")
+
+
 def _statement(select: str, steps: dict[str, str], extra: tuple[str, ...] = ()) -> str:
     """The steps a query needs, directly or through others, followed by the query."""
     text, needed = " ".join((select, *extra)), []
@@ -296,6 +327,12 @@ FROM documents, (VALUES ('title'), ('author'), ('producer'), ('format')) AS t(na
         "line_text": of(f"SELECT {cols}, line_no, line_text FROM line_boxes"),
         "label_hits": of(f"""SELECT {cols}, word_idx, text, action FROM words
 JOIN rule_labels ON label = CASE WHEN text LIKE '%:' THEN text ELSE text || ':' END"""),
+        "label_hits_multiword": _statement(
+            f"SELECT {cols}, line_no, pos::INT AS pos, n_words::INT AS n_words, label, action FROM kept_labels", every, _MULTIWORD),
+        "value_spans_multiword": _statement(
+            f"""SELECT {cols}, line_no, pos + n_words - 1 AS label_pos, pos + n_words AS start_pos,
+       coalesce(next_pos, line_len) AS end_pos
+FROM kept_labels WHERE action = 'redact' AND coalesce(next_pos, line_len) > pos + n_words""", every, _MULTIWORD),
         "value_spans": of("SELECT * FROM spans"),
         "value_boxes": of("SELECT * FROM value_boxes"),
         "register_hits": of(f"SELECT {cols}, word_idx, text, x0, y0, x1, y1 FROM hits"),

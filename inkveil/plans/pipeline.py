@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from inkveil.operators.apply import kept_words, redaction_plan
-from inkveil.operators.detect import mark_words, text_redactions
+from inkveil.operators.detect import mark_words, text_redactions, with_multiword_labels
 from inkveil.operators.lines import line_tokens, non_blank
 from inkveil.operators.pages import published_pages, redacted_text, text_page
 from inkveil.operators.regions import fixed_boxes
@@ -40,7 +40,8 @@ class Redactor:
         """Words with line, position and the rules their text meets."""
         rules = self.tables(words.sparkSession)
         marked = mark_words(non_blank(words), rules.labels, rules.tokens, rules.search_terms)
-        return line_tokens(marked, self.params, self.page_rows)
+        tokens = line_tokens(marked, self.params, self.page_rows)
+        return with_multiword_labels(tokens, rules.labels) if self.params.multiword_labels else tokens
 
     def plan(self, words: DataFrame, pages: DataFrame) -> DataFrame:
         """Boxes to redact on the text page."""

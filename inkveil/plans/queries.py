@@ -7,6 +7,7 @@ built from `pages`, and the rule profile below uses frequent words as labels.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,10 @@ RULES = RuleSet(
     page2_regions=((0.125, 0.125, 0.375, 0.25), (0.75, 0.5, 0.5, 0.625), (100, 200, 400, 250)),
 )
 PARAMS = RuleParams(output_bucket="anonymized")
+# Labels of several words, some of which overlap in the texts.
+MULTIWORD = replace(RULES, redact_labels=(*RULES.redact_labels, "of the:", "the the the:", "de  la:"),
+                    keep_labels=(*RULES.keep_labels, "the of:", "and the:", "to the:"))
+MULTIWORD_PARAMS = replace(PARAMS, multiword_labels=True)
 FOLD_PARAMS = RuleParams(line_tolerance=0.15)
 SPLIT_PARAMS = RuleParams(line_tolerance=0.15, page_split_rows=100)
 BATCH_TIME = 1_700_000_000
@@ -66,9 +71,9 @@ class Scenario:
     """The tables and operators the queries share, for one session and directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, params: RuleParams = PARAMS,
-                 page_rows: int | None = LAYOUT.words_per_page):
-        self.spark, self.sf_dir, self.params = tune(spark), sf_dir, params
-        self.redactor = Redactor(RULES, params, page_rows)
+                 page_rows: int | None = LAYOUT.words_per_page, rule_set: RuleSet = RULES):
+        self.spark, self.sf_dir, self.params, self.rule_set = tune(spark), sf_dir, params, rule_set
+        self.redactor = Redactor(rule_set, params, page_rows)
 
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
@@ -217,6 +222,10 @@ def label_hits(s: Scenario) -> DataFrame:
     return hits.filter(F.col("action").isNotNull()).select("doc_id", "page_no", "word_idx", "text", "action")
 
 
+def label_hits_multiword(s: Scenario) -> DataFrame:
+    return detect.multiword_hits(s.tokens(), rules.label_table(s.spark, s.rule_set))
+
+
 def value_spans(s: Scenario) -> DataFrame:
     return _counts(detect.value_spans(s.marked()), "label_pos", "start_pos", "end_pos")
 
@@ -382,5 +391,7 @@ def registered() -> dict[str, Query]:
     # unknown size, most of which are then large enough for the split plan.
     named["line_segments_fold"] = _on(line_segments, params=FOLD_PARAMS)
     named["redacted_text_fold"] = _on(redacted_text, params=FOLD_PARAMS)
+    named["label_hits_multiword"] = _on(label_hits_multiword, params=MULTIWORD_PARAMS, rule_set=MULTIWORD)
+    named["value_spans_multiword"] = _on(value_spans, params=MULTIWORD_PARAMS, rule_set=MULTIWORD)
     named["line_tokens_split"] = _on(line_tokens, params=SPLIT_PARAMS, page_rows=None)
     return named

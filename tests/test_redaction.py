@@ -48,6 +48,40 @@ def test_one_line(spark, split):
     assert dict(zip(ONE_LINE, map(" ".join, got))) == ONE_LINE
 
 
+SEVERAL_WORDS = {
+    "Nome: Ana Lima CPF: 1": "Ana Lima 1",
+    "Reg. Clínico: 99": "99",                                     # now found
+    "x Reg. Clínico 99 CPF: 1": "99 1",                           # the last word may lack its colon
+    "Reg. Outro Clínico: 99": "",                                # not one after the other
+    "Nome: A Intervalo PR: 160 b": "A",                           # ends the value, and its own is kept
+    "Nome: A Data de Nascimento: 1 CPF: 2": "A 2",                # longer than the label Data
+    "Médico Responsável: X": "X",
+    "Data 1 Nome: Eixo P-QRS-T: 5": "",
+    "Nome: Reg. Clínico:": "",                                    # no value behind either
+    "Nome: Reg. x": "Reg. x",                                     # the beginning of a label only
+}
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_labels_of_several_words(spark, split):
+    """On request only: test_one_line holds that they match nothing otherwise."""
+    params = RuleParams(multiword_labels=True, page_split_rows=1 if split else 2048)
+    got = removed_per_page(spark, [page_of(text) for text in SEVERAL_WORDS], params=params, page_rows=None if split else 1000)
+    assert dict(zip(SEVERAL_WORDS, map(" ".join, got))) == SEVERAL_WORDS
+
+
+def test_labels_that_overlap_and_lines_that_end(spark):
+    rules_ = RuleSet(redact_labels=("a b:", "b c:", "c d e:", "x:"), keep_labels=("e f:",), page1_regions=(), page2_regions=())
+    page = page_of("a b c d e f g", "b", "c x y b c", "a b", "c z")
+    redactor = Redactor(rules_, RuleParams(), 100)
+    hits = detect.multiword_hits(redactor.tokens(words_df(spark, page)), rules.label_table(spark, rules_))
+    got = sorted((r.line_no, r.pos, r.n_words, r.label) for r in hits.collect())
+    # From the left: "b c" begins inside "a b"; then "c d e", in which "e f" begins. No label goes on in the next line.
+    assert got == [(0, 0, 2, "a b:"), (0, 2, 3, "c d e:"), (2, 1, 1, "x:"), (2, 3, 2, "b c:"), (3, 0, 2, "a b:")]
+    none = detect.multiword_hits(redactor.tokens(words_df(spark, page)), rules.label_table(spark, RuleSet((), ())))
+    assert none.collect() == []
+
+
 def test_spans(spark):
     redactor = Redactor(NO_REGIONS, RuleParams(), 100)
     spans = detect.value_spans(redactor.marked_tokens(words_df(spark, page_of("Nome: Ana Lima CPF: 1"))))
