@@ -55,6 +55,8 @@ class RuleParams:
     # Pages with more words than this are cut into blocks of block_words instead of being folded whole.
     page_split_rows: int = 2048
     block_words: int = 1024
+    # Cells of a page in which more words than this meet boxes are dealt to parts.
+    dense_rows: int = 20_000
     # Labels of several words match words that follow each other in a line. Off, they match nothing.
     multiword_labels: bool = False
 

@@ -55,7 +55,12 @@ class Redactor:
     def kept(self, words: DataFrame, pages: DataFrame) -> DataFrame:
         """Tokens of the text page that survive."""
         marked = staged(self.marked_tokens(text_page(words)), "tokens")
-        return kept_words(marked, self.plan_of(marked, pages))
+        return kept_words(marked, self.plan_of(marked, pages), self.dense_rows)
+
+    @property
+    def dense_rows(self) -> int | None:
+        """Words above which a cell is dealt to parts; None where no page has as many."""
+        return None if self.page_rows is not None and self.page_rows <= self.params.dense_rows else self.params.dense_rows
 
     def text(self, words: DataFrame, pages: DataFrame) -> DataFrame:
         return redacted_text(self.kept(words, pages))

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,3 +224,48 @@ def test_labels_in_both_lists_are_kept(spark):
     merged = {x.label: x.action for x in rules.merge_labels(rules.label_lists(spark, r)).collect()}
     assert merged == {"A:": "redact", "B:": "keep"}
     assert merged == {x.label: x.action for x in rules.label_table(spark, r).collect()}
+
+
+def test_dense_cells_are_dealt_out(spark):
+    """200,000 large words and 5,000 boxes on a page: equal to all pairs, and no task has a quarter of the words."""
+    n, m = 200_000, 5000
+    rng = np.random.default_rng(3)
+    x, y = rng.uniform(0, 60_000, n), rng.uniform(0, 60_000, n)
+    wide, high = rng.uniform(1100, 1300, n), rng.uniform(5, 60, n)
+    bx, by = rng.uniform(0, 60_000, m), rng.uniform(0, 60_000, m)
+    words = spark.createDataFrame(pd.DataFrame({
+        "doc_id": 1, "page_no": 1, "word_idx": np.arange(n), "x0": x, "y0": y, "x1": x + wide, "y1": y + high}))
+    boxes = spark.createDataFrame(pd.DataFrame({
+        "doc_id": 1, "page_no": 1, "rule": "r", "rx0": bx, "ry0": by, "rx1": bx + 40, "ry1": by + 30}))
+    touched = np.zeros(n, bool)
+    for a, b in zip(bx, by):
+        touched |= (x < a + 40) & (x + wide > a) & (y < b + 30) & (y + high > b)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32",
+                "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = apply.removed_words(words, boxes, 20_000).select("word_idx", F.spark_partition_id().alias("task")).collect()
+        kept = apply.kept_words(words, boxes, 20_000).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r.word_idx for r in found) == np.flatnonzero(touched).tolist() and 1000 < touched.sum() < n - 1000
+    assert sum(r["count"] for r in kept) == n - touched.sum() and max(r["count"] for r in kept) < n / 4
+
+
+def test_dense_and_other_cells_and_pages_without_a_name(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([1, 2, None]), 1, i, x := rng.uniform(0, 900), y := rng.uniform(0, 900), x + rng.choice([5, 300, 3000]), y + 9.0)
+            for i in range(600)]
+    words = spark.createDataFrame(rows, "doc_id long, page_no int, word_idx long, x0 double, y0 double, x1 double, y1 double")
+    boxes = spark.createDataFrame(
+        [(rng.choice([1, 2, None]), 1, "r", x := rng.uniform(0, 900), y := rng.uniform(0, 900), x + 20, y + 20) for _ in range(25)],
+        "doc_id long, page_no int, rule string, rx0 double, ry0 double, rx1 double, ry1 double")
+    plain = sorted(r.word_idx for r in apply.removed_words(words, boxes).collect())
+    assert 20 < len(plain) < 580
+    for dense in (3, 40, 1000):
+        assert sorted(r.word_idx for r in apply.removed_words(words, boxes, dense).collect()) == plain
+        kept = sorted(r.word_idx for r in apply.kept_words(words, boxes, dense).collect())
+        assert kept == sorted(set(range(600)) - set(plain))
