@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from inkveil.functions.keys import output_key
 from inkveil.operators.pages import NO_PAGES
 from inkveil.params import RuleParams
+from inkveil.session import union_all
 from inkveil.sources.objects import MISSING
 
 # The messages of a response.
@@ -69,6 +70,23 @@ def audit(items: DataFrame, measures: DataFrame, params: RuleParams) -> DataFram
     )
 
 
+def batch_metrics(results: DataFrame, seconds: float) -> DataFrame:
+    """(metric, value) of a batch: items, successes, errors by their message, totals of the measures, and its seconds.
+
+    They come from the audit table, not from what passes by while it is made, so a task that runs twice counts once.
+    """
+    c, zero = F.col, F.lit(0).cast("bigint")
+    sums = {"items": F.count(F.lit(1)), "successes": F.count_if(c("status") == "success"),
+            **{m: F.coalesce(F.sum(m), zero) for m in (*MEASURES, "n_pages_dropped")}}
+    totals = results.agg(*[f.alias(name) for name, f in sums.items()])
+    listed = totals.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("metric"), c(name).cast("double").alias("value")) for name in sums],
+        F.struct(F.lit("seconds").alias("metric"), F.lit(float(seconds)).alias("value")))))
+    errors = results.where(c("error").isNotNull()).groupBy(F.concat(F.lit("error: "), "error").alias("metric")).agg(
+        F.count(F.lit(1)).cast("double").alias("value"))
+    return union_all(listed, errors)
+
+
 def batch_summary(events: DataFrame, results: DataFrame) -> DataFrame:
     """Totals and status code per notification; whatever is not a success counts as failed."""
     ok = F.col("status") == "success"

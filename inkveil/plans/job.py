@@ -2,6 +2,7 @@
 
 The stage tables cut the lineage: a lost executor costs the tasks of one stage, a restarted batch
 overwrites its own folders, and the boxes are computed once although several later stages need them.
+A batch is committed behind its last table; `sources.outputs.committed` reads the tables of committed batches only.
 """
 
 from __future__ import annotations
@@ -13,13 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkveil.operators.apply import kept_words
-from inkveil.operators.audit import audit, document_measures
+from inkveil.operators.audit import audit, batch_metrics, document_measures
+from inkveil.operators.metadata import clear_metadata
 from inkveil.operators.pages import published_pages, raster_page, text_page
 from inkveil.operators.raster import published_images
 from inkveil.operators.regions import raster_pages
 from inkveil.plans.pipeline import Redactor
 from inkveil.sources.images import image_errors
-from inkveil.sources.outputs import output_objects, write_batch
+from inkveil.sources.outputs import COMMITTED, OPEN, mark_batch, output_objects, write_batch
 from inkveil.sources.rules import page_errors
 
 
@@ -30,23 +32,27 @@ class BatchTables:
     audit: DataFrame
     objects: DataFrame
     images: DataFrame | None
+    metrics: DataFrame
     seconds: float
 
 
 def run_batch(redactor: Redactor, items: DataFrame, documents: DataFrame, words: DataFrame,
               pages: DataFrame, root: str, batch_id: int, epoch_seconds: int,
               images: DataFrame | None = None) -> BatchTables:
-    """Redacts the documents (doc_id, text, error) behind work items (event_id, pos, bucket, key, doc_id).
+    """Redacts the documents (doc_id, text, error, meta, xmp) behind work items (event_id, pos, bucket, key, doc_id).
 
-    error is what the check of the content found (sources.objects), or null; the column may be missing. images are
-    page images (doc_id, page_no, width, height, nChannels, data, error), where there are any. Writes tokens,
-    redactions, published, images, audit and objects below root. epoch_seconds is the time of the batch.
+    error is what the check of the content found (sources.objects), or null; the column may be missing, as may meta and
+    xmp, the document's metadata, which is stored cleared. images are page images (doc_id, page_no, width, height,
+    nChannels, data, error), where there are any. Writes tokens, redactions, published, images, audit, objects and
+    metrics below root, and commits the batch. epoch_seconds is the time of the batch.
     """
-    started = time.monotonic()
+    started, spark, folders, root = time.monotonic(), items.sparkSession, {}, root.rstrip("/")
+    mark_batch(spark, root, batch_id, folders, OPEN)
 
     def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         path = write_batch(df, f"{root}/{name}", batch_id, partition_by)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+        folders[name] = path.removeprefix(f"{root}/")
+        return spark.read.schema(df.schema).parquet(path)
 
     if "error" not in documents.columns:
         documents = documents.withColumn("error", F.lit(None).cast("string"))
@@ -61,5 +67,8 @@ def run_batch(redactor: Redactor, items: DataFrame, documents: DataFrame, words:
         rasters = stage(published_images(images, regions), "images")
     measures = document_measures(documents, pages, tokens, boxes, published, errors)
     results = stage(audit(items, measures, redactor.params), "audit")
-    objects = stage(output_objects(results, items, published, epoch_seconds), "objects", ("ingest_date", "output_bucket"))
-    return BatchTables(boxes, published, results, objects, rasters, round(time.monotonic() - started, 3))
+    cleared = clear_metadata(documents.select("doc_id", "meta", "xmp")) if {"meta", "xmp"} <= set(documents.columns) else None
+    objects = stage(output_objects(results, items, published, epoch_seconds, cleared), "objects", ("ingest_date", "output_bucket"))
+    metrics = stage(batch_metrics(results, round(time.monotonic() - started, 3)), "metrics")
+    mark_batch(spark, root, batch_id, folders, COMMITTED)
+    return BatchTables(boxes, published, results, objects, rasters, metrics, round(time.monotonic() - started, 3))

@@ -383,6 +383,19 @@ FROM audit a JOIN keyed k USING (event_id, pos)
 LEFT JOIN (SELECT doc_id, string_agg(line_text, chr(10) ORDER BY line_no) AS content FROM kept_lines GROUP BY doc_id) t
   ON t.doc_id = k.doc_id
 WHERE a.status = 'success'"""),
+        "stored_metadata": from_audit("""SELECT a.event_id, a.pos, '' AS xmp, name,
+       CASE name WHEN 'format' THEN 'PDF' ELSE '' END AS value
+FROM audit a JOIN keyed k USING (event_id, pos) JOIN documents d ON d.doc_id = k.doc_id,
+     (VALUES ('title'), ('author'), ('producer'), ('format')) AS t(name)
+WHERE a.status = 'success'"""),
+        "batch_metrics": from_audit("""SELECT metric, value::DOUBLE AS value FROM (
+  UNPIVOT (SELECT count(*) AS items, count(*) FILTER (status = 'success') AS successes,
+                  coalesce(sum(input_size), 0)::BIGINT AS input_size, coalesce(sum(output_size), 0)::BIGINT AS output_size,
+                  coalesce(sum(n_pages), 0)::BIGINT AS n_pages, coalesce(sum(n_words_in), 0)::BIGINT AS n_words_in,
+                  coalesce(sum(n_words_removed), 0)::BIGINT AS n_words_removed, coalesce(sum(n_boxes), 0)::BIGINT AS n_boxes,
+                  coalesce(sum(n_pages_dropped), 0)::BIGINT AS n_pages_dropped FROM audit)
+  ON COLUMNS(*) INTO NAME metric VALUE value
+  UNION ALL SELECT 'error: ' || error, count(*) FROM audit WHERE error IS NOT NULL GROUP BY error)"""),
         "audit": from_audit("SELECT * FROM audit"),
         "batch_summary": from_audit("SELECT * FROM summed", _SUMMARY),
         "batch_response": from_audit("""SELECT s.event_id, s.status_code, CASE WHEN total_files = 0

@@ -136,6 +136,11 @@ class Scenario:
         return self.table("documents").select("doc_id", "text").unionByName(
             blank.select(target(F.col("page_id")).alias("doc_id"), F.lit(" \n").alias("text")))
 
+    def document_metadata(self) -> DataFrame:
+        meta = F.create_map(F.lit("title"), "source", F.lit("author"), "lang", F.lit("producer"), F.lit("p"),
+                            F.lit("format"), F.lit("PDF")).alias("meta")
+        return self.table("documents").select("doc_id", meta, F.lit("<x/>").alias("xmp"))
+
     def contents(self) -> DataFrame:
         """The object behind each page: its html, a PDF by its first bytes unless it comes from a blog."""
         magic = F.when(F.contains("url", F.lit("blog.")), F.lit("")).otherwise(F.lit("%PDF-"))
@@ -149,8 +154,10 @@ class Scenario:
             checked = objects.check(self.contents().withColumn("content", F.encode("value", "UTF-8")))
             checked = checked.select(target(F.col("page")).alias("doc_id"), "error").where("error is not null")
             wanted = by_document(self.stored().join(items.select("doc_id").distinct(), "doc_id", "left_semi"))
+            known = self.document_metadata()
+            documents = wanted.join(checked, "doc_id", "left").join(known, "doc_id", "left")
             _JOBS[run] = run_batch(
-                self.redactor, items, wanted.join(checked, "doc_id", "left"), words.text_words(wanted, LAYOUT),
+                self.redactor, items, documents, words.text_words(wanted, LAYOUT),
                 words.text_pages(wanted, LAYOUT), scratch_dir(self.spark, "job"), 0, BATCH_TIME)
         return _JOBS[run]
 
@@ -313,10 +320,7 @@ def provenance_rows(s: Scenario) -> DataFrame:
 
 
 def metadata_cleared(s: Scenario) -> DataFrame:
-    meta = F.create_map(F.lit("title"), "source", F.lit("author"), "lang", F.lit("producer"), F.lit("p"),
-                        F.lit("format"), F.lit("PDF")).alias("meta")
-    docs = s.table("documents").select("doc_id", meta, F.lit("<x/>").alias("xmp"))
-    return metadata.clear_metadata(docs).select("doc_id", "xmp", F.explode("meta").alias("name", "value"))
+    return metadata.clear_metadata(s.document_metadata()).select("doc_id", "xmp", F.explode("meta").alias("name", "value"))
 
 
 def audit_rows(s: Scenario) -> DataFrame:
@@ -329,6 +333,17 @@ def stored_objects(s: Scenario) -> DataFrame:
                                   F.col("ingest_date").cast("string").alias("ingest_date"))
 
 
+def stored_metadata(s: Scenario) -> DataFrame:
+    """The metadata of the documents behind the stored objects, cleared, name by name."""
+    return s.job().objects.select(
+        "event_id", "pos", F.col("document_xmp").alias("xmp"), F.explode("document_meta").alias("name", "value"))
+
+
+def batch_metrics(s: Scenario) -> DataFrame:
+    """What the job counted, without the time it took."""
+    return s.job().metrics.where("metric <> 'seconds'")
+
+
 def published_rasters(s: Scenario) -> DataFrame:
     """Embeddings as gray images of second pages, with the regions of the profile burned, by pixel."""
     side = F.sqrt(F.size("embedding")).cast("int")
@@ -382,6 +397,7 @@ def registered() -> dict[str, Query]:
         register_tail_boxes, signature_lines, rule_tables, fixed_boxes, pixel_boxes, raster_burn,
         redaction_plan, removed_words, kept_words, page_routing, page_policy, published_pages, redacted_text,
         output_keys, metadata_cleared, batch_summary, batch_response, stream_redacted_text, stored_objects,
+        stored_metadata, batch_metrics,
         published_rasters, redaction_plan_of_tables,
     )
     named = {q.__name__: _on(q) for q in plain}

@@ -63,18 +63,20 @@ def work_item_stream(events: DataFrame, repeat_window: str | None = None) -> Dat
     return items.dropDuplicatesWithinWatermark(["bucket", "key"])
 
 
-def job_stream(items: DataFrame, load: Callable[[DataFrame], tuple[DataFrame, DataFrame, DataFrame, DataFrame]],
+def job_stream(items: DataFrame, load: Callable[[DataFrame], tuple[DataFrame, ...]],
                redactor: Redactor, root: str, checkpoint: str, epoch_seconds: Callable[[], int] = lambda: int(time.time()),
                keep_running: bool = False) -> StreamingQuery:
     """From work items to stored objects: each micro-batch of items is a run of the batch job below root.
 
     items: a stream as work_item_stream makes it. load(items) joins them to the stored objects and gives (items with
-    doc_id, documents, words, pages). A micro-batch that is repeated after a failure replaces its own folders, and the
-    output key of a (bucket, key) is the same in every batch.
+    doc_id, documents, words, pages) and, where pages are rendered, the images of the same documents. A micro-batch that
+    is repeated after a failure replaces its own folders, and the output key of a (bucket, key) is the same in every
+    batch. Each micro-batch is committed as a whole (sources.outputs.committed), with its metrics as a table. How much a
+    micro-batch takes is set on the source (maxFilesPerTrigger).
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        named, documents, words, pages = load(batch.select("event_id", "pos", "bucket", "key"))
-        run_batch(redactor, named, documents, words, pages, root, batch_id, epoch_seconds())
+        named, documents, words, pages, *images = load(batch.select("event_id", "pos", "bucket", "key"))
+        run_batch(redactor, named, documents, words, pages, root, batch_id, epoch_seconds(), *images)
 
     writer = items.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if not keep_running:

@@ -2,6 +2,7 @@ import json
 import struct
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import a4_pages, page_of, words_df
@@ -328,6 +329,86 @@ def test_notifications_to_objects_over_batches_and_a_restart(spark, tmp_path):
     assert [(r.input_key, r.error) for r in errors] == [("gone.pdf", "object not found")]
 
 
+def small_job(spark, root, batch_id, doc_id=1):
+    items = spark.createDataFrame([(0, doc_id, "b", f"{doc_id}.pdf", doc_id), (0, 9, "b", "gone.pdf", 99)],
+                                  "event_id BIGINT, pos INT, bucket STRING, key STRING, doc_id BIGINT")
+    docs = spark.createDataFrame([(doc_id, "x", {"title": "t", "custom": "c"}, "<x/>")],
+                                 "doc_id BIGINT, text STRING, meta MAP<STRING,STRING>, xmp STRING")
+    return run_batch(Redactor(BLANK, RuleParams(), 100), items, docs, words_df(spark, page_of("Nome: Ana b", doc=doc_id)),
+                     a4_pages(spark, (doc_id, 1)), root, batch_id, 1700)
+
+
+def test_a_batch_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+
+    def seen(table):
+        found = outputs.committed(spark, root, table)
+        return found if found is None else sorted(r.batch_id for r in found.select("batch_id").distinct().collect())
+
+    def fails(*args):
+        raise OSError("between audit and objects")
+
+    assert seen("audit") is None
+    with monkeypatch.context() as patch:
+        patch.setattr("inkveil.plans.job.output_objects", fails)
+        with pytest.raises(OSError):
+            small_job(spark, root, 1)
+    assert spark.read.parquet(f"{root}/audit").count() == 2  # the first tables are written, but nobody sees them
+    assert seen("audit") is None and seen("objects") is None
+    small_job(spark, root, 1)
+    assert seen("audit") == seen("objects") == seen("metrics") == [1]
+    with monkeypatch.context() as patch:
+        patch.setattr("inkveil.plans.job.output_objects", fails)
+        with pytest.raises(OSError):
+            small_job(spark, f"{root}/", 2, 2)
+    assert seen("audit") == seen("objects") == [1]
+    small_job(spark, f"{root}/", 2, 2)
+    assert seen("audit") == seen("objects") == [1, 2] and seen("images") is None
+    assert outputs.committed(spark, root, "objects").where("batch_id = 2").count() == 1
+
+
+def test_stored_objects_carry_cleared_metadata(spark, tmp_path):
+    row = small_job(spark, str(tmp_path), 1).objects.first()
+    assert row.document_meta == {"title": "", "custom": "c"} and row.document_xmp == ""
+
+
+def test_images_and_metrics_of_a_stream_over_batches_and_a_restart(spark, tmp_path):
+    folder, root = str(tmp_path / "ev"), str(tmp_path / "out")
+    names = {"x.pdf": 1, "y.pdf": 2, "z.pdf": 3}
+    table = spark.createDataFrame([(k, d, f"Nome: a{d} b") for k, d in names.items()], "key STRING, doc_id BIGINT, text STRING")
+    white = bytearray(b"\xff" * 48)
+    pictures = spark.createDataFrame(
+        [(1, 2, 4, 4, 3, white, None), (2, 2, None, None, None, None, images.UNREADABLE), (3, 2, 4, 4, 3, white, None)],
+        "doc_id BIGINT, page_no INT, width INT, height INT, nChannels INT, data BINARY, error STRING")
+    redactor = Redactor(RuleSet(page1_regions=(), page2_regions=((0.25, 0.25, 0.5, 0.5),)), RuleParams(), 600)
+
+    def load(items):
+        named = items.join(table.select("key", "doc_id"), "key", "left")
+        docs = table.join(items.select("key").distinct(), "key", "left_semi").select("doc_id", "text")
+        return (named, docs, words.text_words(docs), words.text_pages(docs), pictures.join(docs.select("doc_id"), "doc_id"))
+
+    def run():
+        stream = spark.readStream.schema("event_id BIGINT, body STRING, event_time TIMESTAMP").parquet(folder)
+        job_stream(work_item_stream(stream), load, redactor, root, str(tmp_path / "checkpoint"), lambda: 1700).awaitTermination()
+
+    arrive(spark, folder, 1, notification(("aws:s3", "b", "x.pdf"), ("aws:s3", "b", "y.pdf")))
+    run()
+    arrive(spark, folder, 2, notification(("aws:s3", "b", "z.pdf"), ("aws:s3", "b", "gone.pdf")))
+    run()
+    run()
+    streamed = {r.doc_id: bytes(r.data) for r in outputs.committed(spark, root, "images").collect()}
+    items = table.select(F.lit(0).cast("bigint").alias("event_id"), F.col("doc_id").cast("int").alias("pos"),
+                         F.lit("b").alias("bucket"), "key", "doc_id")
+    batch = run_batch(redactor, items, table.select("doc_id", "text"), words.text_words(table), words.text_pages(table),
+                      str(tmp_path / "batch"), 0, 1700, pictures)
+    assert streamed == {r.doc_id: bytes(r.data) for r in batch.images.collect()}
+    assert set(streamed) == {1, 3} and streamed[1].count(0) == 3 * 4  # columns and rows 1 and 2
+    metrics = {(r.batch_id, r.metric): r.value for r in outputs.committed(spark, root, "metrics").collect()}
+    assert metrics[0, "items"] == 2 and metrics[0, "successes"] == 1 and metrics[0, f"error: {images.UNREADABLE}"] == 1
+    assert metrics[1, "items"] == 2 and metrics[1, "error: object not found"] == 1 and metrics[1, "n_words_removed"] == 2
+    assert (2, "items") not in metrics and metrics[1, "seconds"] > 0
+
+
 def test_object_stream(spark, tmp_path):
     store(tmp_path / "s")
     found = drain(object_stream(spark, str(tmp_path / "s")).select("path", "length"), "objects", tmp_path)
