@@ -57,7 +57,7 @@ def run_batch(redactor: Redactor, items: DataFrame, documents: DataFrame, words:
     if "error" not in documents.columns:
         documents = documents.withColumn("error", F.lit(None).cast("string"))
     regions = redactor.tables(items.sparkSession).regions
-    tokens = stage(redactor.marked_tokens(text_page(words)), "tokens")
+    tokens = redactor.by_page(stage(redactor.marked_tokens(text_page(words)), "tokens"))
     boxes = stage(redactor.plan_of(tokens, pages), "redactions")
     published = stage(published_pages(kept_words(tokens, boxes, redactor.dense_rows), pages, redactor.params), "published")
     errors = page_errors(raster_pages(raster_page(pages), redactor.params), regions)

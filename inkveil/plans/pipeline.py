@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from inkveil.operators.apply import kept_words, redaction_plan
 from inkveil.operators.detect import mark_words, text_redactions, with_multiword_labels
-from inkveil.operators.lines import line_tokens, non_blank
+from inkveil.operators.lines import PAGE, line_tokens, non_blank
 from inkveil.operators.pages import published_pages, redacted_text, text_page
 from inkveil.operators.regions import fixed_boxes
 from inkveil.params import RuleParams, RuleSet
@@ -54,9 +54,14 @@ class Redactor:
 
     def kept(self, words: DataFrame, pages: DataFrame) -> DataFrame:
         """Tokens of the text page that survive."""
-        marked = staged(self.marked_tokens(text_page(words)), "tokens")
+        marked = self.by_page(staged(self.marked_tokens(text_page(words)), "tokens"))
         return kept_words(marked, self.plan_of(marked, pages), self.dense_rows)
 
+    def by_page(self, tokens: DataFrame) -> DataFrame:
+        """A table of tokens dealt out by page, where pages are known to be small: detection, the join with boxes and the
+        lines of what is left then find their rows together, so that the text is shuffled once and the flags once."""
+        return tokens.repartition(*PAGE) if self.dense_rows is None else tokens
+
     @property
     def dense_rows(self) -> int | None:
         """Words above which a cell is dealt to parts; None where no page has as many."""

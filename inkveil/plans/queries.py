@@ -288,8 +288,7 @@ def removed_words(s: Scenario) -> DataFrame:
 
 
 def kept_words(s: Scenario) -> DataFrame:
-    w = pages.text_page(s.words())
-    return apply.kept_words(w, s.plan()).select("doc_id", "page_no", "word_idx", "text")
+    return s.redactor.kept(s.words(), s.pages()).select("doc_id", "page_no", "word_idx", "text")
 
 
 def page_routing(s: Scenario) -> DataFrame:
