@@ -18,12 +18,14 @@ repeat the smallest page_id of a payload are all responses.
 from __future__ import annotations
 
 import hashlib
+import io
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -96,21 +98,20 @@ def parse(record: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[:int(fields["content-length"])]
 
 
-def inflated(content: bytes | memoryview, params: WarcParams) -> Iterator[bytes]:
-    """The stream of a gzip file, whatever its number of members, in pieces."""
-    left = memoryview(content)
-    while len(left):
+def inflated(source: bytes | IO[bytes], params: WarcParams) -> Iterator[bytes]:
+    """The stream of a gzip file, whatever its number of members, in pieces; no more than two of them are held."""
+    stream = io.BytesIO(source) if isinstance(source, bytes) else source
+    most, held = 4 * params.read_bytes, b""
+    while held := held or stream.read(params.read_bytes):
         member = zlib.decompressobj(31)
-        while not member.eof and len(left):
-            piece, left = left[:params.read_bytes], left[params.read_bytes:]
-            data = member.decompress(piece, 4 * params.read_bytes)
+        while not member.eof:
+            data = member.decompress(held, most)
             while data:
                 yield data
-                data = member.decompress(member.unconsumed_tail, 4 * params.read_bytes) if member.unconsumed_tail else b""
-        if not member.eof:
-            raise ValueError("gzip stream ends early")
-        if member.unused_data:
-            left = memoryview(member.unused_data + bytes(left))
+                data = b"" if member.eof else member.decompress(member.unconsumed_tail, most)
+            if not member.eof and not (held := stream.read(params.read_bytes)):
+                raise ValueError("gzip stream ends early")
+        held = member.unused_data
 
 
 _LENGTH = re.compile(rb"^content-length:[ \t]*(\d+)", re.I | re.M)
@@ -146,17 +147,23 @@ def _file_system(uri: str):
     return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
 
 
+def _opened(uri: str):
+    """A file as a stream, its bytes as they are."""
+    system, path = _file_system(uri)
+    return system.open_input_stream(path, compression=None)
+
+
 def _normalise(batches: Iterator[pa.RecordBatch], folder: str, params: WarcParams) -> Iterator[pa.RecordBatch]:
     system, root = _file_system(folder)
     system.create_dir(root, recursive=True)
     for rows in batches:
-        for path, content in zip(rows.column("path").to_pylist(), rows.column("content"), strict=True):
+        for path in rows.column("path").to_pylist():
             name = re.sub(r"\W", "_", path.rsplit("/", 1)[-1].split(".")[0])
             attempt = f"{root}/.{name}-{uuid.uuid4().hex}"
             index: list[list] = [[], [], [], []]
             offset = 0
-            with system.open_output_stream(f"{attempt}.warc.gz", compression=None) as out:
-                for record in split(inflated(content.as_buffer(), params)):
+            with _opened(path) as source, system.open_output_stream(f"{attempt}.warc.gz", compression=None) as out:
+                for record in split(inflated(source, params)):
                     fields, _ = parse(record)
                     packer = zlib.compressobj(params.level, zlib.DEFLATED, 31)
                     member = packer.compress(record) + packer.flush()
@@ -173,8 +180,12 @@ def _normalise(batches: Iterator[pa.RecordBatch], folder: str, params: WarcParam
 
 
 def normalise(spark: SparkSession, archives: str, folder: str, params: WarcParams = WarcParams()) -> DataFrame:
-    """Every gzip file below `archives` with one member a record, and its index, below `folder`; (archive, n records)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(archives).select("path", "content")
+    """Every gzip file below `archives` with one member a record, and its index, below `folder`; (archive, n records).
+
+    Spark lists the files and deals them out; their content is read by the tasks, as streams, so a file may be larger
+    than a value or a task's memory.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(archives).select("path")
     written = files.mapInArrow(partial(_normalise, folder=folder, params=params), "archive string, n long")
     return staged(written, "normalised")
 

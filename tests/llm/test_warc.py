@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import io
 import random
 import zlib
 from collections import Counter
@@ -79,6 +80,26 @@ def is_revisit(rows, row):
     return row[0] is not None and len((row[2] or "").encode()) >= 100 and min(ids) != row[0]
 
 
+class Watched(io.BytesIO):
+    """A file that notes the most that was asked of it at once."""
+
+    most = 0
+
+    def read(self, n=-1):
+        assert n > 0
+        self.most = max(self.most, n)
+        return super().read(n)
+
+
+def test_a_large_archive_is_read_as_a_stream():
+    record = b"WARC/1.1\r\nContent-Length: 100000\r\n\r\n" + b"0123456789" * 10_000 + b"\r\n\r\n"
+    source, params = Watched(gzip.compress(record * 300, 1)), WarcParams(read_bytes=4096)
+    sizes = Counter(map(len, split(inflated(source, params))))
+    assert sizes == {len(record): 300} and source.most == 4096 and source.tell() > 10 * 4096
+    pieces = list(inflated(gzip.compress(bytes(10_000_000)), WarcParams(read_bytes=1000)))  # grows a thousandfold
+    assert sum(map(len, pieces)) == 10_000_000 and max(map(len, pieces)) <= 4000
+
+
 def test_streams_cut_anywhere_and_broken_ones():
     record = b"WARC/1.1\r\nWARC-Type: x\r\nContent-Length: 9\r\n\r\nab\r\n\r\ncd\n\r\n\r\n"
     raw = gzip.compress(record) + gzip.compress(record * 3)
