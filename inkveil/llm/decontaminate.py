@@ -6,10 +6,11 @@ one length m make one search: a shift table over hashed blocks of three words sa
 may move without passing an occurrence; where the shift is zero, the hash of the last words selects a bucket of
 patterns, and their words are compared one by one.
 
-The documents are scanned once and never shuffled before the hits are known. The tables are broadcast in blocks of
-at most `block_patterns` patterns each, so their size is bounded whatever the benchmark's; a larger benchmark is
-more blocks, each searched by the same scan. Documents of one chunk are searched together, one step of all windows at
-a time, in stretches that overlap by a window.
+The tables are made in blocks of at most `block_patterns` patterns, one on the driver and in a task at a time, so their
+size is bounded whatever the benchmark's. One block, the usual case, is broadcast, and the documents are scanned once
+and never shuffled. Of a larger benchmark each block has a scan of its own over the numbered documents, which are written
+first; it writes the places and items it finds, a row a document with any, and these rows are merged by document.
+Documents of one chunk are searched together, one step of all windows at a time, in stretches that overlap by a window.
 
 Null and empty texts have no words and no hits. Rows that repeat an id are answered one by one. Repeated items
 count as items of their own.
@@ -18,16 +19,19 @@ count as items of their own.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkveil.llm.rows import NO_ID
 from inkveil.llm.textbytes import ALPHANUMERIC, BASE, LOWER, U64, Words, chunks, mix, shingles, within
+from inkveil.session import scratch_dir, staged
 
 HITS = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, item_ids array<bigint>"
 
@@ -144,7 +148,7 @@ def pattern_blocks(benchmark: DataFrame, params: SearchParams) -> Iterator[list[
     """The distinct windows of all items, in blocks of a bounded size; one block is on the driver at a time."""
     windows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").mapInArrow(
         partial(_item_windows, params=params), "item_id bigint, window binary")
-    distinct = windows.groupBy("window").agg(F.sort_array(F.collect_set(F.coalesce("item_id", F.lit(-(2**63))))).alias("items"))
+    distinct = windows.groupBy("window").agg(F.sort_array(F.collect_set(F.coalesce("item_id", F.lit(NO_ID)))).alias("items"))
     rows: list[tuple[bytes, list[int]]] = []
     for row in distinct.toLocalIterator():
         rows.append((bytes(row.window), row["items"]))
@@ -164,49 +168,109 @@ def _by_length(rows: list[tuple[bytes, list[int]]], params: SearchParams) -> lis
     return found
 
 
-def _scan(batches: Iterator[pa.RecordBatch], blocks: list, params: SearchParams) -> Iterator[pa.RecordBatch]:
+def _summary(words: Words, starts: np.ndarray, ends: np.ndarray, items: list[set[int]]) -> list[pa.Array]:
+    """What is told of each text: its words, those between any start and end (word numbers of the chunk), its items."""
+    marks = np.zeros(len(words.starts) + 1, np.int64)
+    np.add.at(marks, starts, 1)
+    np.add.at(marks, ends, -1)
+    hit = np.r_[0, np.cumsum(np.cumsum(marks[:-1]) > 0)]
+    n_hit = hit[words.firsts[1:]] - hit[words.firsts[:-1]]
+    listed = [sorted(x) for x in items]
+    named = [",".join(sorted("" if i == NO_ID else str(i) for i in x)) for x in listed]
+    return [pa.array(words.counts), pa.array(n_hit), pa.array([len(x) for x in listed], pa.int64()),
+            pa.array([hashlib.sha256(x.encode()).hexdigest() for x in named]), pa.array(n_hit > 0),
+            pa.array(listed, pa.list_(pa.int64()))]
+
+
+def _occurrences(words: Words, block: list[Patterns], params: SearchParams) -> tuple[np.ndarray, np.ndarray, list[set[int]]]:
+    """First word and end of every occurrence, and the items of each text."""
+    starts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    items: list[set[int]] = [set() for _ in range(words.n_texts)]
+    for patterns in block:
+        at, which = search(words, patterns, params)
+        starts.append(at)
+        ends.append(at + patterns.length)
+        for text, pattern in set(zip(words.text[at].tolist(), which.tolist(), strict=True)):
+            items[text].update(patterns.items[pattern].tolist())
+    return np.concatenate(starts), np.concatenate(ends), items
+
+
+def _scan(batches: Iterator[pa.RecordBatch], block, params: SearchParams) -> Iterator[pa.RecordBatch]:
     for rows in chunks(batches, "text"):
         words = Words(rows.column("text"), ALPHANUMERIC, LOWER)
-        marks = np.zeros(len(words.hashes) + 1, np.int64)
-        items: list[set[int]] = [set() for _ in range(rows.num_rows)]
-        for block in blocks:
-            for patterns in block.value:
-                at, which = search(words, patterns, params)
-                np.add.at(marks, at, 1)
-                np.add.at(marks, at + patterns.length, -1)
-                for text, pattern in set(zip(words.text[at].tolist(), which.tolist(), strict=True)):
-                    items[text].update(patterns.items[pattern].tolist())
-        hit = np.r_[0, np.cumsum(np.cumsum(marks[:-1]) > 0)]
-        n_hit = hit[words.firsts[1:]] - hit[words.firsts[:-1]]
-        listed = [sorted(x) for x in items]
-        named = [",".join(sorted("" if i == -(2**63) else str(i) for i in x)) for x in listed]
+        found = _summary(words, *_occurrences(words, block.value if block else [], params))
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), *found], [c.split()[0] for c in HITS.split(", ")])
+
+
+def _places(batches: Iterator[pa.RecordBatch], block, params: SearchParams) -> Iterator[pa.RecordBatch]:
+    """Starts and ends of occurrences (word numbers in the text) and items of each document that has a window of the block."""
+    for rows in chunks(batches, "text"):
+        words = Words(rows.column("text"), ALPHANUMERIC, LOWER)
+        starts, ends, items = _occurrences(words, block.value, params)
+        starts, ends = np.unique(np.stack([starts, ends]), axis=1)
+        owner = words.text[starts]
+        has = np.unique(owner)
+        cuts = pa.array(np.r_[np.searchsorted(owner, has), len(owner)].astype(np.int32))
+        lists = [pa.ListArray.from_arrays(cuts, pa.array(x - words.firsts[owner])) for x in (starts, ends)]
         yield pa.RecordBatch.from_arrays(
-            [rows.column("doc_id"), pa.array(words.counts), pa.array(n_hit), pa.array([len(x) for x in listed], pa.int64()),
-             pa.array([hashlib.sha256(x.encode()).hexdigest() for x in named]), pa.array(n_hit > 0),
-             pa.array(listed, pa.list_(pa.int64()))],
-            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "item_ids"])
+            [rows.column("r").take(pa.array(has)), *lists, pa.array([sorted(items[i]) for i in has.tolist()], pa.list_(pa.int64()))],
+            ["r", "starts", "ends", "items"])
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, params: SearchParams = SearchParams()) -> DataFrame:
-    """Per document its words, those inside a benchmark window, and the items whose windows occur."""
-    context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(block) for block in pattern_blocks(benchmark, params)]
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        partial(_scan, blocks=blocks, params=params), HITS)
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in chunks(batches, "text"):
+        words = Words(rows.column("text"), ALPHANUMERIC, LOWER)
+        starts, ends = (np.concatenate([np.zeros(0, np.int64), *(
+            words.firsts[i] + np.array(x, np.int64) for i, x in enumerate(rows.column(c).to_pylist()) if x)]) for c in ("starts", "ends"))
+        items = [set(x or ()) for x in rows.column("items").to_pylist()]
+        found = _summary(words, starts, ends, items)
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), *found], [c.split()[0] for c in HITS.split(", ")])
+
+
+def _by_block(rows: DataFrame, blocks: Iterable[list[Patterns]], params: SearchParams) -> DataFrame:
+    """(r, starts, ends, items) of the documents (r, text) with any window, from a scan for each block."""
+    spark = rows.sparkSession
+    folder, kind = scratch_dir(spark, "occurrences"), "r bigint, starts array<bigint>, ends array<bigint>, items array<bigint>"
+    for block in blocks:
+        sent = spark.sparkContext.broadcast(block)
+        rows.select("r", "text").mapInArrow(partial(_places, block=sent, params=params), kind).write.mode("append").parquet(folder)
+        sent.destroy()
+    together = [F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends")]
+    return spark.read.schema(kind).parquet(folder).groupBy("r").agg(
+        *together, F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
 
-def _clean(batches: Iterator[pa.RecordBatch], blocks: list, params: SearchParams) -> Iterator[pa.RecordBatch]:
+def hits(docs: DataFrame, benchmark: DataFrame, params: SearchParams = SearchParams()) -> DataFrame:
+    """Per document its words, those inside a benchmark window, and the items whose windows occur."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    blocks = pattern_blocks(benchmark, params)
+    first, second = next(blocks, None), next(blocks, None)
+    if second is None:
+        sent = docs.sparkSession.sparkContext.broadcast(first) if first else None
+        return rows.mapInArrow(partial(_scan, block=sent, params=params), HITS)
+    rows = staged(rows.withColumn("r", F.monotonically_increasing_id()), "numbered")
+    found = _by_block(rows, chain([first, second], blocks), params)
+    return rows.join(found, "r", "left").select("doc_id", "text", "starts", "ends", "items").mapInArrow(_merged, HITS)
+
+
+def _clean(batches: Iterator[pa.RecordBatch], block, params: SearchParams) -> Iterator[pa.RecordBatch]:
     for rows in chunks(batches, "text"):
         words = Words(rows.column("text"), ALPHANUMERIC, LOWER)
         clean = np.ones(rows.num_rows, bool)
-        for block in blocks:
-            for patterns in block.value:
-                clean[words.text[search(words, patterns, params)[0]]] = False
+        for patterns in block.value:
+            clean[words.text[search(words, patterns, params)[0]]] = False
         yield rows.filter(pa.array(clean))
 
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, params: SearchParams = SearchParams()) -> DataFrame:
-    """The documents without any benchmark window, as they are."""
-    context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(block) for block in pattern_blocks(benchmark, params)]
-    return docs.mapInArrow(partial(_clean, blocks=blocks, params=params), docs.schema)
+    """The documents without any benchmark window, as they are: a filter for each block, written between two blocks."""
+    blocks = pattern_blocks(benchmark, params)
+    kept, block = docs, next(blocks, None)
+    while block is not None:
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+        kept = kept.mapInArrow(partial(_clean, block=sent, params=params), docs.schema)
+        block = next(blocks, None)
+        if block is not None:
+            kept = staged(kept, "uncontaminated")
+            sent.destroy()
+    return kept

@@ -49,9 +49,42 @@ def test_hits_are_those_of_a_plain_search(spark):
             r = got[i]
             assert (r.n_words, r.n_hit, r.n_items, r.items_sha256) == brute(text, items), (i, text)
             assert r.contaminated == (r.n_hit > 0)
-    kept = uncontaminated(left, right)
-    assert kept.columns == left.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [i for i in got if not got[i].contaminated]
+        kept = uncontaminated(left, right, params)
+        assert kept.columns == left.columns
+        assert sorted(r.doc_id for r in kept.collect()) == [i for i in sorted(got) if not got[i].contaminated]
+
+
+def test_one_block_is_open_at_a_time(spark, monkeypatch):
+    """Many small blocks: each is gone from driver and tasks before the next but one is sent."""
+    docs, items = tables()
+    left = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    right = spark.createDataFrame(items, "item_id long, text string")
+    context, open_, most, sent = type(spark.sparkContext), set(), 0, 0
+    broadcast = context.broadcast
+
+    def watched(self, value):
+        nonlocal most, sent
+        found = broadcast(self, value)
+        open_.add(found)
+        most, sent = max(most, len(open_)), sent + 1
+        destroy = found.destroy
+        found.destroy = lambda: (open_.discard(found), destroy())
+        return found
+
+    monkeypatch.setattr(context, "broadcast", watched)
+    got = {r.doc_id: r.n_hit for r in hits(left, right, SearchParams(block_patterns=60)).collect()}
+    assert sent > 5 and most == 1 and got == {i: brute(t, items)[1] for i, t in enumerate(docs)}
+
+
+def test_a_text_longer_than_a_chunk(spark):
+    rng = random.Random(8)
+    long = " ".join(f"{rng.randrange(16 ** 6):06x}" for _ in range(300_000))
+    item = " ".join(long.split()[150_000:150_012])
+    left = spark.createDataFrame([(1, long), (2, "short")], "doc_id long, text string")
+    right = spark.createDataFrame([(1, item), (2, "other words")], "item_id long, text string")
+    for params in (SearchParams(), SearchParams(block_patterns=1)):
+        assert sorted((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in hits(left, right, params).collect()) == [
+            (1, 300_000, 12, 1), (2, 1, 0, 0)]
 
 
 def test_empty_tables_null_ids_and_repeats(spark):
