@@ -36,12 +36,15 @@ def published_images(images: DataFrame, regions: DataFrame) -> DataFrame:
 def burn_images(images: DataFrame, boxes: DataFrame, key: str = "path") -> DataFrame:
     """Blacks out boxes in image rows (key, width, height, nChannels, data).
 
-    boxes: (key, px0, py0, px1, py1), a handful per page. The image is cut into its pixel rows,
-    the rows a box covers are overwritten, and the rows are put together again, all JVM-side.
+    boxes: (key, px0, py0, px1, py1), a handful per page. The image is cut into its pixel rows, the rows a box covers
+    are overwritten, and the rows are put together again as bytes, in two steps of about the square root of their
+    number: beside the image itself there are its parts and the result, and no row is copied more often than that.
     """
     listed = boxes.groupBy(key).agg(F.collect_list(F.struct("px0", "py0", "px1", "py1")).alias("boxes"))
     stride = F.col("width") * F.col("nChannels")
     none = F.array().cast("array<struct<px0:int,py0:int,px1:int,py1:int>>")
+    rows = F.ceil(F.sqrt("height")).cast("int")  # of one part
+    empty, last = F.lit("").cast("binary"), F.col("height") - 1
 
     def overwrite(line: Column, b: Column, y: Column) -> Column:
         left = F.greatest(b["px0"], F.lit(0))
@@ -52,14 +55,17 @@ def burn_images(images: DataFrame, boxes: DataFrame, key: str = "path") -> DataF
         return F.when(covered, F.overlay(line, black, left * F.col("nChannels") + 1, n)).otherwise(line)
 
     def scan_line(y: Column) -> Column:
-        line = F.substring(F.col("data"), y * stride + 1, stride)
-        return F.hex(F.aggregate("boxes", line, lambda acc, b: overwrite(acc, b, y)))
+        return F.aggregate("boxes", F.substring(F.col("data"), y * stride + 1, stride), lambda line, b: overwrite(line, b, y))
 
-    rows = F.transform(F.sequence(F.lit(0), F.col("height") - 1), scan_line)
+    def part(first: Column) -> Column:
+        ys = F.sequence(first, F.least(first + rows - 1, last))
+        return F.aggregate(ys, empty, lambda done, y: F.concat(done, scan_line(y)))
+
+    parts = F.transform(F.sequence(F.lit(0), last, rows), part)
     return (
         images.join(listed, key, "left")
         .withColumn("boxes", F.coalesce("boxes", none))
         .withColumn("data", F.when(F.size("boxes") == 0, F.col("data"))
-                    .otherwise(F.unhex(F.array_join(rows, ""))))
+                    .otherwise(F.aggregate(parts, empty, lambda done, own: F.concat(done, own))))
         .drop("boxes")
     )

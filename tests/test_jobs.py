@@ -2,6 +2,7 @@ import json
 import struct
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -254,6 +255,19 @@ def test_image_burn(spark, tmp_path):
         assert black == expected and len(r.data) == w * h * r.nChannels
 
 
+def test_a_page_of_20_megapixels_is_burned(spark):
+    w, h = 5000, 4001
+    boxes = [(0, 10, 0, 40, 4000), (0, 4990, 3999, 6000, 9000), (1, 0, 0, 0, 0)]
+    pages = spark.range(1).select(F.lit(0).alias("path"), F.lit(w).alias("width"), F.lit(h).alias("height"), F.lit(1).alias("nChannels"),
+                                  F.unhex(F.repeat(F.lit("FF"), w * h)).alias("data"))
+    found = raster.burn_images(pages, spark.createDataFrame(boxes, "path INT, px0 INT, py0 INT, px1 INT, py1 INT")).first()
+    pixels = np.frombuffer(bytes(found.data), np.uint8).reshape(h, w)
+    expected = np.full((h, w), 255, np.uint8)
+    expected[:, 10:41] = 0
+    expected[3999:, 4990:] = 0
+    assert (pixels == expected).all()
+
+
 def test_stream_equals_batch_and_survives_a_restart(spark, tmp_path):
     texts = [(1, "Nome: Ana CPF 7"), (2, "a b c"), (3, "x CRM 1")]
     schema = "doc_id BIGINT, text STRING"
