@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from inkveil.llm.packing import PackParams, encode, packed, plan
+from inkveil.llm.packing import PackParams, encode, matches, packed, plan
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -87,6 +87,42 @@ def test_plan_is_near_the_least_number():
         assert full.max() <= 1024
 
 
+def swept(items):
+    """One range of sorted (size, is a gap): matches inside it, pieces that still wait, gaps that found none."""
+    found, waiting, gaps = [], [], []
+    for size, is_gap in items:
+        if not is_gap:
+            waiting.append(size)
+        elif waiting:
+            found.append((waiting.pop(), size))
+        else:
+            gaps.append(size)
+    return found, waiting, gaps
+
+
+def test_a_sweep_over_sizes_is_the_sweep_over_pieces_range_by_range():
+    """Pieces and gaps one by one, range-sorted, each range swept by itself and its rest matched with the ranges before."""
+    rng = np.random.default_rng(6)
+    for n_pieces, n_gaps, ranges in ((400, 300, 7), (50, 500, 13), (500, 40, 5), (300, 300, 1)):
+        pieces, gaps = rng.integers(1, 65, n_pieces), rng.integers(1, 65, n_gaps)
+        items = sorted([(int(x), False) for x in pieces] + [(int(x), True) for x in gaps])
+        found, waiting = [], []
+        for own in np.array_split(np.arange(len(items)), ranges):
+            inside, still, free = swept([items[i] for i in own])
+            found += inside
+            for gap in free:  # these come before what still waits in this range
+                if waiting:
+                    found.append((waiting.pop(), gap))
+            waiting += still
+        counted = {}
+        for pair in found:
+            counted[pair] = counted.get(pair, 0) + 1
+        by_size = {}
+        for length, gap, n in matches(np.bincount(pieces, minlength=65), np.bincount(gaps, minlength=65)):
+            by_size[length, gap] = by_size.get((length, gap), 0) + n
+        assert by_size == counted and all(length <= gap for length, gap in found) and len(found) > 30
+
+
 def best_fit_decreasing(lengths):
     gaps = np.zeros(1025, np.int64)
     opened = 0
