@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NO_ID = -(2**63)
@@ -49,3 +49,9 @@ def most_frequent(counts: DataFrame, count: str, most: int) -> DataFrame:
             break
         least = at
     return counts.where(step >= least) if least is not None else counts.where("false")
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a scratch folder that no table to come reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

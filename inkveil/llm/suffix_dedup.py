@@ -43,9 +43,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkveil.llm.rows import keyed, packed
+from inkveil.llm.rows import discard, keyed, packed
 from inkveil.llm.textbytes import ALPHANUMERIC, BASE, LOWER, SPACED, U64, Spans, Words, buffers, chunks, mix, signed, texts
-from inkveil.session import staged
+from inkveil.session import scratch_dir, staged
 
 FRAGMENT = "_id bigint, _th bigint, lo bigint, hi bigint, p bigint, k bigint, f bigint"
 PIECE = "k bigint, _id bigint, _th bigint, lo bigint, hi bigint, p bigint, piece binary"
@@ -305,12 +305,15 @@ def spans(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFrame:
     `docs` needs doc_id and text. A window may be listed twice, never with `earlier` false where an earlier
     occurrence exists in all lists.
     """
-    keys = keyed(docs)
-    rows = staged(keys.mapInArrow(partial(_fragments, params=params), FRAGMENT), "anchors")
-    rows = _met(rows)
+    keys, spark = keyed(docs), docs.sparkSession
+    anchors = scratch_dir(spark, "anchors")
+    keys.mapInArrow(partial(_fragments, params=params), FRAGMENT).write.parquet(anchors)
+    rows = _met(spark.read.schema(FRAGMENT).parquet(anchors))
     found = []
     for width in (*params.splits, 0):
         rows = staged(rows.select("_id", "_th", "lo", "hi", "p", "k", "f"), "fragments")
+        if width == params.splits[0]:  # most anchors are unique, and the others are a table of their own now
+            discard(spark, anchors)
         distinct = staged(
             rows.groupBy("k", "f").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_th", "lo", "hi", "p")).alias("at")),
             "distinct")
