@@ -386,9 +386,11 @@ def _passages(listed, text: bytes, params: SuffixParams) -> list[tuple[int, int]
     return [(s, e) for s, e, k in zip(start.tolist(), stop.tolist(), n.tolist(), strict=True) if k >= params.min_words]
 
 
-def with_spans(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFrame:
-    """`_row` (the document) and `_runs`, all its runs of window starts; the spans are found when this is called."""
-    listed = spans(docs, params).groupBy("_id", "_th").agg(F.collect_list(F.struct("s", "e", "earlier")).alias("_runs"))
+def with_spans(docs: DataFrame, params: SuffixParams = SuffixParams(), only_earlier: bool = False) -> DataFrame:
+    """`_row` (the document) and `_runs`, its runs of window starts, all or those that occur earlier; the spans are found
+    when this is called."""
+    found = spans(docs, params)
+    listed = (found.where("earlier") if only_earlier else found).groupBy("_id", "_th").agg(F.collect_list(F.struct("s", "e", "earlier")).alias("_runs"))
     return packed(docs).join(listed, ["_id", "_th"], "left")
 
 
@@ -447,7 +449,7 @@ def remove_later(docs: DataFrame, params: SuffixParams = SuffixParams()) -> Data
 
     All columns and rows are kept; n_chars, where there is one, is counted again. A null text stays null.
     """
-    marked = with_spans(docs, params)
+    marked = with_spans(docs, params, only_earlier=True)
     row = marked.schema["_row"].dataType
     changed = F.col("_runs").isNotNull()
     whole = marked.select("_row", F.when(changed, F.col("_row.text")).alias("_text"), "_runs")
