@@ -100,12 +100,6 @@ OUT_OF_ORDER = "region corners are out of order"
 TOO_LARGE = "region is beyond the pixels of any image"
 
 
-def region_errors(regions: DataFrame) -> DataFrame:
-    """Raster regions whose corners are out of order; a renderer rejects these."""
-    return regions.filter((F.col("page_no") == 2) & _out_of_order()).select(
-        "page_no", "region_id", F.lit(OUT_OF_ORDER).alias("error"))
-
-
 def _out_of_order() -> Column:
     return (F.col("r2") < F.col("r0")) | (F.col("r3") < F.col("r1"))
 

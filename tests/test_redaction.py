@@ -167,7 +167,10 @@ def test_regions(spark):
     corner = RuleSet(redact_labels=(), keep_labels=(), register_tokens=(), page1_regions=((0, 0, 0.03, 1),))
     assert removed(spark, page_of("a b c"), corner) == ["a"]
     bad = rules.region_table(spark, RuleSet(page2_regions=((0.5, 0, 0.25, 1), (0, 0, 1, 1))))
-    assert [(r.page_no, r.region_id) for r in rules.region_errors(bad).collect()] == [(2, 0)]
+    rasters = spark.createDataFrame([(7, 2, 100, 100), (8, 1, 100, 100)], "doc_id LONG, page_no INT, img_w INT, img_h INT")
+    assert [tuple(r) for r in rules.page_errors(rasters, bad).collect()] == [(7, rules.OUT_OF_ORDER)]
+    good = rules.region_table(spark, RuleSet(page2_regions=((0, 0, 1, 1),)))
+    assert rules.page_errors(rasters, good).collect() == []
 
 
 def test_overlap_join_equals_all_pairs(spark):
