@@ -176,3 +176,28 @@ def test_case_marks_and_lines_hide_no_passage_and_a_text_may_repeat_itself(spark
     assert got == without_earlier_passages(list(enumerate(texts)))
     assert [got[0], got[2], got[4]] == [texts[0], texts[2], texts[4]]
     assert got[3] == "X  Y  Z" and got[5] == "start " and got[6] == " once more" and "! %%%" in got[1] and len(got[1]) < 300
+
+
+def test_a_passage_is_in_one_earlier_text(spark):
+    rng = random.Random(7)
+    prose = lambda n: [f"{rng.randrange(16 ** 5):05x}" for _ in range(n)]
+    chain, tail, marks = prose(64), prose(60), prose(40)
+    dashed = " - ".join(marks[:30])
+    texts = [
+        " ".join(prose(9) + chain[:40] + prose(9)),
+        " ".join(prose(9) + chain[22:] + prose(9)),   # the two overlap by more than a window, none has 51 words of the next
+        " ".join(["X"] + chain + ["Y"]),
+        "la " * 47 + "end",
+        "A " + "la " * 233 + "B",                     # 47 words at most are in another text
+        "C " + "la " * 51 + "D",                      # all 51 are
+        " ".join(prose(9) + chain[:40] + tail),       # the next one's passage is 80 words of this one
+        " ".join(["E"] + chain + tail[:3]),           # 64 words are in the third text
+        " ".join(["F"] + chain[20:40] + tail + ["G"]),
+        " ".join(prose(5)) + f" {dashed} " + " ".join(prose(5)),
+        f"H {dashed} I",                              # 59 between white space in both
+        f"J {' '.join(marks[:30])} K",                # 30 words
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = [r.text for r in corpus_pipeline.passages(spark, docs, "").orderBy("doc_id").collect()]
+    assert [got[n] for n in (0, 1, 2, 3, 4, 6, 9, 11)] == [texts[n] for n in (0, 1, 2, 3, 4, 6, 9, 11)]
+    assert (got[5], got[7], got[8], got[10]) == ("C  D", f"E  {' '.join(tail[:3])}", "F  G", "H  I")
