@@ -201,3 +201,21 @@ def test_a_passage_is_in_one_earlier_text(spark):
     got = [r.text for r in corpus_pipeline.passages(spark, docs, "").orderBy("doc_id").collect()]
     assert [got[n] for n in (0, 1, 2, 3, 4, 6, 9, 11)] == [texts[n] for n in (0, 1, 2, 3, 4, 6, 9, 11)]
     assert (got[5], got[7], got[8], got[10]) == ("C  D", f"E  {' '.join(tail[:3])}", "F  G", "H  I")
+
+
+def test_marks_that_stand_alone_at_the_ends_of_a_passage_are_words_of_it(spark):
+    rng = random.Random(8)
+    prose = lambda n: " ".join(f"{rng.randrange(16 ** 5):05x}" for _ in range(n))
+    cells, fewer = prose(25).replace(" ", " | "), prose(24).replace(" ", " | ")  # 49 and 47 words between white space
+    texts = [
+        f"{prose(9)} | {cells} | {prose(9)}",
+        f"A | {cells} | B",                           # 51 in both
+        f"{cells} C",                                 # 49 here
+        f"D - {cells} *",                             # 51, and marks are not compared
+        f"{prose(9)}, | {fewer} | {prose(9)}",
+        f"E | {fewer} | F",                          # 49 in both
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = [r.text for r in corpus_pipeline.passages(spark, docs, "").orderBy("doc_id").collect()]
+    assert [got[n] for n in (0, 2, 4, 5)] == [texts[n] for n in (0, 2, 4, 5)]
+    assert (got[1], got[3]) == ("A |  | B", "D -  *")
