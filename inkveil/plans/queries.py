@@ -371,7 +371,10 @@ def batch_response(s: Scenario) -> DataFrame:
 
 
 def stream_redacted_text(s: Scenario) -> DataFrame:
-    """The flagship as a stream over the document files, run until all input is processed."""
+    """The flagship as a stream over the document files, run until all input is processed.
+
+    The table is one file or a folder of files: a path with a pattern, even of one name, stands for either.
+    """
     out = scratch_dir(s.spark, "stream")
 
     def redact(docs: DataFrame) -> DataFrame:
@@ -379,7 +382,7 @@ def stream_redacted_text(s: Scenario) -> DataFrame:
         return s.redactor.text(words.text_words(texts, LAYOUT), words.text_pages(texts, LAYOUT))
 
     query = redaction_stream(
-        s.spark, s.sf_dir, "documents.parquet", "doc_id BIGINT, text STRING", redact,
+        s.spark, f"{s.sf_dir.rstrip('/')}/documents[.]parquet", "*", "doc_id BIGINT, text STRING", redact,
         lambda df, batch_id: write_batch(df, f"{out}/text", batch_id), f"{out}/checkpoint")
     query.awaitTermination()
     return s.spark.read.parquet(f"{out}/text").select("doc_id", "page_no", "line_no", "line_text")

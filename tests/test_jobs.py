@@ -1,4 +1,5 @@
 import json
+import shutil
 import struct
 import zlib
 
@@ -12,6 +13,7 @@ from inkveil.operators import audit, metadata, raster
 from inkveil.params import RuleParams, RuleSet
 from inkveil.plans.job import run_batch
 from inkveil.plans.pipeline import Redactor
+from inkveil.plans.queries import registered
 from inkveil.sources import events, images, objects, outputs, rules, words
 from inkveil.streaming.redact import job_stream, object_stream, redaction_stream, work_item_stream
 
@@ -291,6 +293,19 @@ def test_stream_equals_batch_and_survives_a_restart(spark, tmp_path):
     assert got == batch == {(1, "Nome:"), (2, "a b c"), (3, "x")}
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_stream_reads_a_table_of_one_file_or_of_a_folder_of_files(spark, tmp_path, files):
+    texts = [(n, f"a b{n} the: x y") for n in range(7)] + [(7, None), (8, " ")]
+    table = tmp_path / "documents.parquet"
+    written = table if files > 1 else tmp_path / "written"
+    spark.createDataFrame(texts, "doc_id BIGINT, text STRING").repartition(files).write.parquet(str(written))
+    if files == 1:
+        shutil.copy(next(written.glob("part-*")), table)
+    assert table.is_dir() == (files > 1)
+    streamed, batch = [sorted(registered()[name](spark, str(tmp_path)).collect()) for name in ("stream_redacted_text", "redacted_text")]
+    assert streamed == batch and {r[0] for r in streamed} == set(range(7))
+
+
 def memory_stream(spark, tmp_path, bodies):
     rows = [(n, b, f"2024-01-01 00:0{n}:00") for n, b in enumerate(bodies)]
     spark.createDataFrame(rows, "event_id BIGINT, body STRING, t STRING") \
