@@ -101,6 +101,39 @@ def test_a_large_page_spreads_over_tasks(spark, threshold):
             spark.conf.set(k, v)
 
 
+def test_many_large_pages_are_a_short_list_of_their_real_size(spark):
+    """The list has a row or two a page, and is broadcast by what its rows take, not by what encodings make of them."""
+    n, pages = 110, 2000
+    words = spark.range(n * pages).selectExpr(
+        f"id div {n} as doc_id", "1 as page_no", f"id % {n} + 100 * (id div {n}) as word_idx", "0D as x0", "0D as y0")
+    large = lines._large_pages(words, 100)
+    listed = large.groupBy("_page.doc_id").count().collect()
+    assert len(listed) == pages and max(r["count"] for r in listed) <= 2
+    flagged = lines._with_size(words, large)
+    assert flagged.where("_large").count() == n * pages
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold, broadcast in (("36k", False), ("1m", True)):  # 20 bytes a row, and more in memory
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            found = lines._with_size(words, large)._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in found) == broadcast
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_large_pages_are_found_by_any_word_numbers(spark):
+    rng, rows = random.Random(5), []
+    for doc, step in enumerate((1, -1, 1000, 65_536, 10**12)):
+        rows += [(doc, 1, i * step, 0.0, rng.randint(0, 160) / 16, 1.0, 20.0, "w") for i in range(90)]
+    rows += [(9, 1, i, 0.0, 1.0, 1.0, 20.0, "w") for i in range(20)]
+    words = words_df(spark, rows + [(None, 1, None, 0.0, 5.0, 1.0, 20.0, "w")] * 60)
+    flagged = {(r.doc_id, r._large): r["count"] for r in lines._with_size(words, lines._large_pages(words, 50))
+               .groupBy("doc_id", "_large").count().collect()}
+    assert flagged == {**{(doc, True): 90 for doc in range(5)}, (9, False): 20, (None, True): 60}
+    split = lines.line_tokens(words.where("doc_id is not null"), RuleParams(page_split_rows=50, block_words=16))
+    assert placed(split) == fold_lines(rows, 1.0)
+
+
 CHAINED = "(id div 10) * 0.25D + (id % 10) * 0.02D"  # no gap settles a line: the baseline follows the slope
 PHASES = "id * 0.6D"  # lines of three words: three phases that never meet
 LATE = "IF(id < 1500, 0.0D, 1.0D) + IF(id = 2500, 0.75D, 0.0D)"  # a baseline that moves once, long after its line began
